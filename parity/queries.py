@@ -38,14 +38,16 @@ def _rows(name: str, spark: SparkSession, d: str) -> DataFrame:
 
 
 def _base(name: str, spark: SparkSession, d: str) -> DataFrame:
-    """Rolling-year base of an extract, from quarterly totals staged once."""
+    """Rolling-year base of an extract, from totals staged once."""
     spec = SPECS[name]
     quarterly = rolling.quarterly_totals(_rows(name, spark, d), spec.detail_dims, spec.measure_codes)
-    quarterly = Staging(spark)(quarterly, "quarterly")
-    quarters = clean.overnight_trips(t.trips(spark, d)) if name == "accommodation" else quarterly
-    base = rolling.rolling_year_totals(
-        quarterly, spec.detail_dims, spec.measure_codes, rolling.complete_years(quarters)
-    )
+    totals = rolling.rolling_year_totals(quarterly, spec.detail_dims, spec.measure_codes, seen="seen")
+    totals = Staging(spark)(totals, "totals")
+    if name == "accommodation":
+        complete = rolling.complete_years(clean.overnight_trips(t.trips(spark, d)))
+    else:
+        complete = rolling.years_seen_whole(totals, "seen")
+    base = totals.join(complete, rolling.YEAR_END, "left_semi").drop("seen")
     return base.withColumnRenamed(rolling.YEAR_END, spec.year_dim)
 
 

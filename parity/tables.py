@@ -36,8 +36,20 @@ MONEY = "decimal(18,2)"
 WHOLE = "decimal(9,0)"
 
 
+# Columns in use; a stated schema saves the job that would infer it.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, "
+    "l_returnflag string, l_linestatus string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def inline(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:

@@ -101,17 +101,23 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return counts.unpivot([], columns, "column_name", "n_null")
 
 
-def no_missing_values(quarterly: DataFrame, dims: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Checks that no dimension and no measure was missing in the rows behind quarterly totals."""
-    counts = quarterly.agg(
-        *[F.count_if(F.col(d).isNull()).alias(d) for d in dims],
-        *[F.coalesce(F.sum(m + NULLS_SUFFIX), F.lit(0)).alias(m) for m in measures],
-    )
-    return counts.unpivot([], [*dims, *measures], "column_name", "n").select(
-        F.concat(F.lit("missing values in "), "column_name").alias("control"),
-        F.col("n").cast("double").alias("actual"),
-        F.lit(0.0).alias("expected"),
-        (F.col("n") == 0).alias("ok"),
+def refuse_missing(totals: DataFrame, dims: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Totals unchanged, but an error for a missing dimension or a sum that skipped missing values.
+
+    Expects the null counts of :func:`rolling.quarterly_totals`. The test rides on the job that
+    uses the totals instead of being a job of its own.
+    """
+
+    def fail(column: str):
+        where = F.concat_ws(", ", *[F.coalesce(F.col(d), F.lit("missing")) for d in dims])
+        return F.raise_error(F.concat(F.lit(f"missing values in {column} at "), where))
+
+    return totals.select(
+        *[F.when(F.col(d).isNotNull(), F.col(d)).otherwise(fail(d)).alias(d) for d in dims],
+        *[
+            F.when(F.col(m + NULLS_SUFFIX) == 0, F.col(m)).otherwise(fail(m)).alias(m)
+            for m in measures
+        ],
     )
 
 

@@ -68,16 +68,24 @@ def published_lookup(lookup: DataFrame) -> DataFrame:
     )
 
 
-def encode_dimensions(facts: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
-    """Replace the text of each dimension by its code; rows without a code are dropped.
+def encode_dimensions(
+    facts: DataFrame, lookups: Mapping[str, DataFrame], on_unmatched: str = "drop"
+) -> DataFrame:
+    """Replace the text of each dimension by its code.
 
     ``lookups`` maps a dimension to its lookup, keyed by YE where it has that column and by
-    Description otherwise. No broadcast is forced: lookups come from files or staged tables, so
+    Description otherwise. Rows without a code are dropped, or with ``on_unmatched="fail"`` raise an
+    error where they are met. No broadcast is forced: lookups come from files or staged tables, so
     Spark knows their size and picks the join.
     """
     columns = facts.columns
     for dim, lookup in lookups.items():
-        facts = facts.join(_codes(lookup, dim), dim).drop(dim).withColumnRenamed(f"{dim}_code", dim)
+        codes, code = _codes(lookup, dim), F.col(f"{dim}_code")
+        if on_unmatched == "fail":
+            unmatched = F.raise_error(F.concat(F.lit(f"no code for {dim} "), F.col(dim)))
+            facts = facts.join(codes, dim, "left").withColumn(dim, F.coalesce(code, unmatched.cast("int")))
+        else:
+            facts = facts.join(codes, dim).withColumn(dim, code)
     return facts.select(*columns)
 
 
@@ -97,17 +105,6 @@ def encoding_loss(facts: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFra
     )
 
 
-def uncoded_members(base: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
-    """Dimension and Member pairs of the base that have no code."""
-    entries = [F.struct(F.lit(d).alias(DIMENSION), F.col(d).alias(MEMBER)) for d in lookups]
-    members = base.select(F.inline(F.array(*entries))).distinct()
-    known = None
-    for dim, lookup in lookups.items():
-        part = lookup.select(F.lit(dim).alias(DIMENSION), F.col(_key(lookup)).alias(MEMBER))
-        known = part if known is None else known.unionByName(part)
-    return members.join(known, [DIMENSION, MEMBER], "left_anti")
-
-
 def _key(lookup: DataFrame) -> str:
     return "YE" if "YE" in lookup.columns else "Description"
 

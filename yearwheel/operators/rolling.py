@@ -75,13 +75,30 @@ def rolling_year_totals(
     *,
     year: str = YEAR,
     quarter: str = QUARTER,
+    seen: str | None = None,
 ) -> DataFrame:
-    """Sums per year-end (column ``YE``) and dimension combination, complete years only.
+    """Sums per year-end (column ``YE``) and dimension combination.
 
     Takes quarterly totals, so each fact row is stacked as part of its quarter and never four times
-    on its own. Incomplete years leave before the aggregation.
+    on its own. With ``complete`` given, other years leave before the aggregation. ``seen`` names a
+    column for the set of quarters found, one bit each, from which :func:`years_seen_whole` tells
+    the complete years without going back to the quarters.
     """
     stacked = stack_year_ends(with_year_ends(quarterly, year, quarter))
     if complete is not None:
         stacked = stacked.join(complete, YEAR_END, "left_semi")
-    return stacked.groupBy(YEAR_END, *dims).agg(*[F.sum(m).alias(m) for m in measures])
+    totals = [F.sum(m).alias(m) for m in measures]
+    if seen:
+        totals.append(F.bit_or(F.expr(f"shiftleft(1, `{quarter}` - 1)")).alias(seen))
+    return stacked.groupBy(YEAR_END, *dims).agg(*totals)
+
+
+def years_seen_whole(totals: DataFrame, seen: str) -> DataFrame:
+    """Year-ends whose rows together have seen all four quarters."""
+    return (
+        totals.where(F.col(YEAR_END).isNotNull())
+        .groupBy(YEAR_END)
+        .agg(F.bit_or(seen).alias("quarters"))
+        .where(F.col("quarters") == 0b1111)
+        .select(YEAR_END)
+    )

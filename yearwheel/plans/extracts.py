@@ -16,6 +16,7 @@ from yearwheel.plans.spec import Dimension, ExtractSpec, Measure
 from yearwheel.sources.tables import SurveyTables
 
 YEAR_COLUMNS = [rolling.YEAR, rolling.QUARTER]
+SEEN = "_quarters"
 
 # Codes and titles of the published dimensions and measures.
 YEAR_ENDING = Dimension("Year_Ending", "Year ending", "year_end")
@@ -121,7 +122,6 @@ class Extract:
     """A built extract. All tables are DataFrames; nothing is computed before it is written."""
 
     spec: ExtractSpec
-    quarterly: DataFrame
     base: DataFrame
     cube: DataFrame
     lookups: dict[str, DataFrame]
@@ -169,30 +169,29 @@ def build_extract(
 ) -> Extract:
     """From fact rows to the star schema.
 
-    ``rows`` holds year, quarter, the dimensions and the measures. It is read once, into quarterly
-    totals; everything after works on staged tables that grow with the number of dimension
-    combinations, not with the rows. ``supplied`` are the lookups the specification expects from
-    outside; ``quarters`` is the table whose quarters decide which years are complete, the rows
-    themselves by default.
+    ``rows`` holds year, quarter, the dimensions and the measures. It is read once, into staged
+    rolling-year totals; everything after grows with the number of dimension combinations, not with
+    the rows. ``supplied`` are the lookups the specification expects from outside; ``quarters`` is
+    the table whose quarters decide which years are complete, the rows themselves by default.
     """
-    dims, details, measures = spec.dims, spec.detail_dims, spec.measure_codes
-    quarterly = stage(
-        rolling.quarterly_totals(rows, details, measures, count_nulls=True), f"quarterly{spec.table_id}"
-    )
-    checks.require(checks.no_missing_values(quarterly, details, measures))
-    complete = rolling.complete_years(quarterly if quarters is None else quarters)
-    base = rolling.rolling_year_totals(quarterly, details, measures, complete)
-    base = stage(base.withColumnRenamed(rolling.YEAR_END, spec.year_dim), f"base{spec.table_id}")
+    details, measures = spec.detail_dims, spec.measure_codes
+    quarterly = rolling.quarterly_totals(rows, details, measures, count_nulls=True)
+    carried = measures + [m + rolling.NULLS_SUFFIX for m in measures]
+    totals = rolling.rolling_year_totals(quarterly, details, carried, seen=SEEN)
+    totals = stage(totals, f"totals{spec.table_id}")
+    if quarters is None:
+        complete = rolling.years_seen_whole(totals, SEEN)
+    else:
+        complete = stage(rolling.complete_years(quarters), f"years{spec.table_id}")
+    base = totals.join(complete, rolling.YEAR_END, "left_semi")
+    base = base.withColumnRenamed(rolling.YEAR_END, spec.year_dim)
+    base = checks.refuse_missing(base, spec.dims, measures)
 
     lookups = _lookups(spec, base, supplied or {}, stage)
-    if spec.on_unmatched == "fail":
-        given = {d.code: lookups[d.code] for d in spec.dimensions if d.lookup == "supplied"}
-        if given:
-            checks.require_empty(dimensions.uncoded_members(base, given), "no code for")
-    full = cube.dimension_cube(base, dims, measures)
+    full = cube.dimension_cube(base, spec.dims, measures)
     text = [measure_text(F.col(m.code), m.decimals).alias(m.code) for m in spec.measures]
-    data = dimensions.encode_dimensions(full.select(*dims, *text), lookups)
-    return Extract(spec, quarterly, base, full, lookups, data)
+    data = dimensions.encode_dimensions(full.select(*spec.dims, *text), lookups, spec.on_unmatched)
+    return Extract(spec, base, full, lookups, data)
 
 
 def _lookups(
