@@ -129,7 +129,7 @@ VIEWS = {
     "v_classification": "SELECT p_name AS Activity, min(p_type) AS Activity_Group FROM part GROUP BY p_name",
     "v_filled": """SELECT pos, Activity, last_value(g IGNORE NULLS) OVER (ORDER BY pos
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Activity_Group
-        FROM (SELECT p_partkey AS pos, CASE WHEN p_partkey % 7 = 0 THEN p_brand END AS g, p_name AS Activity
+        FROM (SELECT p_partkey AS pos, CASE WHEN p_size <= 7 THEN p_brand END AS g, p_name AS Activity
               FROM part)""",
     "v_rows_accommodation": """SELECT TripYear, TripQtr, LOS_Group, DestinationRTO AS Destination_RTO,
             AccommodationType AS Accommodation_Type, RespondentWeight AS Total_Visitors,

@@ -34,7 +34,12 @@ def _rows(name: str, spark: SparkSession, d: str) -> DataFrame:
         return trip_rows(t.trips(spark, d), t.purposes(spark))
     if name == "spend":
         return spend_rows(t.trips(spark, d), t.spend_lines(spark, d), t.purposes(spark))
-    return activity_rows(t.trips(spark, d), t.activities(spark, d), t.classification(spark, d))
+    return activity_rows(t.trips(spark, d), t.activities(spark, d), _classification(spark, d))
+
+
+def _classification(spark: SparkSession, d: str) -> DataFrame:
+    # derived from a table that grows; staged, its own size is known and it is joined by that size
+    return Staging(spark)(t.classification(spark, d), "classification")
 
 
 def _base(name: str, spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +76,7 @@ def _extract_query(name: str):
             spend=t.spend_lines(spark, d),
             activities=t.activities(spark, d),
             purposes=t.purposes(spark),
-            classification=t.classification(spark, d),
+            classification=_classification(spark, d) if name == "activity" else t.classification(spark, d),
             destinations=t.destinations(spark, d),
             lengths_of_stay=t.lookup(spark, t.BANDS),
             accommodation_types=t.lookup(spark, t.ACCOMMODATION_TYPES),

@@ -1,5 +1,6 @@
 """The four extracts from files to published bundles, against plain Python over the same rows."""
 
+import dataclasses
 import random
 from collections import defaultdict
 from itertools import product
@@ -7,7 +8,9 @@ from pathlib import Path
 
 import pytest
 
-from yearwheel.plans import extract_specs, publish, run_all, survey_extract
+from yearwheel.__main__ import main
+from yearwheel.operators import checks
+from yearwheel.plans import Control, extract_specs, input_checks, publish, run_all, survey_extract
 from yearwheel.sources import SurveyTables, column_mismatch, read_bundle
 
 LABELS = {"YEMar": 1, "YEJun": 2, "YESep": 3, "YEDec": 4}
@@ -80,7 +83,7 @@ def records():
 
 
 @pytest.fixture(scope="module")
-def tables(spark, records, tmp_path_factory):
+def survey_paths(records, tmp_path_factory):
     folder = tmp_path_factory.mktemp("survey")
     header = 'c,d,g,"g\n(1)",b,bd,g,"g\n(2)"'
     purposes = [header] + [f"1,{p},P,wrong,B,B,P,{g}" for p, g in PURPOSES.items()]
@@ -88,22 +91,19 @@ def tables(spark, records, tmp_path_factory):
     (folder / "classes.csv").write_text(
         "pos,Activity_Group,Activity\n1,Outdoor,Fishing\n2,NA,Walk in City\n3,Work,Business\n"
     )
-    trips, stays, spend, activities = (
-        write_csv(folder / f"{n}.csv", r) for n, r in zip(("trips", "stays", "spend", "acts"), records, strict=True)
-    )
-    return SurveyTables.read(
-        spark,
-        trips=trips,
-        stays=stays,
-        spend=spend,
-        activities=activities,
-        purposes=str(folder / "purposes.csv"),
-        classification=str(folder / "classes.csv"),
-        destinations=write_lookup(folder / "destinations.csv", [*PLACES, "All"]),
-        lengths_of_stay=write_lookup(folder / "bands.csv", BANDS),
-        accommodation_types=write_lookup(folder / "types.csv", [*TYPES, "All"]),
-        number="decimal(18,2)",
-    )
+    facts = zip(("trips", "stays", "spend", "activities"), records, strict=True)
+    return {n: write_csv(folder / f"{n}.csv", r) for n, r in facts} | {
+        "purposes": str(folder / "purposes.csv"),
+        "classification": str(folder / "classes.csv"),
+        "destinations": write_lookup(folder / "destinations.csv", [*PLACES, "All"]),
+        "lengths_of_stay": write_lookup(folder / "bands.csv", BANDS),
+        "accommodation_types": write_lookup(folder / "types.csv", [*TYPES, "All"]),
+    }
+
+
+@pytest.fixture(scope="module")
+def tables(spark, survey_paths):
+    return SurveyTables.read(spark, **survey_paths, number="decimal(18,2)")
 
 
 def clean_place(trip):
@@ -234,6 +234,42 @@ def test_published_text(published):
     )
 
 
+def test_control_figures(tables, records, stage):
+    spec = extract_specs("Survey")["trips"]
+    extract = survey_extract("trips", spec, tables, stage)
+    cube = expected_cube("trips", records)
+    day = cube["YEMar2002", "All", "Day Trip", "All", "All"][1]
+    members = {"Year_Ending": "YEMar2002", "Trip_Type": "Day Trip"}
+    total = cube["All", "All", "All", "All", "All"][1]
+    controls = [Control("Total_Trips", int(day), members), Control("Total_Trips", total, how="within")]
+    checks.require(extract.reconcile(controls))
+    with pytest.raises(checks.CheckFailed, match="Total_Trips YEMar2002 Day Trip"):
+        checks.require(extract.reconcile([Control("Total_Trips", int(day) + 1, members)]))
+
+
+def test_input_checks(spark, tables):
+    assert input_checks("activity", tables) is None
+    assert all(r.ok for r in input_checks("spend", tables).collect())
+    extra = tables.purposes.unionByName(spark.sql("SELECT 'Skiing' POV, 'Holiday' POV_Group"))
+    second = tables.spend.where("TripID = 3 AND SpendType = 'Alcohol'")
+    spoiled = dataclasses.replace(tables, purposes=extra, spend=tables.spend.unionByName(second))
+    with pytest.raises(checks.CheckFailed, match="purposes without trips: 1.0.*food type: 1.0"):
+        checks.require(input_checks("spend", spoiled))
+
+
+def test_repeated_codes_are_refused(tables, stage):
+    twice = dataclasses.replace(tables, destinations=tables.destinations.unionByName(tables.destinations))
+    with pytest.raises(checks.CheckFailed, match="members of Destination_RTO with several codes"):
+        survey_extract("trips", extract_specs("Survey")["trips"], twice, stage)
+
+
+def test_command_line(spark, survey_paths, tmp_path):
+    options = [a for k, v in survey_paths.items() for a in (f"--{k.replace('_', '-')}", v)]
+    folders = main([*options, "--out", str(tmp_path), "--survey", "S", "--run-id", "r", "--extract", "activity"])
+    assert folders == {"activity": f"{tmp_path}/r/Table_7581"}
+    assert read_bundle(spark, folders["activity"]).file_index.first().TableTitle == "S: Activities"
+
+
 def test_a_run_is_not_overwritten(spark, tables, published, stage):
     spec = extract_specs("Survey")["activity"]
     out = published["activity"].rsplit("/", 2)[0]
@@ -242,8 +278,6 @@ def test_a_run_is_not_overwritten(spark, tables, published, stage):
 
 
 def test_unknown_destination_fails_where_the_extract_forbids_it(spark, tables, stage):
-    import dataclasses
-
     fewer = dataclasses.replace(tables, destinations=tables.destinations.where("Description <> 'South'"))
     extract = survey_extract("trips", extract_specs("Survey")["trips"], fewer, stage)
     with pytest.raises(Exception, match="no code for Destination_RTO South"):

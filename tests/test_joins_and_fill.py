@@ -112,3 +112,25 @@ def test_a_hot_trip_is_split_and_its_result_whole(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, table, plan):
+    from yearwheel.plans.extracts import accommodation_rows
+
+    trips = table(
+        "TripIDNumber bigint, TripType string, TripYear int, TripQtr int, DestinationRTO string, "
+        "RespondentWeight double, SmoothedTripWeight double",
+        [(i, "Overnight Trip", 2000, 1, "North", 1.0, 2.0) for i in range(20)],
+    )
+    stays = table("TripID bigint, AccommodationType string, NoNights double", [(i, "Motels", 1.0) for i in range(20)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips.write.mode("overwrite").bucketBy(4, "TripIDNumber").sortBy("TripIDNumber").saveAsTable("trips_by_trip")
+        stays.write.mode("overwrite").bucketBy(4, "TripID").sortBy("TripID").saveAsTable("stays_by_trip")
+        rows = accommodation_rows(spark.table("trips_by_trip"), spark.table("stays_by_trip"))
+        assert "SortMergeJoin" in plan(rows) and "Exchange" not in plan(rows)
+        assert rows.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS trips_by_trip")
+        spark.sql("DROP TABLE IF EXISTS stays_by_trip")

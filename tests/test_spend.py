@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yearwheel.operators import spend
-from yearwheel.operators.checks import CheckFailed, require, require_empty, zero_total
+from yearwheel.operators.checks import CheckFailed, no_rows, require, zero_total
 
 PAIR = [spend.ALCOHOL, spend.FOOD_AND_ALCOHOL]
 SPEND = "TripIDNumber bigint, SpendType string, Expenditure double"
@@ -44,11 +44,18 @@ def test_spread_net_and_gather(sample, rows):
     }
 
 
-def test_repeated_types_are_found(sample, table):
-    require_empty(spend.repeated_types(sample, PAIR), "repeated")
-    twice = sample.unionByName(table(SPEND, [(1, "Alcohol", 1.0), (1, "Gifts", 1.0)]))
-    with pytest.raises(CheckFailed, match="Alcohol"):
-        require_empty(spend.repeated_types(twice, PAIR), "repeated")
+def test_uneven_types_are_found(sample, table, rows):
+    assert rows(spend.uneven_types(sample, PAIR)) == [(2, 1, 0), (3, 0, 1)]
+    even = sample.where("TripIDNumber = 1")
+    require(no_rows(spend.uneven_types(even, PAIR), "uneven"))
+    twice = even.unionByName(table(SPEND, [(1, "Alcohol", 1.0), (1, "Gifts", 1.0)]))
+    with pytest.raises(CheckFailed, match="uneven: 1.0 instead of 0.0"):
+        require(no_rows(spend.uneven_types(twice, PAIR), "uneven"))
+
+
+def test_spreading_shuffles_once(sample, plan):
+    text = plan(spend.spread_types(sample, PAIR))
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
 
 
 def test_derived_types_of_day_and_overnight_trips(table, rows):

@@ -25,13 +25,6 @@ def require(checks: DataFrame, shown: int = 20) -> None:
         raise CheckFailed("; ".join(f"{r.control}: {r.actual} instead of {r.expected}" for r in failed))
 
 
-def require_empty(df: DataFrame, what: str, shown: int = 20) -> None:
-    """Raise :class:`CheckFailed` if the DataFrame has rows."""
-    rows = df.limit(shown).collect()
-    if rows:
-        raise CheckFailed(f"{what}: {[tuple(r) for r in rows]}")
-
-
 def _truncated(x: Column) -> Column:
     return F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x))
 
@@ -94,6 +87,11 @@ def zero_total(total: DataFrame, control: str) -> DataFrame:
     )
 
 
+def no_rows(df: DataFrame, control: str) -> DataFrame:
+    """Check that the DataFrame is empty; ``actual`` is its number of rows."""
+    return zero_total(df.agg(F.count(F.lit(1))), control)
+
+
 def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column, all columns in one pass: column_name, n_null."""
     columns = list(columns or df.columns)
@@ -108,9 +106,10 @@ def refuse_missing(totals: DataFrame, dims: Sequence[str], measures: Sequence[st
     uses the totals instead of being a job of its own.
     """
 
-    def fail(column: str):
-        where = F.concat_ws(", ", *[F.coalesce(F.col(d), F.lit("missing")) for d in dims])
-        return F.raise_error(F.concat(F.lit(f"missing values in {column} at "), where))
+    at = F.concat_ws(", ", *[F.coalesce(d, F.lit("missing")) for d in dims])
+
+    def fail(column: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"missing values in {column} at "), at))
 
     return totals.select(
         *[F.when(F.col(d).isNotNull(), F.col(d)).otherwise(fail(d)).alias(d) for d in dims],

@@ -105,6 +105,12 @@ def encoding_loss(facts: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFra
     )
 
 
+def repeated_members(lookup: DataFrame) -> DataFrame:
+    """Members with more than one code; encoding would repeat their rows."""
+    counts = lookup.groupBy(_key(lookup)).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > 1)
+
+
 def _key(lookup: DataFrame) -> str:
     return "YE" if "YE" in lookup.columns else "Description"
 

@@ -33,17 +33,26 @@ def spread_types(
     """One row per key, one column per spend type; other types are ignored.
 
     A missing type is null, or ``fill``. Rows that share key and type are added up; use
-    :func:`repeated_types` where they must not occur.
+    :func:`uneven_types` where they must not occur. Conditional sums need one shuffle by key;
+    ``pivot`` would take a second one, by key and type.
     """
-    wide = spend.where(F.col("SpendType").isin(*types)).groupBy(key).pivot("SpendType", list(types))
-    out = wide.agg(F.sum("Expenditure"))
+    amount = F.col("Expenditure")
+    columns = [F.sum(F.when(F.col("SpendType") == t, amount)).alias(t) for t in types]
+    out = spend.where(F.col("SpendType").isin(*types)).groupBy(key).agg(*columns)
     return out if fill is None else out.fillna(fill, list(types))
 
 
-def repeated_types(spend: DataFrame, types: Sequence[str], key: str = TRIP) -> DataFrame:
-    """Key and type pairs that occur more than once among ``types``."""
-    pairs = spend.where(F.col("SpendType").isin(*types)).groupBy(key, "SpendType")
-    return pairs.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+def uneven_types(spend: DataFrame, types: Sequence[str], key: str = TRIP) -> DataFrame:
+    """Keys that have some of ``types`` but not each exactly once, with the rows per type.
+
+    Counts are combined before the shuffle, so a key with very many rows costs no more than others.
+    """
+    counts = [F.count_if(F.col("SpendType") == t).alias(t) for t in types]
+    per_key = spend.where(F.col("SpendType").isin(*types)).groupBy(key).agg(*counts)
+    uneven = F.lit(False)
+    for t in types:
+        uneven = uneven | (F.col(t) != 1)
+    return per_key.where(uneven)
 
 
 def net_component(wide: DataFrame) -> DataFrame:

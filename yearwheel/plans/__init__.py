@@ -1,14 +1,16 @@
-from yearwheel.plans.extracts import Extract, build_extract, extract_specs, survey_extract
+from yearwheel.plans.extracts import Control, Extract, build_extract, extract_specs, input_checks, survey_extract
 from yearwheel.plans.run import new_run_id, publish, run_all
 from yearwheel.plans.spec import Dimension, ExtractSpec, Measure
 
 __all__ = [
+    "Control",
     "Dimension",
     "Extract",
     "ExtractSpec",
     "Measure",
     "build_extract",
     "extract_specs",
+    "input_checks",
     "new_run_id",
     "publish",
     "run_all",

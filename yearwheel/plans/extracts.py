@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearwheel.functions.text import measure_text
@@ -117,6 +118,20 @@ def activity_rows(trips: DataFrame, activities: DataFrame, classification: DataF
     )
 
 
+@dataclass(frozen=True)
+class Control:
+    """A published total: the measure over the members named, compared as in ``checks.reconcile``."""
+
+    measure: str
+    expected: float
+    members: Mapping[str, str] = field(default_factory=dict)
+    how: str = "truncate"
+
+
+def _all_equal(members: Mapping[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(d) == m for d, m in members.items()])
+
+
 @dataclass(frozen=True)
 class Extract:
     """A built extract. All tables are DataFrames; nothing is computed before it is written."""
@@ -137,6 +152,20 @@ class Extract:
             out[spec.file_name("DimenHierarchy", dim)] = dimensions.hierarchy(self.lookups[dim])
         return out | self._indexes()
 
+    def reconcile(self, controls: Iterable[Control]) -> DataFrame:
+        """Compare totals of the base with control figures known from elsewhere."""
+        found = [
+            checks.reconcile(
+                self.base.where(_all_equal(c.members)) if c.members else self.base,
+                f"{c.measure} {' '.join(c.members.values())}".strip(),
+                F.sum(c.measure),
+                c.expected,
+                c.how,
+            )
+            for c in controls
+        ]
+        return reduce(DataFrame.unionByName, found)
+
     def _indexes(self) -> dict[str, DataFrame]:
         spec, spark = self.spec, self.data.sparkSession
 
@@ -188,6 +217,10 @@ def build_extract(
     base = checks.refuse_missing(base, spec.dims, measures)
 
     lookups = _lookups(spec, base, supplied or {}, stage)
+    if spec.on_unmatched == "fail":
+        for dim in (d.code for d in spec.dimensions if d.lookup == "supplied"):
+            repeated = dimensions.repeated_members(lookups[dim])
+            checks.require(checks.no_rows(repeated, f"members of {dim} with several codes"))
     full = cube.dimension_cube(base, spec.dims, measures)
     text = [measure_text(F.col(m.code), m.decimals).alias(m.code) for m in spec.measures]
     data = dimensions.encode_dimensions(full.select(*spec.dims, *text), lookups, spec.on_unmatched)
@@ -233,3 +266,23 @@ def survey_extract(name: str, spec: ExtractSpec, tables: SurveyTables, stage: St
     else:
         raise ValueError(f"unknown extract {name}")
     return build_extract(spec, rows, stage, supplied=supplied, quarters=quarters)
+
+
+def input_checks(name: str, tables: SurveyTables) -> DataFrame | None:
+    """Checks of an extract's input tables; each reads the few columns it needs.
+
+    Purposes of the concordance all occur in the trips; day trips have no accommodation spend;
+    trips have alcohol and food with alcohol exactly once each, or neither.
+    """
+    found = []
+    if name in ("trips", "spend"):
+        used = clean.clean_trips(tables.trips.select("POV"))
+        found.append(checks.no_rows(joins.unused_values(tables.purposes, used, "POV"), "purposes without trips"))
+    if name == "spend":
+        total = spend.day_trip_accommodation(clean.clean_trips(tables.trips))
+        found.append(checks.zero_total(total, "accommodation spend of day trips"))
+        uneven = spend.uneven_types(
+            clean.clean_spend(tables.spend), [spend.ALCOHOL, spend.FOOD_AND_ALCOHOL], key="TripID"
+        )
+        found.append(checks.no_rows(uneven, "trips without exactly one row per food type"))
+    return reduce(DataFrame.unionByName, found) if found else None

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 
+from yearwheel.operators import checks
 from yearwheel.operators.staging import Staging
-from yearwheel.plans.extracts import Extract, extract_specs, survey_extract
+from yearwheel.plans.extracts import Control, Extract, extract_specs, input_checks, survey_extract
 from yearwheel.sinks.bundle import write_bundle
 from yearwheel.sources.tables import SurveyTables
 
@@ -33,12 +34,24 @@ def run_all(
     survey: str,
     run_id: str | None = None,
     names: Iterable[str] | None = None,
+    controls: Mapping[str, Iterable[Control]] | None = None,
+    strict: bool = True,
 ) -> dict[str, str]:
-    """Build and publish the extracts one after the other; returns their folders by name."""
+    """Build, check and publish the extracts one after the other; returns their folders by name.
+
+    ``controls`` are control figures per extract. ``strict`` checks the inputs first, which reads
+    them once more, a few columns each. A failed check stops the run before the extract is written.
+    """
     run_id = run_id or new_run_id()
     specs = extract_specs(survey)
     folders = {}
     for name in names or specs:
+        rules = input_checks(name, tables) if strict else None
+        if rules is not None:
+            checks.require(rules)
         with Staging(spark) as stage:
-            folders[name] = publish(survey_extract(name, specs[name], tables, stage), out, run_id)
+            extract = survey_extract(name, specs[name], tables, stage)
+            if controls and name in controls:
+                checks.require(extract.reconcile(controls[name]))
+            folders[name] = publish(extract, out, run_id)
     return folders

@@ -15,8 +15,20 @@ SETTINGS = {
 }
 
 
-def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
-    """Apply :data:`SETTINGS` to a session builder."""
+# Shuffled bytes one task should meet. Adaptive execution merges partitions that stay smaller but
+# does not add any, so the starting number has to fit the largest shuffle.
+PARTITION_BYTES = 256 * 2**20
+
+
+def shuffle_partitions(fact_bytes: int) -> int:
+    """Starting number of shuffle partitions for fact tables of this size."""
+    return max(200, -(-fact_bytes // PARTITION_BYTES))
+
+
+def configured(builder: SparkSession.Builder, fact_bytes: int | None = None) -> SparkSession.Builder:
+    """Apply :data:`SETTINGS`, and with ``fact_bytes`` a number of shuffle partitions to match."""
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if fact_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(fact_bytes))
     return builder

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,13 @@ def write_table(df: DataFrame, path: str, parts: int | None = None) -> None:
     ).csv(path)
 
 
-def write_bundle(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write each table to ``<folder>/<name>.csv``; the first one is the data table."""
-    for i, (name, df) in enumerate(tables.items()):
-        write_table(df, f"{folder}/{name}.csv", parts=None if i == 0 else 1)
+def write_bundle(tables: Mapping[str, DataFrame], folder: str, threads: int = 4) -> None:
+    """Write each table to ``<folder>/<name>.csv``; the first one is the data table.
+
+    The data table goes first and alone, with all its partitions. The others are a few rows each,
+    so their jobs overlap.
+    """
+    data, *small = tables
+    write_table(tables[data], f"{folder}/{data}.csv")
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(lambda name: write_table(tables[name], f"{folder}/{name}.csv", parts=1), small))
