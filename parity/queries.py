@@ -257,23 +257,23 @@ def grouping_count(spark, d):
 PAIR = [spend.ALCOHOL, spend.FOOD_AND_ALCOHOL]
 
 
-def _weighted(spark, d):
-    return spend.weighted_spend(clean.clean_trips(t.trips(spark, d)), clean.clean_spend(t.spend(spark, d)))
+def _wide(spark, d):
+    return spend.weighted_types(
+        clean.clean_trips(t.trips(spark, d)), clean.clean_spend(t.spend_lines(spark, d)), PAIR
+    )
 
 
 def spend_pivot(spark, d):
-    wide = spend.spread_types(_weighted(spark, d), PAIR).withColumnRenamed(PAIR[1], "FoodAndAlcohol")
+    wide = _wide(spark, d).withColumnRenamed(PAIR[1], "FoodAndAlcohol")
     return _doubles(wide, "Alcohol", "FoodAndAlcohol")
 
 
 def net_component(spark, d):
-    net = spend.net_component(spend.spread_types(_weighted(spark, d), PAIR))
-    return _doubles(net, spend.ALCOHOL, spend.FOOD)
+    return _doubles(spend.net_component(_wide(spark, d)), spend.ALCOHOL, spend.FOOD)
 
 
 def spend_unpivot(spark, d):
-    net = spend.net_component(spend.spread_types(_weighted(spark, d), PAIR))
-    return _doubles(spend.gather_types(net), "Expenditure")
+    return _doubles(spend.gather_types(spend.net_component(_wide(spark, d))), "Expenditure")
 
 
 def spend_long(spark, d):

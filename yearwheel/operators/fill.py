@@ -42,7 +42,7 @@ def _filled(
         return df.withColumn(value, last_seen(*keys))
 
     block, carry = f"{BLOCK}{levels}", f"{CARRY}{levels}"
-    blocked = df.withColumn(block, F.floor(F.col(position) / span))
+    blocked = df.withColumn(block, F.expr(f"`{position}` div {span}"))
     at = F.when(F.col(value).isNotNull(), F.col(position))
     ends = blocked.groupBy(*keys, block).agg(F.max_by(F.col(value), at).alias(carry))
     carried = _filled(ends, carry, block, keys, span, levels - 1, -1)

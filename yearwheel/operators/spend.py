@@ -28,20 +28,37 @@ def weighted_spend(trips: DataFrame, spend: DataFrame) -> DataFrame:
 
 
 def spread_types(
-    spend: DataFrame, types: Sequence[str], key: str = TRIP, fill: float | None = None
+    spend: DataFrame,
+    types: Sequence[str],
+    key: str = TRIP,
+    value: str = "Expenditure",
+    fill: float | None = None,
 ) -> DataFrame:
     """One row per key, one column per spend type; other types are ignored.
 
     A missing type is null, or ``fill``. Rows that share key and type are added up; use
-    :func:`uneven_types` where they must not occur. Conditional sums need one shuffle by key;
-    ``pivot`` would take a second one, by key and type.
+    :func:`uneven_types` where they must not occur. Conditional sums need one shuffle by key, after
+    a map-side combine; ``pivot`` would take a second one, by key and type.
     """
-    amount = F.col("Expenditure")
-    columns = [F.sum(F.when(F.col("SpendType") == t, amount)).alias(t) for t in types]
+    columns = [F.sum(F.when(F.col("SpendType") == t, F.col(value))).alias(t) for t in types]
     out = spend.where(F.col("SpendType").isin(*types)).groupBy(key).agg(*columns)
     return out if fill is None else out.fillna(fill, list(types))
 
 
+def weighted_types(
+    trips: DataFrame, spend: DataFrame, types: Sequence[str], fill: float | None = None
+) -> DataFrame:
+    """One row per trip with the weighted expenditure of each type in a column.
+
+    Spend is summed by trip first and weighted after the join, which finds it already partitioned
+    by trip. A trip with very many rows is combined in the map stage and joins as one row.
+    """
+    wide = spread_types(spend, types, key="TripID", value="ImputedSpendAmt", fill=fill)
+    weights = trips.select(TRIP, "ExpenditureWeight")
+    joined = weights.join(wide, weights[TRIP] == wide["TripID"])
+    return joined.select(TRIP, *[(F.col("ExpenditureWeight") * F.col(f"`{t}`")).alias(t) for t in types])
+
+
 def uneven_types(spend: DataFrame, types: Sequence[str], key: str = TRIP) -> DataFrame:
     """Keys that have some of ``types`` but not each exactly once, with the rows per type.
 
@@ -85,10 +102,9 @@ def derived_spend(trips: DataFrame) -> DataFrame:
 
 def combined_spend(trips: DataFrame, spend: DataFrame, fill: float | None = None) -> DataFrame:
     """Trip-level spend of all types, alcohol taken out of food: TripIDNumber, SpendType, Expenditure."""
-    weighted = weighted_spend(trips, spend)
     pair = [ALCOHOL, FOOD_AND_ALCOHOL]
-    food = gather_types(net_component(spread_types(weighted, pair, fill=fill)))
-    rest = weighted.where(~F.col("SpendType").isin(*pair))
+    food = gather_types(net_component(weighted_types(trips, spend, pair, fill)))
+    rest = weighted_spend(trips, spend.where(~F.col("SpendType").isin(*pair)))
     derived = derived_spend(trips).select(TRIP, "SpendType", "Expenditure")
     return rest.unionByName(food).unionByName(derived)
 
