@@ -12,7 +12,14 @@ from yearwheel.functions import length_of_stay_band, measure_text, recode
 from yearwheel.operators import calendar, checks, clean, cube, dimensions, fill, joins, rolling, spend
 from yearwheel.operators.staging import Staging
 from yearwheel.plans import extract_specs, survey_extract
-from yearwheel.plans.extracts import accommodation_rows, activity_rows, spend_rows, trip_rows
+from yearwheel.plans.extracts import (
+    accommodation_rows,
+    activity_rows,
+    net_with_group,
+    spend_rows,
+    trip_rows,
+    with_group,
+)
 from yearwheel.sources.tables import SurveyTables
 
 SPECS = extract_specs("Survey")
@@ -31,12 +38,22 @@ def _rows(name: str, spark: SparkSession, d: str) -> DataFrame:
     if name == "accommodation":
         return accommodation_rows(t.trips(spark, d), t.stays(spark, d))
     if name == "trips":
-        return trip_rows(t.trips(spark, d), t.purposes(spark))
+        return trip_rows(t.trips(spark, d))
     if name == "spend":
-        return spend_rows(t.trips(spark, d), t.spend_lines(spark, d), t.purposes(spark))
+        return spend_rows(t.trips(spark, d), t.spend_lines(spark, d))
     return activity_rows(t.trips(spark, d), t.activities(spark, d), _classification(spark, d))
 
 
+def _quarterly(name: str, spark: SparkSession, d: str) -> DataFrame:
+    rows, spec = _rows(name, spark, d), SPECS[name]
+    found = [c for c in spec.detail_dims if c in rows.columns]
+    quarterly = rolling.quarterly_totals(rows, found, spec.measure_codes)
+    if name in ("trips", "spend"):
+        add = with_group if name == "trips" else net_with_group
+        quarterly = add(t.purposes(spark))(quarterly)
+    return quarterly
+
+
 def _classification(spark: SparkSession, d: str) -> DataFrame:
     # derived from a table that grows; staged, its own size is known and it is joined by that size
     return Staging(spark)(t.classification(spark, d), "classification")
@@ -45,7 +62,7 @@ def _classification(spark: SparkSession, d: str) -> DataFrame:
 def _base(name: str, spark: SparkSession, d: str) -> DataFrame:
     """Rolling-year base of an extract, from totals staged once."""
     spec = SPECS[name]
-    quarterly = rolling.quarterly_totals(_rows(name, spark, d), spec.detail_dims, spec.measure_codes)
+    quarterly = _quarterly(name, spark, d)
     totals = rolling.rolling_year_totals(quarterly, spec.detail_dims, spec.measure_codes, seen="seen")
     totals = Staging(spark)(totals, "totals")
     if name == "accommodation":
@@ -213,9 +230,7 @@ def complete_years(spark, d):
 
 
 def quarterly_base(spark, d):
-    spec = SPECS["trips"]
-    totals = rolling.quarterly_totals(_rows("trips", spark, d), spec.detail_dims, TRIP_MEASURES)
-    out = rolling.with_year_ends(totals).drop("TripYear", "TripQtr")
+    out = rolling.with_year_ends(_quarterly("trips", spark, d)).drop("TripYear", "TripQtr")
     return _doubles(out, "Total_Visitors", "Total_Trips")
 
 

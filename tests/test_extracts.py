@@ -7,6 +7,7 @@ from itertools import product
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from yearwheel.__main__ import main
 from yearwheel.operators import checks
@@ -284,6 +285,14 @@ def test_unknown_destination_fails_where_the_extract_forbids_it(spark, tables, s
         extract.data.collect()
 
 
+def test_missing_spend_is_refused(tables, stage):
+    blank = F.when((F.col("TripID") == 3) & (F.col("SpendType") == "Alcohol"), None).otherwise(F.col("ImputedSpendAmt"))
+    spoiled = dataclasses.replace(tables, spend=tables.spend.withColumn("ImputedSpendAmt", blank))
+    extract = survey_extract("spend", extract_specs("Survey")["spend"], spoiled, stage)
+    with pytest.raises(Exception, match="missing values in Expenditure at YE"):
+        extract.data.collect()
+
+
 def test_facts_are_read_once(tables, stage, plan):
     """What is computed after staging never goes back to the fact files."""
     spec = extract_specs("Survey")["spend"]

@@ -67,23 +67,26 @@ def test_derived_types_of_day_and_overnight_trips(table, rows):
     ]
 
 
-def test_contributions_add_up_to_the_netted_table(sample):
+def test_netted_totals_equal_the_netted_table(sample, plan):
     def totals(df):
         out = defaultdict(float)
         for r in df.collect():
-            out[r.TripIDNumber, r.SpendType] += r.Expenditure
+            out[r.SpendType] += r.Expenditure
         return dict(out)
 
-    weighted_trips = sample.select("TripIDNumber").distinct().selectExpr(
-        "TripIDNumber", "'Day Trip' TripType", "1D ExpenditureWeight", "0D ImputedSpendAccom", "0D ImputedSpendTrnsport"
+    trips = sample.select("TripIDNumber").distinct().selectExpr(
+        "TripIDNumber", "'Day Trip' TripType", "2D ExpenditureWeight", "0D ImputedSpendAccom", "0D ImputedSpendTrnsport"
     )
     raw = sample.selectExpr("TripIDNumber TripID", "SpendType", "Expenditure ImputedSpendAmt")
-    netted = spend.combined_spend(weighted_trips, raw, fill=0).where("SpendType <> 'Transport'")
-    assert totals(spend.net_contributions(sample)) == totals(netted)
+    by_trip = spend.combined_spend(trips, raw, fill=0).where("SpendType <> 'Transport'")
+    by_type = spend.weighted_spend(trips, raw).groupBy("SpendType").agg(F.sum("Expenditure").alias("Expenditure"))
+    assert totals(spend.net_totals(by_type)) == totals(by_trip)
+    assert plan(spend.net_totals(by_type)).count("Exchange") == plan(by_type).count("Exchange")
 
 
-def test_contributions_need_no_shuffle(sample, plan):
-    assert "Exchange" not in plan(spend.net_contributions(sample))
+def test_food_alone_still_gives_alcohol(sample):
+    only = spend.net_totals(sample.where("TripIDNumber = 3"))
+    assert {(r.SpendType, r.Expenditure) for r in only.collect()} == {("FoodAndBeverages", 7.0), ("Alcohol", 0.0)}
 
 
 def test_day_trip_accommodation_rule(table):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearwheel.operators.clean import DAY, OVERNIGHT
@@ -109,27 +109,28 @@ def combined_spend(trips: DataFrame, spend: DataFrame, fill: float | None = None
     return rest.unionByName(food).unionByName(derived)
 
 
-def net_contributions(df: DataFrame, amount: str = "Expenditure") -> DataFrame:
-    """Rows whose sums equal those of the netted trip-level spend with missing types as 0.
+def net_totals(totals: DataFrame, amount: str = "Expenditure", kind: str = "SpendType") -> DataFrame:
+    """Take alcohol out of food in totals by spend type.
 
-    Sums are linear, so alcohol may be subtracted from food as a second, negative row instead of
-    within each trip. That needs no grouping by trip: the step stays in the map stage. Spreading
-    gives a trip both types of the pair as soon as it has one, hence the zero row next to food.
+    Sums are linear: subtracting the alcohol total from the food total is the same as netting each
+    trip, with a missing type of the pair as 0. So fact rows are never grouped by trip for it. The
+    difference is left as two rows of opposite sign, for the next sum to join. Food always comes
+    with a row of alcohol, as spreading gives a trip both types once it has one.
     """
-    kind, value = F.col("SpendType"), F.col(amount)
-    zero = F.lit(0).cast(df.schema[amount].dataType)
+    kept = [c for c in totals.columns if c not in (kind, amount)]
+    value, zero = F.col(amount), F.lit(0).cast(totals.schema[amount].dataType)
 
-    def entry(name, contribution):
-        return F.struct(name.alias("SpendType"), contribution.alias(amount))
+    def entry(name: str | Column, contribution: Column) -> Column:
+        name = F.lit(name) if isinstance(name, str) else name
+        return F.struct(name.alias(kind), contribution.alias(amount))
 
-    own = entry(kind, value)
-    alcohol = F.array(own, entry(F.lit(FOOD), -value))
-    food = F.array(entry(F.lit(FOOD), value), entry(F.lit(ALCOHOL), zero))
+    own = F.array(entry(F.col(kind), value))
+    alcohol = F.array(entry(ALCOHOL, value), entry(FOOD, -value))
+    food = F.array(entry(FOOD, value), entry(ALCOHOL, zero))
     entries = (
-        F.when(kind == ALCOHOL, alcohol).when(kind == FOOD_AND_ALCOHOL, food).otherwise(F.array(own))
+        F.when(F.col(kind) == ALCOHOL, alcohol).when(F.col(kind) == FOOD_AND_ALCOHOL, food).otherwise(own)
     )
-    kept = [c for c in df.columns if c not in ("SpendType", amount)]
-    return df.select(*kept, F.inline(entries))
+    return totals.select(*kept, F.inline(entries))
 
 
 def day_trip_accommodation(trips: DataFrame) -> DataFrame:
