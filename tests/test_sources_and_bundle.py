@@ -2,7 +2,9 @@ from pathlib import Path
 
 import pytest
 
+from yearwheel.operators.staging import Staging
 from yearwheel.plans.run import new_run_id
+from yearwheel.session import shuffle_partitions
 from yearwheel.sinks import write_bundle, write_table
 from yearwheel.sources import column_mismatch, read_bundle, read_classification, read_lookup, read_purposes, read_table
 from yearwheel.sources.schemas import SPEND, TRIPS
@@ -36,6 +38,9 @@ def test_lookup_with_crlf_and_commas_in_quotes(spark, tmp_path, rows):
     file = tmp_path / "lookup.csv"
     file.write_bytes(b'Code,Description,SortOrder\r\n1,"Lodges, Retreats",1\r\n2,"All",2\r\n')
     assert rows(read_lookup(spark, str(file))) == [(1, "Lodges, Retreats", 1), (2, "All", 2)]
+    file.write_text("Description,Code,SortOrder\nx,1,1\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_lookup(spark, str(file)).collect()
 
 
 @pytest.mark.parametrize(("end", "line_sep"), [("\r\n", "\r\n"), ("\n", None)])
@@ -93,6 +98,23 @@ def test_bundle_conformance_names_misplaced_columns(spark, table, tmp_path):
     assert column_mismatch(bundle) == [("B", "A"), ("A", "B")]
     assert bundle.raw_lookups["A"].first().Description == '"All"'
     assert bundle.lookups["A"].first().Description == "All"
+    assert bundle.raw_indexes["MeasureIndex"].first().MeasureCode == '"M"'
+    assert bundle.measure_index.first().MeasureCode == "M"
+
+
+def test_shuffle_partitions_follow_the_facts():
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(100 * 2**40) == 100 * 2**40 // (256 * 2**20)
+
+
+def test_staging_uses_the_folder_the_session_names(spark, table):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    stage = Staging(spark)
+    assert stage.folder.startswith(named.rstrip("/") if named else "/")
+    staged = stage(table("a int", [(1,), (2,)]), "t")
+    assert staged.count() == 2 and stage.folder in staged.inputFiles()[0]
+    stage.drop()
+    assert not Path(stage.folder.removeprefix("file:")).exists()
 
 
 def test_run_ids():

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Adaptive execution is what splits a hot trip in the fact joins and turns a small shuffled
-# side into a broadcast; both are Spark defaults, stated here so that a site profile which
-# switches them off is overridden on purpose.
+# side into a broadcast; ANSI mode is what turns a malformed number into an error. All are Spark
+# defaults, stated here so that a site profile which switches them off is overridden on purpose.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

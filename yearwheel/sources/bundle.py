@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Bundle:
-    """A published extract; ``raw`` lookups keep their quotes, ``lookups`` are parsed."""
+    """A published extract. The raw tables keep the quotes that the parsed ones have taken off."""
 
     table_id: str
     data: DataFrame
@@ -19,6 +19,7 @@ class Bundle:
     file_index: DataFrame
     lookups: dict[str, DataFrame]
     raw_lookups: dict[str, DataFrame]
+    raw_indexes: dict[str, DataFrame]
     hierarchies: dict[str, DataFrame]
 
 
@@ -41,6 +42,7 @@ def read_bundle(spark: SparkSession, path: str) -> Bundle:
         file_index=file_index,
         lookups={dim: table(f"DimenLookup{f}") for dim, f in files.items()},
         raw_lookups={dim: table(f"DimenLookup{f}", quote="") for dim, f in files.items()},
+        raw_indexes={name: table(name, quote="") for name in ("DimensionIndex", "MeasureIndex")},
         hierarchies={dim: table(f"DimenHierarchy{f}") for dim, f in files.items()},
     )
 

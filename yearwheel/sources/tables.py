@@ -39,9 +39,12 @@ def read_table(
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Pre-built dimension lookup: Code, Description, SortOrder; any line ends, commas in quotes."""
+    """Pre-built dimension lookup: Code, Description, SortOrder; any line ends, commas in quotes.
+
+    The header must name these columns in this order.
+    """
     schema = ", ".join(f"{c} {t}" for c, t in schemas.LOOKUP.items())
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def read_purposes(
