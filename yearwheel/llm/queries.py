@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yearwheel.llm import token_grammar, warc
+from yearwheel.llm import mixing, secret_links, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -21,6 +22,14 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    judged = url_filter.filter_urls(_table(spark, d, "pages"), URL_RULES, Staging(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "tree_verdict")
+
+
 def op3_warc(spark: SparkSession, d: str) -> DataFrame:
     folder = Staging(spark).folder
     index = warc.write_archives(_table(spark, d, "pages"), folder)
@@ -35,5 +44,55 @@ def op4_token_grammar(spark: SparkSession, d: str) -> DataFrame:
     return token_grammar.read_tokens(index, digest=True)
 
 
-QUERIES = {"op3_warc": op3_warc, "op4_token_grammar": op4_token_grammar}
-ORACLE: dict[str, str] = {}
+def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, d, "documents"), Staging(spark), power=0.5, seed="mix")
+    return mixed.withColumn("rate", F.round("rate", 6))
+
+
+def op7_secret_links(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_links.find_secrets(_table(spark, d, "documents").select("doc_id", "text"))
+    base, spans = F.col("base_spans"), F.col("spans")
+    return found.select(
+        "doc_id",
+        *[secret_links.counted(base, k).alias(f"n_{k}") for k in secret_links.KINDS[: secret_links.BASE]],
+        *[secret_links.counted(spans, k).alias(f"n_{k}") for k in secret_links.KINDS[secret_links.BASE :]],
+        F.sha2(secret_links.named(base), 256).alias("base_sha256"),
+        secret_links.named(spans).alias("spans"),
+    )
+
+
+def op10_viterbi_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return viterbi_pieces.encode_and_check(_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"), ["doc_id"])
+
+
+QUERIES = {
+    "op2_url_filter": op2_url_filter,
+    "op3_warc": op3_warc,
+    "op4_token_grammar": op4_token_grammar,
+    "op6_mixing": op6_mixing,
+    "op7_secret_links": op7_secret_links,
+    "op10_viterbi_pieces": op10_viterbi_pieces,
+}
+
+_MIX_SQL = """
+WITH sizes AS (
+    SELECT source, CAST(greatest(sum(coalesce(length(text), 0)), 1) AS DOUBLE) AS size FROM documents GROUP BY source
+), rates AS (
+    SELECT source, (SELECT sum(size) FROM sizes) * sqrt(size) / (SELECT sum(sqrt(size)) FROM sizes) / size AS rate FROM sizes
+), pmf AS (
+    SELECT source, rate, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p
+    FROM rates, LATERAL (SELECT unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1)) AS k)
+), cdf AS (
+    SELECT source, any_value(rate) AS rate, list(total ORDER BY k) AS cdf
+    FROM (SELECT source, rate, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS total FROM pmf) GROUP BY source
+), drawn AS (
+    SELECT d.*, r.rate, CAST(len(list_filter(r.cdf, lambda c:
+        c < CAST('0x' || substr(md5('mix:' || d.doc_id), 1, 13) AS BIGINT) / 4503599627370496.0)) AS INTEGER) AS n_copies
+    FROM documents d JOIN cdf r ON d.source IS NOT DISTINCT FROM r.source
+), copies AS (SELECT *, CAST(unnest(range(1, n_copies + 1)) AS INTEGER) AS copy FROM drawn)
+SELECT doc_id, text, lang, source, n_chars, round(rate, 6) AS rate, n_copies, copy,
+       md5('mix:order:' || doc_id || ':' || copy) AS shuffle_key
+FROM copies
+"""
+
+ORACLE: dict[str, str] = {"op6_mixing": _MIX_SQL}

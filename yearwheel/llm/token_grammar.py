@@ -15,72 +15,85 @@ same doc_id follow each other in the order of their texts' hashes, and an empty
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearwheel.llm import files
+from yearwheel.llm.distinct import DistinctEncoder, gathered, slices
 
 MAGIC = b"RPAIR001"
 HEADER = struct.Struct("<8sIIIIQ")  # magic, first nonterminal, documents, rules, width, symbols
 INDEX = "part int, block int, file string, offset long, length long, n_docs long, n_ids long"
 
 
-class WordEncoder:
+# signs that end a word without joining it; an apostrophe may begin a contraction
+_SIGNS = "".join(c for c in string.punctuation if c != "'")
+
+
+class WordEncoder(DistinctEncoder):
     """Tokenizer ids of many texts, each distinct word encoded once.
 
-    Holds for tokenizers that drop white space and never let a token cross it. Up to ``most`` words
-    are remembered; beyond that the memory starts anew, which changes no result.
+    Holds for tokenizers that drop white space, fold case and separate letters from signs, so that a
+    word of letters with signs after it is the letters' ids and then the signs'. ASCII letters go to the
+    tokenizer's model directly, as its normalizer only lower-cases them; all else takes the whole path.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
-
-    @property
-    def size(self) -> int:
-        return self.tokenizer.get_vocab_size(with_added_tokens=True)
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of ids of each text."""
-        split = [t.encode().split() if t else [] for t in texts]
-        words = np.empty(sum(map(len, split)), object)
-        words[:] = list(chain.from_iterable(split))
-        codes, distinct = pd.factorize(words)
-        if len(self.known) > self.most:
-            self.known = {}
-        new = [w for w in distinct if w not in self.known]
-        for word, coded in zip(
-            new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True
-        ):
-            self.known[word] = coded.ids
-        ids = [self.known[w] for w in distinct]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-        of_word = lengths[codes]
-        ends = np.concatenate([[0], np.cumsum(of_word)])
-        bounds = np.cumsum([0, *map(len, split)])
-        return gathered(pool, np.cumsum(lengths)[codes] - of_word, of_word), np.diff(ends[bounds])
-
-
-def gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """pool[s : s + n] for every start s and length n, one after the other."""
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.parts: dict[str, list[int]] = {}
+        super().__init__(lambda text: text.encode().split(), self._encode)
+
+    def _encode(self, words: list[bytes]) -> list[list[int]]:
+        if len(self.parts) > self.most:
+            self.parts = {}
+        parts, model, split, whole = self.parts, self.tokenizer.model, [], {}
+        for word in map(bytes.decode, words):
+            core = word.rstrip(_SIGNS)
+            if not core.isalpha():
+                core, tail = word, ""
+            else:
+                tail = word[len(core) :]
+                if core.isascii():
+                    core = core.lower()
+                    if core not in parts:
+                        parts[core] = [t.id for t in model.tokenize(core)]
+            split.append((core, tail))
+            for part in (core, tail):
+                if part not in parts:
+                    whole[part] = None
+        if whole:
+            coded = self.tokenizer.encode(list(whole), is_pretokenized=True, add_special_tokens=False)
+            of_word = np.array(coded.word_ids, np.int64)
+            bounds = np.searchsorted(of_word, np.arange(len(whole) + 1)).tolist()
+            ids = coded.ids
+            for part, begin, end in zip(whole, bounds, bounds[1:], strict=False):
+                parts[part] = ids[begin:end]
+        return [parts[core] + parts[tail] if tail else parts[core] for core, tail in split]
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process, which keeps the words it knows."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def re_pair(
-    ids: np.ndarray, first: int, end_id: int, rounds: int = 8, per_round: int = 4096, least: int = 8, gain: float = 0.01
+    ids: np.ndarray, first: int, end_id: int, rounds: int = 8, per_round: int = 4096, least: int = 8, gain: float = 0.02
 ) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (two columns); rule k has symbol ``first + k``.
 
@@ -228,22 +241,13 @@ class Block:
         return self._expanded(self.seq[begin : self.symbols_to[k]])[0]
 
 
-def _slices(doc_ids: list, texts: list, most: int):
-    begin = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most or k == len(texts) - 1:
-            yield doc_ids[begin : k + 1], texts[begin : k + 1]
-            begin, size = k + 1, 0
-
-
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int, block_ids: int = 1 << 20, text_chars: int = 4 << 20
 ) -> DataFrame:
     """Write ``docs`` (doc_id, text) below ``folder`` and return the index of blocks, kept in ``folder``/index."""
 
     def write(batches):
-        encoder, sink, part = WordEncoder(tokenizer), None, TaskContext.get().partitionId()
+        encoder, sink, part = word_encoder(tokenizer), None, TaskContext.get().partitionId()
         names: list = []
         parts: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
@@ -263,12 +267,13 @@ def write_tokens(
             )
 
         for batch in batches:
-            for ids_, texts in _slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_chars):
-                ids, n = encoder(texts)
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for rows in slices(texts, text_chars):
+                ids, n = encoder(texts[rows])
                 ends = np.cumsum(n)
                 parts.append(np.insert(ids, ends, end_id).astype(np.uint32))
                 sizes.append(n + 1)
-                names += ids_
+                names += doc_ids[rows]
                 held += len(parts[-1])
                 if held >= block_ids:
                     yield flushed()
