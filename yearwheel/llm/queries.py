@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearwheel.llm import mixing, secret_links, token_grammar, url_filter, viterbi_pieces, warc
+from yearwheel.llm import line_crf, mixing, multi_index, secret_links, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -44,6 +44,12 @@ def op4_token_grammar(spark: SparkSession, d: str) -> DataFrame:
     return token_grammar.read_tokens(index, digest=True)
 
 
+def op5_line_crf(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    chain = line_crf.train(docs, _table(spark, d, "labels"))
+    return line_crf.label_quality(docs, chain, ["doc_id"])
+
+
 def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, d, "documents"), Staging(spark), power=0.5, seed="mix")
     return mixed.withColumn("rate", F.round("rate", 6))
@@ -61,6 +67,10 @@ def op7_secret_links(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op9_multi_index(spark: SparkSession, d: str) -> DataFrame:
+    return multi_index.near_duplicates(_table(spark, d, "embeddings"), Staging(spark))
+
+
 def op10_viterbi_pieces(spark: SparkSession, d: str) -> DataFrame:
     return viterbi_pieces.encode_and_check(_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"), ["doc_id"])
 
@@ -69,8 +79,10 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_warc": op3_warc,
     "op4_token_grammar": op4_token_grammar,
+    "op5_line_crf": op5_line_crf,
     "op6_mixing": op6_mixing,
     "op7_secret_links": op7_secret_links,
+    "op9_multi_index": op9_multi_index,
     "op10_viterbi_pieces": op10_viterbi_pieces,
 }
 
