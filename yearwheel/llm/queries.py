@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearwheel.llm import line_crf, mixing, multi_index, secret_links, token_grammar, url_filter, viterbi_pieces, warc
+from yearwheel.llm import line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -25,6 +25,11 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+def op1_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(_table(spark, d, "documents"), Staging(spark))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
     judged = url_filter.filter_urls(_table(spark, d, "pages"), URL_RULES, Staging(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict", "tree_verdict")
@@ -76,6 +81,7 @@ def op10_viterbi_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_warc": op3_warc,
     "op4_token_grammar": op4_token_grammar,
