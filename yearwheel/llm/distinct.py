@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
 
 
 def gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -34,22 +33,41 @@ class DistinctEncoder:
     """
 
     def __init__(self, split: Callable[[str], list], encode: Callable[[list], list], most: int = 300_000):
-        self.split, self.encode, self.most, self.known = split, encode, most, {}
+        self.split, self.encode, self.most = split, encode, most
+        # number of each known part, and where its ids stand in the pool
+        self.known: dict = {}
+        self.pool, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list) -> None:
+        ids = self.encode(new)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.starts = np.concatenate([self.starts, np.cumsum(lengths) - lengths + len(self.pool)])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))])
+
+    def _forget(self, codes: np.ndarray, parts: list) -> None:
+        """Keep the parts of the last texts only."""
+        last, at = np.unique(codes, return_index=True)
+        self.known = {parts[k]: i for i, k in enumerate(at.tolist())}
+        self.pool = gathered(self.pool, self.starts[last], self.lengths[last])
+        self.lengths = self.lengths[last]
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
         split = [self.split(t) if t else [] for t in texts]
         bounds = np.cumsum([0, *map(len, split)])
-        parts = np.empty(bounds[-1], object)
-        parts[:] = list(chain.from_iterable(split))
-        codes, distinct = pd.factorize(parts)
-        new = [p for p in distinct if p not in self.known]
-        self.known.update(zip(new, self.encode(new), strict=True))
-        ids = [self.known[p] for p in distinct]
-        if len(self.known) > self.most:
-            self.known = dict(zip(distinct, ids, strict=True))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-        of_part = lengths[codes]
+        parts = list(chain.from_iterable(split))
+        codes = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            wanted = [parts[k] for k in missing]
+            self._learn(list(dict.fromkeys(wanted)))
+            codes[missing] = [self.known[p] for p in wanted]
+        of_part = self.lengths[codes]
         ends = np.concatenate([[0], np.cumsum(of_part)])
-        return gathered(pool, (np.cumsum(lengths) - lengths)[codes], of_part), np.diff(ends[bounds])
+        ids = gathered(self.pool, self.starts[codes], of_part)
+        if len(self.known) > self.most:
+            self._forget(codes, parts)
+        return ids, np.diff(ends[bounds])

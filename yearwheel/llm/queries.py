@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearwheel.llm import line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
+from yearwheel.llm import jaccard_join, line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -72,6 +72,10 @@ def op7_secret_links(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join.link_documents(_table(spark, d, "documents"), Staging(spark))
+
+
 def op9_multi_index(spark: SparkSession, d: str) -> DataFrame:
     return multi_index.near_duplicates(_table(spark, d, "embeddings"), Staging(spark))
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op5_line_crf": op5_line_crf,
     "op6_mixing": op6_mixing,
     "op7_secret_links": op7_secret_links,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_multi_index": op9_multi_index,
     "op10_viterbi_pieces": op10_viterbi_pieces,
 }

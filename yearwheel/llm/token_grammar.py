@@ -35,14 +35,23 @@ INDEX = "part int, block int, file string, offset long, length long, n_docs long
 
 # signs that end a word without joining it; an apostrophe may begin a contraction
 _SIGNS = "".join(c for c in string.punctuation if c != "'")
+_AFTER_LATIN = "\u0250"
+
+
+def _byte_letters() -> dict[int, int]:
+    """Letters by which byte-level models spell bytes: printable ones stand for themselves."""
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or (b >= 0xA1 and b != 0xAD)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
 
 
 class WordEncoder(DistinctEncoder):
     """Tokenizer ids of many texts, each distinct word encoded once.
 
     Holds for tokenizers that drop white space, fold case and separate letters from signs, so that a
-    word of letters with signs after it is the letters' ids and then the signs'. ASCII letters go to the
-    tokenizer's model directly, as its normalizer only lower-cases them; all else takes the whole path.
+    word of letters with signs after it is the letters' ids and then the signs'. Latin letters go to the
+    tokenizer's model directly, lower-cased and spelled in bytes as its normalizer would; that this gives
+    the same ids is checked for every such letter at the start. All else takes the whole path.
     """
 
     def __init__(self, path: str):
@@ -52,33 +61,41 @@ class WordEncoder(DistinctEncoder):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.parts: dict[str, list[int]] = {}
+        self.spelling = _byte_letters()
+        letters = [c for c in map(chr, range(ord(_AFTER_LATIN))) if c.isalpha()]
+        self.other = {c for c in letters if self._of_letters(f"x{c}y") != self._whole([f"x{c}y"])[0]}
         super().__init__(lambda text: text.encode().split(), self._encode)
 
+    def _of_letters(self, core: str) -> list[int]:
+        core = core.lower()
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(self.spelling)
+        return [t.id for t in self.tokenizer.model.tokenize(core)]
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        bounds = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(words) + 1)).tolist()
+        ids = coded.ids
+        return [ids[begin:end] for begin, end in zip(bounds, bounds[1:], strict=False)]
+
     def _encode(self, words: list[bytes]) -> list[list[int]]:
         if len(self.parts) > self.most:
             self.parts = {}
-        parts, model, split, whole = self.parts, self.tokenizer.model, [], {}
+        parts, split, whole = self.parts, [], {}
         for word in map(bytes.decode, words):
             core = word.rstrip(_SIGNS)
             if not core.isalpha():
                 core, tail = word, ""
             else:
                 tail = word[len(core) :]
-                if core.isascii():
-                    core = core.lower()
-                    if core not in parts:
-                        parts[core] = [t.id for t in model.tokenize(core)]
+                if core not in parts and max(core) < _AFTER_LATIN and self.other.isdisjoint(core):
+                    parts[core] = self._of_letters(core)
             split.append((core, tail))
             for part in (core, tail):
                 if part not in parts:
                     whole[part] = None
         if whole:
-            coded = self.tokenizer.encode(list(whole), is_pretokenized=True, add_special_tokens=False)
-            of_word = np.array(coded.word_ids, np.int64)
-            bounds = np.searchsorted(of_word, np.arange(len(whole) + 1)).tolist()
-            ids = coded.ids
-            for part, begin, end in zip(whole, bounds, bounds[1:], strict=False):
-                parts[part] = ids[begin:end]
+            parts.update(zip(whole, self._whole(list(whole)), strict=True))
         return [parts[core] + parts[tail] if tail else parts[core] for core, tail in split]
 
 
@@ -111,34 +128,41 @@ def re_pair(
         slot[(left == end_id) | (right == end_id)] = 1 << 20
         counts = np.bincount(slot, minlength=(1 << 20) + 1)
         counts[1 << 20] = 0
-        bar = max(least, int(np.partition(counts, -per_round)[-per_round]))
-        at = np.flatnonzero(counts[slot] >= bar)
-        if not len(at):
+        full = np.flatnonzero(counts >= max(least, int(np.partition(counts, -per_round)[-per_round])))
+        if not len(full):
             break
-        seen = np.zeros((1 << 20) + 1, np.uint64)
-        seen[slot[at]] = key[at]
-        at = at[key[at] == seen[slot[at]]]
-        exact = np.bincount(slot[at], minlength=1 << 20)
-        order = np.argsort(-exact, kind="stable")
-        rank = np.zeros(1 << 20, np.int64)  # a higher number is more frequent
-        rank[order] = np.arange(len(order), 0, -1)
-        score = np.zeros(len(seq) + 1, np.int64)
-        score[at + 1] = rank[slot[at]]
-        taken = at[(score[at + 1] > score[at]) & (score[at + 1] >= np.append(score, 0)[at + 2])]
-        used = np.bincount(slot[taken], minlength=1 << 20)
-        chosen = np.flatnonzero(used >= 2)
-        taken = taken[used[slot[taken]] >= 2]
-        if len(taken) < max(2, gain * len(seq)):
+        place = np.full((1 << 20) + 1, -1, np.int32)
+        place[full] = np.arange(len(full))
+        at = np.flatnonzero(place[slot] >= 0)
+        own, keys = place[slot[at]], key[at]
+        seen = np.zeros(len(full), np.uint64)
+        seen[own] = keys
+        exact = keys == seen[own]
+        at, own = at[exact], own[exact]
+        score = np.empty(len(full), np.int32)  # a higher number is more frequent
+        score[np.argsort(-np.bincount(own, minlength=len(full)), kind="stable")] = np.arange(len(full), 0, -1)
+        own_score = score[own]
+        # an occurrence wins against those that begin one symbol before and after it; of equals the first
+        near = np.diff(at) == 1
+        wins = np.ones(len(at), bool)
+        wins[1:] &= ~near | (own_score[1:] > own_score[:-1])
+        wins[:-1] &= ~near | (own_score[:-1] >= own_score[1:])
+        at, own = at[wins], own[wins]
+        used = np.bincount(own, minlength=len(full))
+        taken = used[own] >= 2
+        at, own = at[taken], own[taken]
+        if len(at) < max(2, gain * len(seq)):
             break
-        number = np.zeros(1 << 20, np.uint32)
+        chosen = np.flatnonzero(used >= 2)
+        number = np.zeros(len(full), np.uint32)
         number[chosen] = np.arange(first + n_rules, first + n_rules + len(chosen))
         pairs = seen[chosen]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         n_rules += len(chosen)
         seq = seq.copy()
-        seq[taken] = number[slot[taken]]
+        seq[at] = number[own]
         keep = np.ones(len(seq), bool)
-        keep[taken + 1] = False
+        keep[at + 1] = False
         seq = seq[keep]
     return seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
