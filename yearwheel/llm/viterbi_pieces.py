@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from yearwheel.llm.distinct import DistinctEncoder, slices
 
@@ -216,7 +217,7 @@ def _loaded(path: str) -> tuple[PieceModel, DistinctEncoder]:
 def encode_texts(docs: DataFrame, model: str, columns: list[str], text_chars: int = 4 << 20) -> DataFrame:
     """``columns`` of each row with piece_ids array<int>; ``text`` is encoded."""
     kept = docs.select(*columns, F.col("text").cast("string").alias("__text"))
-    schema = kept.drop("__text").schema.add("piece_ids", "array<int>")
+    schema = kept.drop("__text").schema.add("piece_ids", ArrayType(IntegerType()))
 
     def run(batches):
         encoder = _loaded(model)[1]
