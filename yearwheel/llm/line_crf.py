@@ -190,17 +190,16 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = 2000, train_chars: int = 20_000) -> Chain:
-    """Fit on up to ``train_docs`` documents, half of each quality, of at most ``train_chars`` characters.
-
-    The sample is those with the smallest hashes of doc_id; it is all that reaches the driver.
+    """Fit on up to ``train_docs`` labelled documents, half of each quality: those with the smallest hashes of
+    doc_id, without texts of more than ``train_chars`` characters. The sample is all that reaches the driver.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    short = docs.where(F.length("text") <= train_chars).select("doc_id", F.col("text").cast("string"))
-    rows = short.join(known, "doc_id").select("quality", "text", F.xxhash64("doc_id").alias("order"))
-    sample = []
-    for quality in (1, 0):
-        own = rows.where(F.col("quality") == quality).orderBy("order", "text").limit(train_docs // 2)
-        sample += [(r["text"], quality) for r in own.collect()]
+    ordered = known.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id")
+    quality = {r["doc_id"]: r["quality"] for q in (1, 0) for r in ordered.where(F.col("quality") == q).limit(train_docs // 2).collect()}
+    # the ids are so few that they filter the scan; no text is shuffled
+    texts = docs.where(F.col("doc_id").isin(list(quality))).where(F.length("text") <= train_chars)
+    texts = texts.groupBy("doc_id").agg(F.min(F.col("text").cast("string")).alias("text")).orderBy("doc_id")
+    sample = [(r["text"], quality[r["doc_id"]]) for r in texts.collect()]
     if len({q for _, q in sample}) < 2:
         return Chain()
     lines = Lines([t for t, _ in sample])
