@@ -79,3 +79,18 @@ def test_whole_years_skip_a_gap(table, rows):
     assert [str(r[0]) for r in rows(component_quarters(years))] == [
         "2000-03-31", "2000-06-30", "2000-09-30", "2000-12-31",
     ]
+
+
+def test_numbering_holds_no_dimension_in_one_task(table, plan):
+    names = [f"Customer#{i:05d}" for i in range(2000)] + ["customer#00001x", "a", "Ä"]
+    df = table("k string", [(n,) for n in names])
+    got = {r.Description: r.Code for r in dimensions.generated_lookup(df, "k").collect()}
+    want = {m: i for i, m in enumerate(sorted(names, key=lambda n: (n.lower().encode(), n.encode())), 1)}
+    assert got == want | {"All": len(names) + 1}
+    assert "SinglePartition" not in plan(dimensions.generated_lookup(df, "k"))
+
+
+def test_require_counts_what_it_does_not_name(table):
+    failing = table("control string, actual double, expected double, ok boolean", [(f"c{i:02d}", 1.0, 2.0, False) for i in range(30)])
+    with pytest.raises(checks.CheckFailed, match="30 failed: .* and 10 more"):
+        checks.require(failing)

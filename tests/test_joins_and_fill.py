@@ -30,6 +30,17 @@ def test_forward_fill(table, span, levels):
     assert {("", r.pos): r.value for r in got.collect()} == filled(whole)
 
 
+@pytest.mark.parametrize("levels", [0, 1, 2, 3])
+def test_forward_fill_keeps_rows_without_key_or_position(table, levels):
+    records = [("k", 1, "u"), ("k", 5, None), (None, 2, "v"), (None, 9, None), ("k", None, "w"), ("k", None, None), (None, None, None)]
+    df = table("key string, pos bigint, value string", records)
+    got = forward_fill(df, "value", "pos", ["key"], span=2, levels=levels)
+    found = sorted((str(r.key), str(r.pos), str(r.value)) for r in got.collect())
+    assert found == sorted(
+        [("k", "1", "u"), ("k", "5", "u"), ("None", "2", "v"), ("None", "9", "v"), ("k", "None", "w"), ("k", "None", "None"), ("None", "None", "None")]
+    )
+
+
 def test_forward_fill_crosses_long_runs_without_values(table):
     df = table("pos bigint, value string", [(1, "a"), *[(i, None) for i in range(2, 200)], (10**9, None)])
     got = forward_fill(df, "value", "pos", span=8).select("value").distinct().collect()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearwheel.operators.rolling import NULLS_SUFFIX
@@ -19,10 +19,17 @@ class CheckFailed(ValueError):
 
 
 def require(checks: DataFrame, shown: int = 20) -> None:
-    """Raise :class:`CheckFailed` naming failed controls. A null outcome counts as failed."""
-    failed = checks.where(~F.coalesce(F.col("ok"), F.lit(False))).limit(shown).collect()
-    if failed:
-        raise CheckFailed("; ".join(f"{r.control}: {r.actual} instead of {r.expected}" for r in failed))
+    """Raise :class:`CheckFailed` with the number of failed controls and the first of them by name.
+
+    A null outcome counts as failed. The message names up to ``shown`` and says how many it leaves out.
+    """
+    failed = checks.where(~F.coalesce(F.col("ok"), F.lit(False)))
+    told = F.struct("control", "actual", "expected")
+    found = failed.agg(F.count(F.lit(1)).alias("n"), F.slice(F.sort_array(F.collect_list(told)), 1, shown).alias("first")).first()
+    if found.n:
+        named = "; ".join(f"{r.control}: {r.actual} instead of {r.expected}" for r in found.first)
+        more = f"; and {found.n - len(found.first)} more" if found.n > len(found.first) else ""
+        raise CheckFailed(f"{found.n} failed: {named}{more}")
 
 
 def _truncated(x: Column) -> Column:
@@ -123,4 +130,6 @@ def refuse_missing(totals: DataFrame, dims: Sequence[str], measures: Sequence[st
 def grouping_count(cube: DataFrame, level: str) -> DataFrame:
     """Rows of each grouping set and the number of sets; at most 2^n rows."""
     per_set = cube.groupBy(level).agg(F.count(F.lit(1)).alias("n_rows"))
-    return per_set.withColumn("n_sets", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    # the number of sets is one row of its own, added to each
+    sets = cube.agg(F.count_distinct(level).alias("n_sets")).withColumn("_one", F.lit(1))
+    return per_set.withColumn("_one", F.lit(1)).join(sets, "_one").drop("_one")

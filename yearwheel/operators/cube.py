@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 ALL = "All"
 LEVEL = "_level"
-MAX_DIMENSIONS = 10
 
 
 def grouping_combinations(dims: Sequence[str]) -> list[tuple[str, ...]]:
@@ -18,16 +17,12 @@ def grouping_combinations(dims: Sequence[str]) -> list[tuple[str, ...]]:
     return [combo for size in range(1, len(dims)) for combo in combinations(dims, size)]
 
 
-def _check(dims: Sequence[str]) -> None:
-    if len(dims) > MAX_DIMENSIONS:
-        raise ValueError(f"{len(dims)} dimensions would multiply the base by {2 ** len(dims)}")
-
-
 def _named_totals(grouped: DataFrame, dims: Sequence[str], measures: Sequence[str], level: str | None) -> DataFrame:
-    # The grouping id tells a total from a missing or literal value of the same text.
+    # The grouping id tells a total from a missing or literal value of the same text. Members are
+    # text, as the total's name is; a number, date or flag is written as Spark casts it.
     n = len(dims)
     members = [
-        F.when(F.col(LEVEL).bitwiseAND(1 << (n - 1 - i)) != 0, ALL).otherwise(F.col(d)).alias(d)
+        F.when(F.col(LEVEL).bitwiseAND(1 << (n - 1 - i)) != 0, ALL).otherwise(F.col(d).cast("string")).alias(d)
         for i, d in enumerate(dims)
     ]
     extra = [F.col(LEVEL).alias(level)] if level else []
@@ -49,7 +44,6 @@ def dimension_cube(
     much smaller outcome by 8 again, instead of the base by 64. ``level`` names an output column
     with the grouping id.
     """
-    _check(dims)
     dims = list(dims)
     totals = [F.sum(m).alias(m) for m in measures]
     column = {c: F.col(c) for c in [*dims, LEVEL]}
@@ -70,12 +64,12 @@ def dimension_cube(
 def partial_cube(
     base: DataFrame, dims: Sequence[str], measures: Sequence[str], level: str | None = None
 ) -> DataFrame:
-    """The cube without its finest level and without the grand total."""
-    _check(dims)
-    sets = [[F.col(c) for c in combo] for combo in grouping_combinations(dims)]
-    totals = [F.sum(m).alias(m) for m in measures]
-    grouped = base.groupingSets(sets, *dims).agg(*totals, F.grouping_id().alias(LEVEL))
-    return _named_totals(grouped, dims, measures, level)
+    """The cube without its finest level and without the grand total, taken in the same steps."""
+    inner = level or LEVEL
+    full = dimension_cube(base, dims, measures, inner)
+    # of one dimension alone nothing lies between the two
+    proper = full.where((F.col(inner) != 0) & (F.col(inner) != (1 << len(dims)) - 1))
+    return proper if level else proper.drop(inner)
 
 
 def grand_total(base: DataFrame, dims: Sequence[str], measures: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearwheel.functions.periods import year_end_description, year_end_quarter, year_end_year
@@ -21,9 +21,9 @@ def dimension_members(base: DataFrame, dims: Sequence[str], year_end: str | None
 
     One pass over ``base`` and one shuffle of distinct members serve all dimensions. Codes number
     the members in dictionary order, regardless of case, year-ends in time order; ``All`` is last.
-    The numbering window holds distinct members only, the content of one published lookup.
+    Members of any type are written as text. Numbering is distributed, see :func:`numbered`.
     """
-    entries = [F.struct(F.lit(d).alias(DIMENSION), F.col(d).alias(MEMBER)) for d in dims]
+    entries = [F.struct(F.lit(d).alias(DIMENSION), F.col(d).cast("string").alias(MEMBER)) for d in dims]
     members = (
         base.select(F.inline(F.array(*entries)))
         .where(F.col(MEMBER).isNotNull() & (F.col(MEMBER) != ALL))
@@ -31,17 +31,44 @@ def dimension_members(base: DataFrame, dims: Sequence[str], year_end: str | None
     )
     is_period = F.col(DIMENSION) == F.lit(year_end)
     period = F.when(is_period, year_end_year(F.col(MEMBER)) * 4 + year_end_quarter(F.col(MEMBER)))
-    order = Window.partitionBy(DIMENSION).orderBy(period, F.lower(MEMBER), MEMBER)
-    numbered = members.withColumn("Code", F.row_number().over(order))
-    total = numbered.groupBy(DIMENSION).agg((F.max("Code") + 1).alias("Code"))
+    coded = numbered(members, DIMENSION, period, F.lower(MEMBER), F.col(MEMBER), "Code")
+    total = members.groupBy(DIMENSION).agg((F.count(F.lit(1)) + 1).cast("int").alias("Code"))
     description = F.when(is_period, year_end_description(F.col(MEMBER))).otherwise(F.col(MEMBER))
     return (
-        numbered.withColumn("Description", description)
+        coded.withColumn("Description", description)
         .unionByName(total.withColumns({MEMBER: F.lit(ALL), "Description": F.lit(ALL)}))
         .select(DIMENSION, MEMBER, "Code", "Description", F.col("Code").alias("SortOrder"))
     )
 
 
+def numbered(members: DataFrame, key: str, lead: Column, text: Column, last: Column, name: str) -> DataFrame:
+    """Row numbers from 1 within each ``key``, in order of ``lead``, ``text`` and ``last``.
+
+    Members of a key are cut into buckets that begin alike: ``text`` up to three characters beyond what
+    all members of the key share. Rows are numbered within their bucket and shifted by the sizes of the
+    buckets before; only those sizes, whose number is bounded by the alphabet, meet in one window.
+    """
+    rows = members.withColumns({"_lead": lead, "_text": text, "_last": last})
+    ends = rows.groupBy(key).agg(F.min("_text").alias("_low"), F.max("_text").alias("_high"))
+    alike = F.filter(
+        F.sequence(F.lit(1), F.length("_low") + 1),
+        lambda n: (n <= F.length("_low")) & (F.substring("_low", F.lit(1), n) == F.substring("_high", F.lit(1), n)),
+    )
+    ends = ends.select(key, (F.size(alike) + 3).alias("_chars"))
+    cut = rows.join(ends, key).withColumn("_bucket", F.substring("_text", F.lit(1), F.col("_chars")))
+    same = [key, "_lead", "_bucket"]
+    sizes = cut.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_lead", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col(key).alias("_key"), F.col("_lead").alias("_of_lead"), F.col("_bucket").alias("_of"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+    )
+    row = F.row_number().over(Window.partitionBy(*same).orderBy("_text", "_last"))
+    met = (F.col(key) == F.col("_key")) & F.col("_lead").eqNullSafe(F.col("_of_lead")) & (F.col("_bucket") == F.col("_of"))
+    out = cut.withColumn("_row", row).join(starts, met)
+    return out.withColumn(name, (F.col("_row") + F.col("_start")).cast("int")).select(*members.columns, name)
+
+
 def year_end_lookup(df: DataFrame, column: str) -> DataFrame:
     """Code, Description, SortOrder and YE (the label in the data) of a year-end dimension."""
     members = dimension_members(df.where(F.length(column) == 9), [column], year_end=column)
@@ -55,10 +82,11 @@ def generated_lookup(df: DataFrame, column: str) -> DataFrame:
 
 def hierarchy(lookup: DataFrame) -> DataFrame:
     """Parent (code of ``All``) and Child (each other code) of one lookup."""
-    total = F.max(F.when(F.col("Description") == ALL, F.col("Code")))
-    parent = total.over(Window.partitionBy(F.lit(0)))
-    pairs = lookup.select(parent.alias("Parent"), F.col("Code").alias("Child"), "Description")
-    return pairs.where(F.col("Description") != ALL).drop("Description")
+    is_total = F.col("Description") == ALL
+    # one row, so it joins by broadcast; a lookup without ``All`` gives pairs without a parent
+    total = lookup.agg(F.max(F.when(is_total, F.col("Code"))).alias("Parent")).withColumn("_one", F.lit(1))
+    children = lookup.where(~is_total).select(F.col("Code").alias("Child"), F.lit(1).alias("_one"))
+    return children.join(total, "_one").select("Parent", "Child")
 
 
 def published_lookup(lookup: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ key never meets the join as more than one row per map task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +42,10 @@ def trips_with(trips: DataFrame, details: DataFrame) -> DataFrame:
 def unused_values(reference: DataFrame, used: DataFrame, key: str) -> DataFrame:
     """Rows of ``reference`` whose key never occurs in ``used``."""
     return reference.join(used.select(key).distinct(), key, "left_anti")
+
+
+def unmatched(rows: DataFrame, known: DataFrame, key: str, amounts: Sequence[str]) -> DataFrame:
+    """Values of ``key`` in ``rows`` that ``known`` lacks, with the totals of ``amounts`` they carry."""
+    totals = rows.groupBy(key).agg(*[F.sum(a).alias(a) for a in amounts])
+    lost = totals.join(known.select(F.col(key).alias("_known")).distinct(), F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+    return lost.select(F.lit(key).alias("dimension"), F.col(key).cast("string").alias("member"), *amounts)
