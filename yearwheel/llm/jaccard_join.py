@@ -3,8 +3,9 @@
 The set of a document is its distinct ``shingle``-word runs. For any order of all shingles, linked sets
 share one among their first n - ceil(n * percent / 100) + 1 shingles. Three orders are used:
 
-* by hash: a document that shares no shingle of its prefix with another one has no link and leaves. This
-  needs no counts of shingles, only of those in prefixes;
+* by hash: of the first m shingles a linked document shares all but n - ceil(n * percent / 100) with its
+  partner. A document that shares fewer with others, over a prefix longer by a quarter, has no link and
+  leaves. This needs no counts of shingles but of those in prefixes;
 * two orders that put the documents' rare shingles first: shingles whose hash falls in a zone of its own
   come first, by the number of remaining documents that hold them, then by hash; the others follow by hash.
   Passages that many documents share stand last in the zone, and so outside most prefixes.
@@ -59,6 +60,12 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
+def longer_prefix(n: int, percent: int) -> int:
+    """Shingles looked at in the order by hash."""
+    p = prefix_length(n, percent)
+    return min(n, p + p // 4)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
@@ -80,7 +87,7 @@ def _first_prefix(batches, shingle: int, percent: int, text_chars: int):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         for part in slices(texts, text_chars):
             sets = shingle_sets(texts[part], shingle)
-            prefixes = [_signed(np.sort(mixed(s ^ ORDERS[0]))[: prefix_length(len(s), percent)]) if len(s) else s.astype(np.int64) for s in sets]
+            prefixes = [_signed(np.sort(mixed(s ^ ORDERS[0]))[: longer_prefix(len(s), percent)]) if len(s) else s.astype(np.int64) for s in sets]
             keys = [md5(s.tobytes()).digest() if len(s) else None for s in sets]
             columns = [ids[part.start : part.stop], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "prefix"])
@@ -154,11 +161,14 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
     settings = {"shingle": shingle, "percent": percent, "text_chars": text_chars}
     sets = stage(named.mapInArrow(partial(_first_prefix, **settings), "doc_id long, n long, key binary, prefix array<long>"), "sets")
     classes = stage(sets.where("doc_id IS NOT NULL AND n > 0").groupBy("key").agg(F.min("doc_id").alias("doc")), "classes")
-    # documents that share a shingle of the prefix by hash with another class
-    heads = sets.join(classes, "key").where("doc_id = doc").groupBy("key").agg(F.first("doc").alias("doc"), F.first("prefix").alias("prefix"))
-    tokens = heads.select("doc", F.explode("prefix").alias("token"))
+    # documents that share enough shingles of the prefix by hash with other classes
+    heads = sets.join(classes, "key").where("doc_id = doc").groupBy("key").agg(F.first("doc").alias("doc"), F.first("prefix").alias("prefix"), F.first("n").alias("n"))
+    length = f"(n - (n * {percent} + 99) div 100 + 1)"
+    least = F.expr(f"least(n, {length} + {length} div 4) - {length} + 1").cast("int")
+    tokens = heads.select("doc", least.alias("least"), F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
-    meeting = stage(tokens.join(shared, "token").select("doc").distinct(), "meeting")
+    met = tokens.join(shared, "token").groupBy("doc", "least").agg(F.count(F.lit(1)).alias("met"))
+    meeting = stage(met.where("met >= least").select("doc").distinct(), "meeting")
     texts = stage(named.join(meeting, F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
     zone = texts.mapInArrow(partial(_zone_rows, **settings), "doc long, number int, token long, late boolean")
     if texts.count() != meeting.count():  # several rows of one doc_id
