@@ -131,6 +131,12 @@ VIEWS = {
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Activity_Group
         FROM (SELECT p_partkey AS pos, CASE WHEN p_size <= 7 THEN p_brand END AS g, p_name AS Activity
               FROM part)""",
+    "v_gappy": """SELECT pos, spot, k, Activity, CASE WHEN spot IS NULL THEN g ELSE last_value(g IGNORE NULLS) OVER (
+            PARTITION BY k, spot IS NULL ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS Activity_Group
+        FROM (SELECT p_partkey AS pos, CASE WHEN p_partkey % 13 <> 0 THEN p_partkey END AS spot,
+                     CASE WHEN p_partkey % 11 <> 0 THEN p_partkey % 3 END AS k,
+                     CASE WHEN p_size <= 7 THEN p_brand END AS g, p_name AS Activity FROM part)""",
+    "v_customers": "SELECT 'Customer ' || o_custkey AS member FROM orders",
     "v_rows_accommodation": """SELECT TripYear, TripQtr, LOS_Group, DestinationRTO AS Destination_RTO,
             AccommodationType AS Accommodation_Type, RespondentWeight AS Total_Visitors,
             SmoothedTripWeight AS Total_Trips, NoNights * SmoothedTripWeight AS Total_Nights,
@@ -165,6 +171,7 @@ for _name in q.SPECS:
             "Accommodation_Type": "SELECT * FROM v_types",
         }.get(_dim, _lookup(f"v_base_{_name}", _dim))
 VIEWS["v_pov_lookup"] = _lookup("v_clean", "POV")
+VIEWS["v_many_lookup"] = _lookup("v_customers", "member")
 
 
 def _with(query: str) -> str:
@@ -205,12 +212,9 @@ def _extract_query(name: str) -> str:
 
 
 def _encode_trips() -> str:
-    sql = _encoded("trips", ", ".join(f"CAST(f.{m} AS DOUBLE) AS {m}" for m in q.TRIP_MEASURES))
-    return sql.replace("v_codes_trips_Destination_RTO", "v_generated_destinations")
+    return _encoded("trips", ", ".join(f"CAST(f.{m} AS DOUBLE) AS {m}" for m in q.TRIP_MEASURES))
 
 
-VIEWS["v_generated_destinations"] = _lookup("v_base_trips", "Destination_RTO")
-
 _LABEL_COLUMNS = ", ".join(f"{_label(p, k)} AS {p}" for p, k in LABELS.items())
 _QUARTERS = """SELECT DISTINCT TripYear, TripQtr,
     CAST(last_day(make_date(TripYear, TripQtr * 3, 1)) AS DATE) AS QEDate FROM v_trips"""
@@ -229,15 +233,45 @@ def _control(label: str, actual: str, expected: str, tolerance: str = "= 0") ->
 
 def _trip_type_control(kind: str) -> str:
     return _control(
-        kind,
+        f"Total_Trips {q.CONTROL_YEAR} {kind}",
         f"SELECT trunc(sum(Total_Trips)) FROM v_base_trips WHERE Year_Ending = '{q.CONTROL_YEAR}' AND Trip_Type = '{kind}'",
         f"SELECT floor(sum(SmoothedTripWeight)) FROM v_clean WHERE {_IN_YEAR} AND TripType = '{kind}'",
     )
 
 
-_YEAR_2000 = "SELECT round_even(CAST(sum(SmoothedTripWeight) AS DOUBLE), 0) FROM v_clean WHERE TripYear = 2000"
+def _recoded(name: str) -> str:
+    quote = lambda v: "'" + v.replace("'", "''") + "'"
+    values = q.rule_inputs(name)
+    given = f"[{', '.join(map(quote, values))}][CAST(o_orderkey % {len(values)} + 1 AS INT)]"
+    cases = " ".join(f"WHEN {quote(old)} THEN {quote(new)}" for old, new in q.RULE_SETS[name].items())
+    return f"SELECT '{name}' AS rules, CASE {given} {cases} ELSE {given} END AS value, count(*) AS n FROM orders GROUP BY 2"
+
+
+def _lost(name: str, dim: str, source: str, known: str) -> str:
+    sums = ", ".join(f"CAST(sum({m}) AS DOUBLE) AS {m}" for m in q.SPECS[name].measure_codes)
+    return f"""SELECT '{dim}' AS dimension, {dim} AS member, {sums} FROM {source}
+        WHERE {dim} NOT IN ({known}) GROUP BY {dim}"""
+
+
+def _wide() -> str:
+    dims = list(t.WIDE_SQL)
+    members = ", ".join(f"CASE WHEN GROUPING({d}) = 1 THEN 'All' ELSE CAST({d} AS VARCHAR) END AS {d}" for d in dims)
+    columns = ", ".join(f"{sql} AS {d}" for d, sql in t.WIDE_SQL.items())
+    return f"""SELECT {members}, CAST(sum(v) AS DOUBLE) AS total
+        FROM (SELECT {columns}, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders) GROUP BY CUBE({', '.join(dims)})"""
+
+
+VIEWS["v_clean_measures"] = """SELECT POV, RespondentWeight AS Total_Visitors, SmoothedTripWeight AS Total_Trips,
+    1 AS Total_Respondents FROM v_clean"""
+VIEWS["v_clean_activities"] = """SELECT Activities, SmoothedTripWeight AS Total_Activities
+    FROM v_clean JOIN v_activities ON TripIDNumber = TripID"""
+
+_YEAR_2000 = "SELECT sum(SmoothedTripWeight) FROM v_clean WHERE TripYear = 2000"
 _BY = "SELECT sum(x) FROM (SELECT sum(Total_Trips) AS x FROM v_base_trips WHERE Year_Ending = '{}' GROUP BY {})"
 
+_WITH_ACTIVITY = """SELECT sum(SmoothedTripWeight) FROM v_clean
+    WHERE TripYear = 1998 AND TripQtr = 3 AND TripIDNumber IN (SELECT TripID FROM v_activities)"""
+
 STATEMENTS = {
     "scan_trips": """SELECT TripIDNumber, TripType AS Trip_Type, DestinationRTO AS Destination_RTO,
         CAST(SmoothedTripWeight AS DOUBLE) AS Total_Trips FROM v_trips""",
@@ -247,15 +281,13 @@ STATEMENTS = {
         FROM v_purposes p LEFT JOIN v_clean c ON p.POV = c.POV GROUP BY ALL""",
     "purpose_group": """SELECT POV_Group, count(*) AS n_trips, CAST(sum(SmoothedTripWeight) AS DOUBLE) AS Total_Trips
         FROM v_clean JOIN v_partial_purposes USING (POV) GROUP BY POV_Group""",
-    "forward_fill": "SELECT pos, Activity_Group, Activity FROM v_filled",
+    "forward_fill": "SELECT pos, spot, k, Activity_Group, Activity FROM v_gappy",
     "activity_classification": "SELECT Activity_Group, Activity, count(*) AS n FROM v_filled GROUP BY ALL",
     "weighted_measures": """SELECT TripIDNumber, CAST(NoNights * SmoothedTripWeight AS DOUBLE) AS Total_Nights,
         CAST(1 AS INT) AS Total_Respondents FROM v_clean JOIN v_stays ON TripIDNumber = TripID""",
     "null_fill": """SELECT TripIDNumber, POV, CAST(ImputedSpendAccom AS DOUBLE) AS ImputedSpendAccom,
         CAST(ImputedSpendTrnsport AS DOUBLE) AS ImputedSpendTrnsport FROM v_clean""",
-    "recode_values": """SELECT CASE o_orderpriority WHEN '1-URGENT   ' THEN 'wrong' WHEN '1-urgent' THEN 'wrong'
-        WHEN '2-HIGH' THEN 'High' WHEN '5-LOW' THEN 'Low' ELSE o_orderpriority END AS priority, count(*) AS n
-        FROM orders GROUP BY 1""",
+    "recode_values": " UNION ALL ".join(map(_recoded, q.RULE_SETS)),
     "los_band": f"""SELECT source, {_band("nights")} AS band, count(*) AS n FROM (
         SELECT 'eight' AS source, 8 * (l_quantity - 1) AS nights FROM lineitem
         UNION ALL SELECT 'half', l_quantity / 2 FROM lineitem) GROUP BY ALL""",
@@ -285,6 +317,21 @@ STATEMENTS = {
         CAST(Total_Trips AS DOUBLE) AS Total_Trips, CAST(Total_Respondents AS BIGINT) AS Total_Respondents
         FROM v_base_trips""",
     "partial_grouping_sets": f"""{_cube_query("trips")} WHERE level NOT IN (0, {2 ** len(q.TRIP_DIMS) - 1})""",
+    "cube_wide": _wide(),
+    "lookup_many": "SELECT Code, Description, Code AS SortOrder FROM v_many_lookup",
+    "hierarchy_many": """SELECT (SELECT max(Code) FROM v_many_lookup WHERE Description = 'All') AS Parent, Code AS Child
+        FROM v_many_lookup WHERE Description <> 'All'""",
+    "loss_accommodation": " UNION ALL ".join(
+        [
+            _lost("accommodation", "LOS_Group", "v_base_accommodation", "SELECT Description FROM v_bands"),
+            _lost("accommodation", "Destination_RTO", "v_base_accommodation", "SELECT Description FROM v_destinations"),
+            _lost("accommodation", "Accommodation_Type", "v_base_accommodation", "SELECT Description FROM v_types"),
+        ]
+    ),
+    "loss_purposes": _lost("trips", "POV", "v_clean_measures", "SELECT POV FROM v_partial_purposes"),
+    "loss_activities": _lost(
+        "activity", "Activities", "v_clean_activities", "SELECT Activity FROM v_classification WHERE Activity_Group <> 'PROMO'"
+    ),
     "grand_total": f"""SELECT {", ".join(f"'All' AS {d}" for d in q.TRIP_DIMS)},
         {", ".join(f"CAST(sum({m}) AS DOUBLE) AS {m}" for m in q.TRIP_MEASURES)} FROM v_base_trips""",
     "grouping_count": """SELECT CAST(level AS BIGINT) AS level, count(*) AS n_rows,
@@ -325,8 +372,28 @@ STATEMENTS = {
                 _BY.format(q.CONTROL_YEAR, "POV_Group"),
                 "< 0.5",
             ),
-            _control("trips of 2000", _YEAR_2000, _YEAR_2000),
-            _control("activity rows", "SELECT count(*) FROM v_activities", "SELECT count(*) FROM lineitem"),
+            _control(
+                "Total_Trips YEDec2000",
+                "SELECT sum(Total_Trips) FROM v_base_trips WHERE Year_Ending = 'YEDec2000'",
+                _YEAR_2000,
+                "< 0.5",
+            ),
+            _control(
+                f"Total_Respondents {q.CONTROL_YEAR}",
+                f"SELECT sum(Total_Respondents) FROM v_base_trips WHERE Year_Ending = '{q.CONTROL_YEAR}'",
+                "SELECT 1",
+            ),
+            _control(
+                "Raw_Count of quarterly",
+                "SELECT count(*) FROM v_clean JOIN v_activities ON TripIDNumber = TripID",
+                "SELECT count(*) FROM lineitem",
+            ),
+            _control(
+                "SmoothedTripWeight of trips_with_details 1998 3",
+                _WITH_ACTIVITY,
+                _WITH_ACTIVITY,
+                "< 0.5",
+            ),
         ]
     ),
     "distinct_trip_total": """SELECT CAST(sum(SmoothedTripWeight) AS DOUBLE) AS total FROM v_clean
@@ -342,6 +409,12 @@ STATEMENTS = {
         "accommodation spend of day trips",
         "SELECT sum(ExpenditureWeight * ImputedSpendAccom) FROM v_clean WHERE TripType = 'Day Trip'",
         "SELECT 0",
+    )
+    + " UNION ALL "
+    + _control(
+        "accommodation spend of turned trips",
+        "SELECT sum(ExpenditureWeight * ImputedSpendAccom) FROM v_clean WHERE TripType <> 'Day Trip'",
+        "SELECT 0",
     ),
     "quarter_end_date": "SELECT QEDate, TripYear, TripQtr FROM v_quarters",
     "lagged_month_end": """SELECT QEDate, CAST(last_day(QEDate - INTERVAL 3 MONTH) AS DATE) AS less3m,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,96 +11,87 @@ from pyspark.sql import functions as F
 
 from parity import tables as t
 from yearwheel.functions import length_of_stay_band, measure_text, recode
+from yearwheel.functions.recode import (
+    ACCOMMODATION_RULES,
+    ACTIVITY_CLASS_RULES,
+    ACTIVITY_RULES,
+    DESTINATION_RULES,
+    PURPOSE_RULES,
+    SPEND_TYPE_RULES,
+)
 from yearwheel.operators import calendar, checks, clean, cube, dimensions, fill, joins, rolling, spend
 from yearwheel.operators.staging import Staging
-from yearwheel.plans import extract_specs, survey_extract
+from yearwheel.plans import Control, extract_specs, survey_extract
 from yearwheel.plans.extracts import (
+    Extract,
     accommodation_rows,
     activity_rows,
-    net_with_group,
-    spend_rows,
+    build_extract,
     trip_rows,
+    with_activity_groups,
     with_group,
 )
-from yearwheel.sources.tables import SurveyTables
+from yearwheel.sources import schemas
+from yearwheel.sources.tables import SurveyTables, read_classification, read_lookup, read_purposes, read_table
 
 SPECS = extract_specs("Survey")
-TRIP_DIMS = SPECS["trips"].dims
-TRIP_MEASURES = SPECS["trips"].measure_codes
+_stagings: list[Staging] = []
 
 
-def _doubles(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+def staging(spark: SparkSession) -> Staging:
+    """Staging whose folder goes when the Python process of the session ends."""
+    _stagings.append(Staging(spark))
+    return _stagings[-1]
 
 
-# ------------------------------------------------------------------ shared steps
+@atexit.register
+def _drop_all() -> None:
+    for stage in _stagings:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            stage.drop()
 
 
-def _rows(name: str, spark: SparkSession, d: str) -> DataFrame:
-    if name == "accommodation":
-        return accommodation_rows(t.trips(spark, d), t.stays(spark, d))
-    if name == "trips":
-        return trip_rows(t.trips(spark, d))
-    if name == "spend":
-        return spend_rows(t.trips(spark, d), t.spend_lines(spark, d))
-    return activity_rows(t.trips(spark, d), t.activities(spark, d), _classification(spark, d))
+TRIP_DIMS = SPECS["trips"].dims
+TRIP_MEASURES = SPECS["trips"].measure_codes
 
 
-def _quarterly(name: str, spark: SparkSession, d: str) -> DataFrame:
-    rows, spec = _rows(name, spark, d), SPECS[name]
-    found = [c for c in spec.detail_dims if c in rows.columns]
-    quarterly = rolling.quarterly_totals(rows, found, spec.measure_codes)
-    if name in ("trips", "spend"):
-        add = with_group if name == "trips" else net_with_group
-        quarterly = add(t.purposes(spark))(quarterly)
-    return quarterly
+def _doubles(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-def _classification(spark: SparkSession, d: str) -> DataFrame:
-    # derived from a table that grows; staged, its own size is known and it is joined by that size
-    return Staging(spark)(t.classification(spark, d), "classification")
+# ------------------------------------------------------------------ shared steps
 
 
-def _base(name: str, spark: SparkSession, d: str) -> DataFrame:
-    """Rolling-year base of an extract, from totals staged once."""
-    spec = SPECS[name]
-    quarterly = _quarterly(name, spark, d)
-    totals = rolling.rolling_year_totals(quarterly, spec.detail_dims, spec.measure_codes, seen="seen")
-    totals = Staging(spark)(totals, "totals")
-    if name == "accommodation":
-        complete = rolling.complete_years(clean.overnight_trips(t.trips(spark, d)))
-    else:
-        complete = rolling.years_seen_whole(totals, "seen")
-    base = totals.join(complete, rolling.YEAR_END, "left_semi").drop("seen")
-    return base.withColumnRenamed(rolling.YEAR_END, spec.year_dim)
+def _extract(name: str, spark: SparkSession, d: str) -> Extract:
+    """The production extract on the given tables."""
+    survey = SurveyTables(
+        trips=t.trips(spark, d),
+        stays=t.stays(spark, d),
+        spend=t.spend_lines(spark, d),
+        activities=t.activities(spark, d),
+        purposes=t.purposes(spark),
+        classification=t.classification(spark, d),
+        destinations=t.destinations(spark, d),
+        lengths_of_stay=t.lookup(spark, t.BANDS),
+        accommodation_types=t.lookup(spark, t.ACCOMMODATION_TYPES),
+    )
+    return survey_extract(name, SPECS[name], survey, staging(spark))
 
 
-def _cube(name: str, spark: SparkSession, d: str, level: str | None = None) -> DataFrame:
-    spec = SPECS[name]
-    return cube.dimension_cube(_base(name, spark, d), spec.dims, spec.measure_codes, level)
+def _base(name: str, spark: SparkSession, d: str) -> DataFrame:
+    return _extract(name, spark, d).base
 
 
 def _cube_query(name: str):
     def query(spark: SparkSession, d: str) -> DataFrame:
-        return _doubles(_cube(name, spark, d), *SPECS[name].measure_codes)
+        return _doubles(_extract(name, spark, d).cube, *SPECS[name].measure_codes)
 
     return query
 
 
 def _extract_query(name: str):
     def query(spark: SparkSession, d: str) -> DataFrame:
-        survey = SurveyTables(
-            trips=t.trips(spark, d),
-            stays=t.stays(spark, d),
-            spend=t.spend_lines(spark, d),
-            activities=t.activities(spark, d),
-            purposes=t.purposes(spark),
-            classification=_classification(spark, d) if name == "activity" else t.classification(spark, d),
-            destinations=t.destinations(spark, d),
-            lengths_of_stay=t.lookup(spark, t.BANDS),
-            accommodation_types=t.lookup(spark, t.ACCOMMODATION_TYPES),
-        )
-        return survey_extract(name, SPECS[name], survey, Staging(spark)).data
+        return _extract(name, spark, d).data
 
     return query
 
@@ -107,22 +100,44 @@ def _extract_query(name: str):
 
 
 def scan_trips(spark, d):
-    kept = t.trips(spark, d).select("TripIDNumber", "TripType", "DestinationRTO", "POV", "SmoothedTripWeight")
-    out = kept.drop("POV").withColumnsRenamed(
-        {"TripType": "Trip_Type", "DestinationRTO": "Destination_RTO", "SmoothedTripWeight": "Total_Trips"}
+    """Typed columns of a parquet table by the production reader, narrowed, renamed and joined."""
+    columns = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": schemas.NUMBER}
+    orders = read_table(spark, f"{d}/orders.parquet", columns, fmt="parquet", number=t.MONEY)
+    places = t.load(spark, d, "customer").join(t.load(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    day = F.col("o_orderstatus") == "F"
+    out = orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("TripIDNumber"),
+        F.when(day, clean.DAY).otherwise(clean.OVERNIGHT).alias("Trip_Type"),
+        F.col("n_name").alias("Destination_RTO"),
+        F.col("o_totalprice").alias("Total_Trips"),
     )
     return _doubles(out, "Total_Trips")
 
 
 def lookup_prebuilt(spark, d):
-    types = t.lookup(spark, t.ACCOMMODATION_TYPES)
-    coded = t.stays(spark, d).join(types, F.col("AccommodationType") == F.col("Description"))
+    """Types of the parts as a lookup file with CR LF and quoted members, read by the production reader."""
+    types = t.load(spark, d, "part").select("p_type").distinct()
+    known = types.join(t.lookup(spark, t.ACCOMMODATION_TYPES), F.col("p_type") == F.col("Description"))
+    line = F.format_string('%d,"%s",%d', "Code", "Description", "Code").alias("value")
+    lines = known.select(F.col("Code").alias("at"), line)
+    lines = lines.unionByName(spark.createDataFrame([(0, "Code,Description,SortOrder")], "at int, value string"))
+    path = f"{staging(spark).folder}/lookup"
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.option("lineSep", "\r\n").text(path)
+    read = read_lookup(spark, path)
+    coded = t.stays(spark, d).join(read, F.col("AccommodationType") == F.col("Description"))
     return coded.groupBy("Code", "Description").agg(F.count(F.lit(1)).alias("n_stays"))
 
 
 def purpose_concordance(spark, d):
+    """Purposes as a file with line feeds and repeated names in its header, read by the production reader."""
+    header = 'c,d,g,"g\n(1)",b,bd,g,"g\n(2)"'
+    lines = spark.createDataFrame([(0, header)], "at int, value string").unionByName(
+        t.purposes(spark).select(F.lit(1).alias("at"), F.concat_ws(",", F.lit(1), "POV", *[F.lit("x")] * 5, "POV_Group").alias("value"))
+    )
+    path = f"{staging(spark).folder}/purposes"
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.option("lineSep", "\r\n").text(path)
     used = clean.clean_trips(t.trips(spark, d)).groupBy("POV").agg(F.count(F.lit(1)).alias("n_trips"))
-    return t.purposes(spark).join(used, "POV", "left").fillna(0, ["n_trips"])
+    return read_purposes(spark, path).join(used, "POV", "left").fillna(0, ["n_trips"])
 
 
 def purpose_group(spark, d):
@@ -135,13 +150,23 @@ def purpose_group(spark, d):
     return _doubles(out, "Total_Trips")
 
 
+def _gappy(spark, d):
+    """Sparse classification with a nullable key and rows without a position."""
+    key = F.when(F.col("pos") % 11 != 0, F.col("pos") % 3)
+    pos = F.when(F.col("pos") % 13 != 0, F.col("pos"))
+    return t.sparse_classification(spark, d).withColumns({"k": key, "spot": pos})
+
+
 def forward_fill(spark, d):
-    return fill.forward_fill(t.sparse_classification(spark, d), "Activity_Group", "pos")
+    filled = fill.forward_fill(_gappy(spark, d), "Activity_Group", "spot", ["k"], span=64, levels=2)
+    return filled.select("pos", "spot", "k", "Activity_Group", "Activity")
 
 
 def activity_classification(spark, d):
-    filled = fill.forward_fill(t.sparse_classification(spark, d), "Activity_Group", "pos", span=256)
-    named = clean.clean_classification(filled.select("Activity_Group", "Activity"))
+    """Sparse classification staged as a file and read, filled and recoded by the production reader."""
+    stage = staging(spark)
+    stage(t.sparse_classification(spark, d), "sparse")
+    named = read_classification(spark, f"{stage.folder}/sparse", fmt="parquet")
     return named.groupBy("Activity_Group", "Activity").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -160,13 +185,31 @@ def null_fill(spark, d):
     return _doubles(filled, "ImputedSpendAccom", "ImputedSpendTrnsport")
 
 
-# trailing blanks and case decide whether a rule applies
-RECODE_RULES = {"1-URGENT   ": "wrong", "1-urgent": "wrong", "2-HIGH": "High", "5-LOW": "Low"}
+RULE_SETS = {
+    "destination": DESTINATION_RULES,
+    "spend": SPEND_TYPE_RULES,
+    "activity": ACTIVITY_RULES,
+    "accommodation": ACCOMMODATION_RULES,
+    "purpose": PURPOSE_RULES,
+    "class": ACTIVITY_CLASS_RULES,
+}
+
+
+def rule_inputs(name: str) -> list[str]:
+    """Values a rule set applies to, and two near misses: trailing blanks and case decide."""
+    old = list(RULE_SETS[name])
+    return [*old, old[0] + " ", old[0].upper(), "unknown"]
 
 
 def recode_values(spark, d):
-    value = recode(F.col("o_orderpriority"), RECODE_RULES)
-    return t.load(spark, d, "orders").groupBy(value.alias("priority")).agg(F.count(F.lit(1)).alias("n"))
+    """Every rule set, on values that the order keys pick from its left sides."""
+    orders, out = t.load(spark, d, "orders"), None
+    for name, own in RULE_SETS.items():
+        values = rule_inputs(name)
+        value = F.element_at(F.array(*map(F.lit, values)), (F.col("o_orderkey") % len(values) + 1).cast("int"))
+        part = orders.groupBy(F.lit(name).alias("rules"), recode(value, own).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def los_band(spark, d):
@@ -199,7 +242,9 @@ def trip_stay_join(spark, d):
 
 
 def activity_join(spark, d):
-    out = _rows("activity", spark, d).groupBy("Activity_Group").agg(
+    grouped = joins.with_activity_group(clean.clean_activities(t.activities(spark, d)), t.classification(spark, d))
+    rows = joins.with_details(clean.clean_trips(t.trips(spark, d)), grouped)
+    out = rows.withColumnRenamed("SmoothedTripWeight", "Total_Activities").groupBy("Activity_Group").agg(
         F.sum("Total_Activities").alias("Total_Activities"), F.count(F.lit(1)).alias("n_rows")
     )
     return _doubles(out, "Total_Activities")
@@ -230,7 +275,8 @@ def complete_years(spark, d):
 
 
 def quarterly_base(spark, d):
-    out = rolling.with_year_ends(_quarterly("trips", spark, d)).drop("TripYear", "TripQtr")
+    quarterly = rolling.quarterly_totals(trip_rows(t.trips(spark, d)), [c for c in TRIP_DIMS[1:] if c != "POV_Group"], TRIP_MEASURES)
+    out = rolling.with_year_ends(with_group(t.purposes(spark))(quarterly)).drop("TripYear", "TripQtr")
     return _doubles(out, "Total_Visitors", "Total_Trips")
 
 
@@ -239,13 +285,7 @@ def rolling_year_base(spark, d):
 
 
 def activity_base(spark, d):
-    measures = ["Total_Activities", "Raw_Count"]
-    rows = _rows("activity", spark, d)
-    quarterly = rolling.quarterly_totals(rows, ["Activity_Group"], ["Total_Activities"], rows="Raw_Count")
-    quarterly = Staging(spark)(quarterly, "quarterly")
-    base = rolling.rolling_year_totals(
-        quarterly, ["Activity_Group"], measures, rolling.complete_years(quarterly)
-    )
+    base = _base("activity", spark, d).withColumnRenamed("Year_Ending", "YE")
     return _doubles(base, "Total_Activities")
 
 
@@ -257,12 +297,21 @@ def partial_grouping_sets(spark, d):
     return _doubles(out, *TRIP_MEASURES)
 
 
+def cube_wide(spark, d):
+    """Cube of eleven dimensions, some of them numbers, dates and flags."""
+    orders = t.load(spark, d, "orders").withColumns({name: F.expr(sql) for name, sql in t.WIDE_SQL.items()})
+    total = F.sum(F.col("o_totalprice").cast(t.MONEY)).alias("total")
+    base = orders.groupBy(*t.WIDE_SQL).agg(total)
+    return _doubles(cube.dimension_cube(base, list(t.WIDE_SQL), ["total"]), "total")
+
+
 def grand_total(spark, d):
     return _doubles(cube.grand_total(_base("trips", spark, d), TRIP_DIMS, TRIP_MEASURES), *TRIP_MEASURES)
 
 
 def grouping_count(spark, d):
-    counts = checks.grouping_count(_cube("trips", spark, d, level="level"), "level")
+    base = staging(spark)(_base("trips", spark, d), "base")
+    counts = checks.grouping_count(cube.dimension_cube(base, TRIP_DIMS, TRIP_MEASURES, "level"), "level")
     return counts.withColumn("level", F.col("level").cast("bigint"))
 
 
@@ -322,29 +371,54 @@ def lookup_publish(spark, d):
     return dimensions.published_lookup(_pov_lookup(spark, d))
 
 
+def lookup_many(spark, d):
+    """Generated lookup of a column with many members."""
+    return dimensions.generated_lookup(_customers(spark, d), "member")
+
+
+def hierarchy_many(spark, d):
+    return dimensions.hierarchy(staging(spark)(lookup_many(spark, d), "lookup"))
+
+
+def _customers(spark, d):
+    return t.load(spark, d, "orders").select(F.concat(F.lit("Customer "), F.col("o_custkey")).alias("member"))
+
+
 def encode_dimensions(spark, d):
-    spec, stage = SPECS["trips"], Staging(spark)
-    base = stage(_base("trips", spark, d), "base")
-    members = stage(dimensions.dimension_members(base, TRIP_DIMS, spec.year_dim), "members")
-    lookups = {}
-    for dim in TRIP_DIMS:
-        own = members.where(F.col(dimensions.DIMENSION) == dim)
-        lookups[dim] = own.withColumnRenamed(dimensions.MEMBER, "YE") if dim == spec.year_dim else own
-    full = cube.dimension_cube(base, TRIP_DIMS, TRIP_MEASURES)
-    return _doubles(dimensions.encode_dimensions(full, lookups), *TRIP_MEASURES)
+    built = _extract("trips", spark, d)
+    return _doubles(dimensions.encode_dimensions(built.cube, built.lookups), *TRIP_MEASURES)
 
 
 def encode_loss(spark, d):
-    lookups = {
-        "LOS_Group": t.lookup(spark, t.BANDS),
-        "Destination_RTO": t.destinations(spark, d),
-        "Accommodation_Type": t.lookup(spark, t.ACCOMMODATION_TYPES),
-    }
-    return dimensions.encoding_loss(_cube("accommodation", spark, d), lookups)
+    built = _extract("accommodation", spark, d)
+    lookups = {c: built.lookups[c] for c in ("LOS_Group", "Destination_RTO", "Accommodation_Type")}
+    return dimensions.encoding_loss(built.cube, lookups)
+
+
+def loss_accommodation(spark, d):
+    """Totals of members without a code, as the production extract reports them."""
+    return _doubles(_extract("accommodation", spark, d).losses, *SPECS["accommodation"].measure_codes)
+
+
+def loss_purposes(spark, d):
+    built = build_extract(
+        SPECS["trips"], trip_rows(t.trips(spark, d)), staging(spark), supplied={"Destination_RTO": t.destinations(spark, d)},
+        adjust=with_group(t.purposes(spark, t.PARTIAL_PURPOSES)), key="POV", known=t.purposes(spark, t.PARTIAL_PURPOSES),
+    )
+    return _doubles(built.losses, *TRIP_MEASURES)
+
+
+def loss_activities(spark, d):
+    classes = t.classification(spark, d).where("Activity_Group <> 'PROMO'")
+    built = build_extract(
+        SPECS["activity"], activity_rows(t.trips(spark, d), t.activities(spark, d)), staging(spark),
+        adjust=with_activity_groups(classes), key="Activities", known=classes.withColumnRenamed("Activity", "Activities"),
+    )
+    return _doubles(built.losses, "Total_Activities")
 
 
 def format_measures(spark, d):
-    full = _cube("trips", spark, d)
+    full = _extract("trips", spark, d).cube
     return full.select(
         *TRIP_DIMS,
         measure_text(F.col("Total_Trips")).alias("trips_0"),
@@ -361,28 +435,37 @@ CONTROL_YEAR = "YESep2000"
 
 
 def reconcile_totals(spark, d):
+    """Control figures against the production extracts; the expected ones come from detail rows."""
     trips = clean.clean_trips(t.trips(spark, d))
     in_year = ((F.col("TripYear") == 1999) & (F.col("TripQtr") == 4)) | (
         (F.col("TripYear") == 2000) & (F.col("TripQtr") <= 3)
     )
-    base = Staging(spark)(_base("trips", spark, d), "base").where(F.col("Year_Ending") == CONTROL_YEAR)
-    weight = F.sum("SmoothedTripWeight")
-    whole = F.floor(weight).cast("double")
-    out = None
-    for kind in (clean.DAY, clean.OVERNIGHT):
-        expected = trips.where(in_year & (F.col("TripType") == kind)).agg(whole)
-        check = checks.reconcile(
-            base.where(F.col("Trip_Type") == kind), kind, F.sum("Total_Trips"), expected
-        )
-        out = check if out is None else out.unionByName(check)
-    breakdown = checks.reconcile_breakdowns(base, "trip type against purpose", "Total_Trips", "Trip_Type", "POV_Group")
-    calendar_year = checks.reconcile(
-        trips.where(F.col("TripYear") == 2000), "trips of 2000", weight,
-        trips.where(F.col("TripYear") == 2000).agg(F.bround(weight, 0).cast("double")), how="round",
+    built, activity = _extract("trips", spark, d), _extract("activity", spark, d)
+
+    def figure(rows: DataFrame, column: str = "SmoothedTripWeight") -> float:
+        return float(rows.agg(F.sum(F.col(column).cast(t.MONEY))).first()[0] or 0)
+
+    controls = [
+        Control("Total_Trips", float(int(figure(trips.where(in_year & (F.col("TripType") == kind))))), {"Year_Ending": CONTROL_YEAR, "Trip_Type": kind})
+        for kind in (clean.DAY, clean.OVERNIGHT)
+    ]
+    year = figure(trips.where(F.col("TripYear") == 2000))
+    controls.append(Control("Total_Trips", year, {"Year_Ending": "YEDec2000"}, how="within"))
+    controls.append(Control("Total_Respondents", 1.0, {"Year_Ending": CONTROL_YEAR}))
+    found = built.reconcile(controls)
+    breakdown = checks.reconcile_breakdowns(
+        built.base.where(F.col("Year_Ending") == CONTROL_YEAR), "trip type against purpose", "Total_Trips", "Trip_Type", "POV_Group"
     )
-    lines = t.load(spark, d, "lineitem").agg(F.count(F.lit(1)).cast("double"))
-    rows = checks.reconcile(t.activities(spark, d), "activity rows", F.count(F.lit(1)), lines)
-    return out.unionByName(breakdown).unionByName(calendar_year).unionByName(rows)
+    lines = float(t.load(spark, d, "lineitem").count())
+    quarter = trips.where((F.col("TripYear") == 1998) & (F.col("TripQtr") == 3))
+    with_activity = quarter.join(t.activities(spark, d), F.col("TripIDNumber") == F.col("TripID"), "left_semi")
+    rows = activity.reconcile(
+        [
+            Control("Raw_Count", lines, of="quarterly"),
+            Control("SmoothedTripWeight", figure(with_activity), {"TripYear": 1998, "TripQtr": 3}, "within", "trips_with_details"),
+        ]
+    )
+    return found.unionByName(breakdown).unionByName(rows)
 
 
 def distinct_trip_total(spark, d):
@@ -396,8 +479,11 @@ def null_audit(spark, d):
 
 
 def rule_zero_sum(spark, d):
-    total = spend.day_trip_accommodation(clean.clean_trips(t.trips(spark, d)))
-    return checks.zero_total(total, "accommodation spend of day trips")
+    trips = clean.clean_trips(t.trips(spark, d))
+    held = checks.zero_total(spend.day_trip_accommodation(trips), "accommodation spend of day trips")
+    # the same rule on trips whose type is turned round has to fail
+    turned = trips.withColumn("TripType", F.when(F.col("TripType") == clean.DAY, clean.OVERNIGHT).otherwise(clean.DAY))
+    return held.unionByName(checks.zero_total(spend.day_trip_accommodation(turned), "accommodation spend of turned trips"))
 
 
 # ------------------------------------------------------------------ calendars
@@ -429,9 +515,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         activity_classification, weighted_measures, null_fill, recode_values, los_band,
         overnight_filter, trip_stay_join, activity_join, activity_base, ri_anti_join,
         year_end_labels, year_end_unpivot, complete_years, quarterly_base, rolling_year_base,
-        partial_grouping_sets, grand_total, grouping_count, spend_pivot, net_component,
+        partial_grouping_sets, cube_wide, grand_total, grouping_count, spend_pivot, net_component,
         spend_unpivot, spend_long, year_end_lookup, lookup_generated, dim_hierarchy,
-        lookup_publish, encode_dimensions, encode_loss, format_measures, reconcile_totals,
+        lookup_publish, lookup_many, hierarchy_many, encode_dimensions, encode_loss,
+        loss_accommodation, loss_purposes, loss_activities, format_measures, reconcile_totals,
         distinct_trip_total, null_audit, rule_zero_sum, quarter_end_date, lagged_month_end,
         whole_years_lag, component_quarters,
     )

@@ -48,6 +48,22 @@ SCHEMAS = {
 }
 
 
+# Eleven dimensions of the orders, text and others; the SQL of each holds in Spark and in DuckDB.
+WIDE_SQL = {
+    "d1": "o_orderstatus",
+    "d2": "o_orderpriority",
+    "d3": "CAST(year(o_orderdate) % 2 AS INT)",
+    "d4": "make_date(CAST(2000 + year(o_orderdate) % 2 AS INT), 1, 1)",
+    "d5": "o_orderstatus = 'F'",
+    "d6": "CAST(substr(o_orderpriority, 1, 1) AS INT)",
+    "d7": "lower(o_orderstatus)",
+    "d8": "year(o_orderdate) % 2 = 1",
+    "d9": "'one'",
+    "d10": "substr(o_orderpriority, 3)",
+    "d11": "CAST(length(o_orderpriority) AS BIGINT)",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 import dataclasses
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import product
 from pathlib import Path
 
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from yearwheel.__main__ import main
 from yearwheel.operators import checks
-from yearwheel.plans import Control, extract_specs, input_checks, publish, run_all, survey_extract
+from yearwheel.operators.staging import Staging
+from yearwheel.plans import Control, extract_specs, input_checks, publish, purposes_unused, run_all, survey_extract
 from yearwheel.sources import SurveyTables, column_mismatch, read_bundle
 
 LABELS = {"YEMar": 1, "YEJun": 2, "YESep": 3, "YEDec": 4}
@@ -248,14 +249,77 @@ def test_control_figures(tables, records, stage):
         checks.require(extract.reconcile([Control("Total_Trips", int(day) + 1, members)]))
 
 
-def test_input_checks(spark, tables):
-    assert input_checks("activity", tables) is None
+def test_input_checks(spark, tables, stage):
+    assert input_checks("activity", tables) is None and input_checks("trips", tables) is None
     assert all(r.ok for r in input_checks("spend", tables).collect())
-    extra = tables.purposes.unionByName(spark.sql("SELECT 'Skiing' POV, 'Holiday' POV_Group"))
     second = tables.spend.where("TripID = 3 AND SpendType = 'Alcohol'")
-    spoiled = dataclasses.replace(tables, purposes=extra, spend=tables.spend.unionByName(second))
-    with pytest.raises(checks.CheckFailed, match="purposes without trips: 1.0.*food type: 1.0"):
+    spoiled = dataclasses.replace(tables, spend=tables.spend.unionByName(second))
+    with pytest.raises(checks.CheckFailed, match="food type: 1.0"):
         checks.require(input_checks("spend", spoiled))
+    extra = tables.purposes.unionByName(spark.sql("SELECT 'Skiing' POV, 'Holiday' POV_Group"))
+    more = dataclasses.replace(tables, purposes=extra)
+    extract = survey_extract("trips", extract_specs("Survey")["trips"], more, stage)
+    with pytest.raises(checks.CheckFailed, match="purposes without trips: 1.0"):
+        checks.require(purposes_unused(more, extract))
+
+
+def test_losses_are_reported(tables, records, stage, tmp_path, spark):
+    spec = extract_specs("Survey")["accommodation"]
+    lost = {r.member: float(r.Total_Respondents) for r in survey_extract("accommodation", spec, tables, stage).losses.collect()}
+    assert set(lost) <= set(UNCODED.values()) and lost
+    activity = survey_extract("activity", extract_specs("Survey")["activity"], tables, Staging(spark, str(tmp_path / "a")))
+    trips = {t["TripIDNumber"]: t for t in records[0]}
+    want = sum(trips[a["TripID"]]["SmoothedTripWeight"] or 0 for a in records[3] if a["Activities"] == "Unclassified")
+    (row,) = activity.losses.collect()
+    assert (row.dimension, row.member, float(row.Total_Activities)) == ("Activities", "Unclassified", float(want))
+    with pytest.raises(checks.CheckFailed, match="without a group or code"):
+        run_all(spark, tables, str(tmp_path / "out"), survey="S", names=["activity"], refuse_losses=True)
+
+
+def test_controls_of_inputs(tables, records, stage):
+    extract = survey_extract("activity", extract_specs("Survey")["activity"], tables, stage)
+    trips = {t["TripIDNumber"]: t for t in records[0]}
+    quarter = {a["TripID"] for a in records[3] if (trips[a["TripID"]]["TripYear"], trips[a["TripID"]]["TripQtr"]) == (2000, 3)}
+    weight = sum(trips[i]["SmoothedTripWeight"] or 0 for i in quarter)
+    where = {"TripYear": 2000, "TripQtr": 3}
+    good = [
+        Control("Raw_Count", len(records[3]), of="quarterly"),
+        Control("SmoothedTripWeight", weight, where, "within", "trips_with_details"),
+    ]
+    checks.require(extract.reconcile(good))
+    assert "Raw_Count" in extract.base.columns and "Raw_Count" not in extract.data.columns
+    with pytest.raises(checks.CheckFailed, match="Raw_Count of quarterly"):
+        checks.require(extract.reconcile([Control("Raw_Count", 1, of="quarterly")]))
+
+
+@pytest.mark.parametrize("name", ["accommodation", "trips"])
+def test_doubled_codes_stop_an_extract(name, tables, stage):
+    twice = dataclasses.replace(tables, destinations=tables.destinations.unionByName(tables.destinations))
+    with pytest.raises(checks.CheckFailed, match="several codes"):
+        survey_extract(name, extract_specs("Survey")[name], twice, stage)
+
+
+def test_scans_of_a_whole_run(spark, tables, survey_paths, tmp_path, plan, monkeypatch):
+    """Each extract's staged pass scans each fact table once; accommodation judges its years by one more."""
+    seen = Counter()
+    real = Staging.__call__
+
+    def counting(self, df, name):
+        text = plan(df)
+        for fact in ("trips", "stays", "spend", "activities"):
+            seen[name, fact] += text.count(f"{fact}.csv")
+        return real(self, df, name)
+
+    monkeypatch.setattr(Staging, "__call__", counting)
+    for i, name in enumerate(extract_specs("S")):
+        survey_extract(name, extract_specs("S")[name], tables, Staging(spark, str(tmp_path / str(i))))
+    scans = {k: n for k, n in seen.items() if n}
+    assert scans == {
+        ("totals7578", "trips"): 1, ("totals7578", "stays"): 1, ("years7578", "trips"): 1,
+        ("quarters7579", "trips"): 1,
+        ("quarters7580", "trips"): 1, ("quarters7580", "spend"): 1,
+        ("quarters7581", "trips"): 1, ("quarters7581", "activities"): 1,
+    }
 
 
 def test_repeated_codes_are_refused(tables, stage):
@@ -266,7 +330,13 @@ def test_repeated_codes_are_refused(tables, stage):
 
 def test_command_line(spark, survey_paths, tmp_path):
     options = [a for k, v in survey_paths.items() for a in (f"--{k.replace('_', '-')}", v)]
-    folders = main([*options, "--out", str(tmp_path), "--survey", "S", "--run-id", "r", "--extract", "activity"])
+    controls = tmp_path / "controls.json"
+    controls.write_text('{"activity": [{"measure": "Raw_Count", "expected": 0, "how": "within", "of": "base"}]}')
+    arguments = [*options, "--out", str(tmp_path), "--survey", "S", "--run-id", "r", "--extract", "activity"]
+    with pytest.raises(checks.CheckFailed, match="Raw_Count"):
+        main([*arguments, "--controls", str(controls)])
+    folders = main([*arguments, "--data-parts", "1", "--read-back"])
+    assert len(list(Path(folders["activity"]).glob("Data7581.csv/part-*"))) == 1
     assert folders == {"activity": f"{tmp_path}/r/Table_7581"}
     assert read_bundle(spark, folders["activity"]).file_index.first().TableTitle == "S: Activities"
 

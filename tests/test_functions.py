@@ -110,3 +110,13 @@ def test_decimal_text_agrees_with_half_even_rounding(table, values):
 
 def test_quoted(table):
     assert table("v string", [("a, b",)]).select(quoted(F.col("v"))).first()[0] == '"a, b"'
+
+
+def test_shuffle_partitions_follow_what_is_shuffled(spark, tmp_path):
+    from yearwheel.session import shuffle_partitions, shuffled_bytes
+
+    assert [shuffle_partitions(n) for n in (10**9, 10**12, 10**14)] == [200, 3726, 372530]
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "repeat('x', 100) AS a", "repeat('y', 100) AS b").write.parquet(path)
+    whole = spark.read.parquet(path)
+    assert 0 < shuffled_bytes(whole.select("id")) < shuffled_bytes(whole)

@@ -106,8 +106,10 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return counts.unpivot([], columns, "column_name", "n_null")
 
 
-def refuse_missing(totals: DataFrame, dims: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Totals unchanged, but an error for a missing dimension or a sum that skipped missing values.
+def refuse_missing(
+    totals: DataFrame, dims: Sequence[str], measures: Sequence[str], extra: Sequence[str] = ()
+) -> DataFrame:
+    """Totals unchanged, with the columns ``extra`` as they are, but an error for a missing dimension or a sum that skipped missing values.
 
     Expects the null counts of :func:`rolling.quarterly_totals`. The test rides on the job that
     uses the totals instead of being a job of its own.
@@ -124,6 +126,7 @@ def refuse_missing(totals: DataFrame, dims: Sequence[str], measures: Sequence[st
             F.when(F.col(m + NULLS_SUFFIX) == 0, F.col(m)).otherwise(fail(m)).alias(m)
             for m in measures
         ],
+        *extra,
     )
 
 

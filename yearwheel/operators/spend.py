@@ -83,21 +83,25 @@ def gather_types(wide: DataFrame, types: Sequence[str] = (ALCOHOL, FOOD), key: s
     return wide.unpivot([key], list(types), "SpendType", "Expenditure")
 
 
-def derived_spend(trips: DataFrame) -> DataFrame:
-    """Weighted accommodation spend of overnight trips and transport spend of all trips.
-
-    Both come out of one scan: each trip is exploded into its one or two rows.
-    """
+def derived_entries(kind: str = "SpendType") -> Column:
+    """Array of a trip's one or two derived entries: type, under the name ``kind``, and Expenditure."""
     weight = F.col("ExpenditureWeight")
 
-    def entry(kind: str, amount: str):
-        return F.struct(F.lit(kind).alias("SpendType"), (weight * F.col(amount)).alias("Expenditure"))
+    def entry(value: str, amount: str) -> Column:
+        return F.struct(F.lit(value).alias(kind), (weight * F.col(amount)).alias("Expenditure"))
 
     transport = entry(TRANSPORT, "ImputedSpendTrnsport")
     both = F.array(entry(ACCOMMODATION, "ImputedSpendAccom"), transport)
-    entries = F.when(F.col("TripType") == OVERNIGHT, both).otherwise(F.array(transport))
+    return F.when(F.col("TripType") == OVERNIGHT, both).otherwise(F.array(transport))
+
+
+def derived_spend(trips: DataFrame) -> DataFrame:
+    """Weighted accommodation spend of overnight trips and transport spend of all trips.
+
+    Both come out of one scan: each trip is exploded into its one or two rows.
+    """
     kept = [c for c in trips.columns if c not in ("ExpenditureWeight", "ImputedSpendAccom", "ImputedSpendTrnsport")]
-    return trips.select(*kept, F.inline(entries))
+    return trips.select(*kept, F.inline(derived_entries()))
 
 
 def combined_spend(trips: DataFrame, spend: DataFrame, fill: float | None = None) -> DataFrame:

@@ -1,4 +1,12 @@
-from yearwheel.plans.extracts import Control, Extract, build_extract, extract_specs, input_checks, survey_extract
+from yearwheel.plans.extracts import (
+    Control,
+    Extract,
+    build_extract,
+    extract_specs,
+    input_checks,
+    purposes_unused,
+    survey_extract,
+)
 from yearwheel.plans.run import new_run_id, publish, run_all
 from yearwheel.plans.spec import Dimension, ExtractSpec, Measure
 
@@ -13,6 +21,7 @@ __all__ = [
     "input_checks",
     "new_run_id",
     "publish",
+    "purposes_unused",
     "run_all",
     "survey_extract",
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import pyarrow as pa
@@ -51,9 +51,19 @@ def extract_specs(survey: str) -> dict[str, ExtractSpec]:
             on_unmatched="drop",
         ),
         "trips": ExtractSpec("7579", f"{survey}: Trips", trip_dims, (VISITORS, TRIPS, RESPONDENTS)),
-        "spend": ExtractSpec("7580", f"{survey}: Visitor Spend", (*trip_dims, SPEND_TYPE), (EXPENDITURE,)),
+        "spend": ExtractSpec(
+            "7580",
+            f"{survey}: Visitor Spend",
+            (*trip_dims, SPEND_TYPE),
+            (EXPENDITURE,),
+            breakdowns=(("Spend_Type", "POV_Group"),),
+        ),
         "activity": ExtractSpec(
-            "7581", f"{survey}: Activities", (YEAR_ENDING, ACTIVITY_GROUP), (ACTIVITIES,)
+            "7581",
+            f"{survey}: Activities",
+            (YEAR_ENDING, ACTIVITY_GROUP),
+            (ACTIVITIES,),
+            row_count="Raw_Count",
         ),
     }
 
@@ -90,22 +100,30 @@ def trip_rows(trips: DataFrame) -> DataFrame:
 def spend_rows(trips: DataFrame, spending: DataFrame) -> DataFrame:
     """Weighted spend by type as recorded, and the types derived from trip columns.
 
-    Alcohol is taken out of food in the totals, see :func:`net_with_group`.
+    Spend is summed by trip and type first, so a trip with very many rows joins as a few, and each trip
+    carries its recorded entries as a list beside those derived from its own columns: one scan of either
+    table. An entry with a missing amount is missing, which the audit of the totals then finds. Alcohol is
+    taken out of food in the totals, see :func:`net_with_group`.
     """
     trips = clean.clean_trips(trips)
-    keep = [*YEAR_COLUMNS, "DestinationRTO", "TripType", "POV"]
-    recorded = joins.with_details(
-        trips.select("TripIDNumber", "ExpenditureWeight", *keep), clean.clean_spend(spending)
-    ).select(
-        *keep,
-        "SpendType",
-        (F.col("ExpenditureWeight") * F.col("ImputedSpendAmt")).alias("Expenditure"),
+    missing = F.count_if(F.col("ImputedSpendAmt").isNull()) > 0
+    summed = clean.clean_spend(spending).groupBy("TripID", "SpendType").agg(
+        F.when(~missing, F.sum("ImputedSpendAmt")).alias("Amount")
     )
-    derived = spend.derived_spend(
-        trips.select(*keep, "ExpenditureWeight", "ImputedSpendAccom", "ImputedSpendTrnsport")
+    recorded = summed.groupBy("TripID").agg(F.collect_list(F.struct("SpendType", "Amount")).alias("recorded"))
+    both = trips.join(recorded, trips[joins.TRIP] == recorded[joins.DETAIL_TRIP], "left")
+    weight = F.col("ExpenditureWeight")
+    weighted = F.transform(
+        F.coalesce("recorded", F.array().cast(recorded.schema["recorded"].dataType)),
+        lambda e: F.struct(e["SpendType"].alias("Spend_Type"), (weight * e["Amount"]).alias("Expenditure")),
     )
-    return recorded.unionByName(derived).withColumnsRenamed(
-        {"DestinationRTO": "Destination_RTO", "TripType": "Trip_Type", "SpendType": "Spend_Type"}
+    entries = F.concat(weighted, spend.derived_entries("Spend_Type"))
+    return both.select(
+        *YEAR_COLUMNS,
+        F.col("DestinationRTO").alias("Destination_RTO"),
+        F.col("TripType").alias("Trip_Type"),
+        "POV",
+        F.inline(entries),
     )
 
 
@@ -125,26 +143,42 @@ def net_with_group(purposes: DataFrame) -> Adjustment:
     )
 
 
-def activity_rows(trips: DataFrame, activities: DataFrame, classification: DataFrame) -> DataFrame:
-    """Trips x classified activities. The trip's weight counts once per activity."""
+def activity_rows(trips: DataFrame, activities: DataFrame) -> DataFrame:
+    """Trips x activities. The trip's weight counts once per activity; groups join the totals."""
     weights = clean.clean_trips(trips.select("TripIDNumber", *YEAR_COLUMNS, "SmoothedTripWeight"))
-    grouped = joins.with_activity_group(clean.clean_activities(activities), classification)
-    return joins.with_details(weights, grouped).select(
-        *YEAR_COLUMNS, "Activity_Group", F.col("SmoothedTripWeight").alias("Total_Activities")
+    return joins.with_details(weights, clean.clean_activities(activities)).select(
+        *YEAR_COLUMNS, "Activities", F.col("SmoothedTripWeight").alias("Total_Activities")
     )
 
 
+def with_activity_groups(classification: DataFrame) -> Adjustment:
+    """Activity groups on quarterly totals: the group follows from the activity."""
+
+    def adjust(quarterly: DataFrame) -> DataFrame:
+        matched = quarterly.join(classification, quarterly["Activities"] == classification["Activity"])
+        return matched.drop("Activities", "Activity")
+
+    return adjust
+
+
 @dataclass(frozen=True)
 class Control:
-    """A published total: the measure over the members named, compared as in ``checks.reconcile``."""
+    """A known total: the measure over the members named, compared as in ``checks.reconcile``.
+
+    ``of`` says which table is summed: the ``base`` (complete years by dimension, with the row count
+    of the specification), the ``quarterly`` totals of all input rows, before any of them can leave for want
+    of a group, or the ``trips_with_details``, trips that own a detail row, each once. The latter two have
+    the columns TripYear and TripQtr.
+    """
 
     measure: str
     expected: float
-    members: Mapping[str, str] = field(default_factory=dict)
+    members: Mapping[str, str | int] = field(default_factory=dict)
     how: str = "truncate"
+    of: str = "base"
 
 
-def _all_equal(members: Mapping[str, str]) -> Column:
+def _all_equal(members: Mapping[str, str | int]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(d) == m for d, m in members.items()])
 
 
@@ -157,6 +191,9 @@ class Extract:
     cube: DataFrame
     lookups: dict[str, DataFrame]
     data: DataFrame
+    quarterly: DataFrame
+    losses: DataFrame
+    trips_with_details: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """All files of the bundle: data, lookups, hierarchies, then the three indexes."""
@@ -169,18 +206,26 @@ class Extract:
         return out | self._indexes()
 
     def reconcile(self, controls: Iterable[Control]) -> DataFrame:
-        """Compare totals of the base with control figures known from elsewhere."""
+        """Compare totals with control figures known from elsewhere."""
+        sources = {"base": self.base, "quarterly": self.quarterly, "trips_with_details": self.trips_with_details}
+        found = []
+        for c in controls:
+            source = sources.get(c.of)
+            if source is None:
+                raise ValueError(f"extract {self.spec.table_id} has no table {c.of} to compare with controls")
+            named = [c.measure, *([] if c.of == "base" else [f"of {c.of}"]), *map(str, c.members.values())]
+            rows = source.where(_all_equal(c.members)) if c.members else source
+            found.append(checks.reconcile(rows, " ".join(named), F.sum(c.measure), c.expected, c.how))
+        return reduce(DataFrame.unionByName, found)
+
+    def breakdown_checks(self) -> DataFrame | None:
+        """The breakdowns that the specification wants to agree, over complete years."""
+        first = self.spec.measure_codes[0]
         found = [
-            checks.reconcile(
-                self.base.where(_all_equal(c.members)) if c.members else self.base,
-                f"{c.measure} {' '.join(c.members.values())}".strip(),
-                F.sum(c.measure),
-                c.expected,
-                c.how,
-            )
-            for c in controls
+            checks.reconcile_breakdowns(self.base, f"{first} by {a} against {b}", first, a, b)
+            for a, b in self.spec.breakdowns
         ]
-        return reduce(DataFrame.unionByName, found)
+        return reduce(DataFrame.unionByName, found) if found else None
 
     def _indexes(self) -> dict[str, DataFrame]:
         spec, spark = self.spec, self.data.sparkSession
@@ -212,22 +257,31 @@ def build_extract(
     supplied: Mapping[str, DataFrame] | None = None,
     quarters: DataFrame | None = None,
     adjust: Adjustment | None = None,
+    key: str = "",
+    known: DataFrame | None = None,
 ) -> Extract:
     """From fact rows to the star schema.
 
     ``rows`` holds year, quarter, the dimensions and the measures. It is read once, into staged
     rolling-year totals; everything after grows with the number of dimension combinations, not with
     the rows. ``adjust`` works on the quarterly totals of the rows and adds the dimensions that
-    follow from others, which the rows then need not have. ``supplied`` are the lookups the specification expects from outside; ``quarters`` is
-    the table whose quarters decide which years are complete, the rows themselves by default.
+    follow from others, which the rows then need not have. ``supplied`` are the lookups the specification
+    expects from outside; ``quarters`` is the table whose quarters decide which years are complete, the rows
+    themselves by default. ``key`` is the column ``adjust`` joins by and ``known`` the table of its known
+    values. Totals of unknown values, and of members without a code, are the extract's ``losses``.
     """
     details, measures = spec.detail_dims, spec.measure_codes
-    found = [d for d in details if d in rows.columns]
-    quarterly = rolling.quarterly_totals(rows, found, measures, count_nulls=True)
+    found = [c for c in rows.columns if c in details or (key and c == key)]
+    extra = [spec.row_count] if spec.row_count else []
+    quarterly = rolling.quarterly_totals(rows, found, measures, rows=spec.row_count or None, count_nulls=True)
     if adjust is not None:
-        quarterly = adjust(quarterly)
-    carried = measures + [m + rolling.NULLS_SUFFIX for m in measures]
-    totals = rolling.rolling_year_totals(quarterly, details, carried, seen=SEEN)
+        # everything that is joined to the totals, or counted as lost there, reads them from here
+        quarterly = stage(quarterly, f"quarters{spec.table_id}")
+        adjusted = adjust(quarterly)
+    else:
+        adjusted = quarterly
+    carried = [*measures, *extra, *(m + rolling.NULLS_SUFFIX for m in measures)]
+    totals = rolling.rolling_year_totals(adjusted, details, carried, seen=SEEN)
     totals = stage(totals, f"totals{spec.table_id}")
     if quarters is None:
         complete = rolling.years_seen_whole(totals, SEEN)
@@ -235,17 +289,28 @@ def build_extract(
         complete = stage(rolling.complete_years(quarters), f"years{spec.table_id}")
     base = totals.join(complete, rolling.YEAR_END, "left_semi")
     base = base.withColumnRenamed(rolling.YEAR_END, spec.year_dim)
-    base = checks.refuse_missing(base, spec.dims, measures)
+    base = checks.refuse_missing(base, spec.dims, measures, extra)
 
     lookups = _lookups(spec, base, supplied or {}, stage)
-    if spec.on_unmatched == "fail":
-        for dim in (d.code for d in spec.dimensions if d.lookup == "supplied"):
-            repeated = dimensions.repeated_members(lookups[dim])
-            checks.require(checks.no_rows(repeated, f"members of {dim} with several codes"))
+    # a member with two codes would repeat its rows, whether unknown members are dropped or refused
+    for dim in (d.code for d in spec.dimensions if d.lookup == "supplied"):
+        repeated = dimensions.repeated_members(lookups[dim])
+        checks.require(checks.no_rows(repeated, f"members of {dim} with several codes"))
+    lost = [
+        joins.unmatched(base, lookups[d.code].withColumnRenamed("Description", d.code), d.code, measures)
+        for d in spec.dimensions
+        if d.lookup == "supplied"
+    ]
+    if known is not None:
+        lost.append(joins.unmatched(quarterly, known, key, measures))
     full = cube.dimension_cube(base, spec.dims, measures)
     text = [measure_text(F.col(m.code), m.decimals).alias(m.code) for m in spec.measures]
     data = dimensions.encode_dimensions(full.select(*spec.dims, *text), lookups, spec.on_unmatched)
-    return Extract(spec, base, full, lookups, data)
+    if lost:
+        losses = reduce(DataFrame.unionByName, lost)
+    else:
+        losses = base.select(F.lit("").alias("dimension"), F.lit("").alias("member"), *measures).limit(0)
+    return Extract(spec, base, full, lookups, data, quarterly, losses)
 
 
 def _lookups(
@@ -273,37 +338,47 @@ def survey_extract(name: str, spec: ExtractSpec, tables: SurveyTables, stage: St
         "LOS_Group": tables.lengths_of_stay,
         "Accommodation_Type": tables.accommodation_types,
     }
-    quarters = adjust = None
+    quarters = adjust = known = details = None
+    key = ""
     if name == "accommodation":
-        rows = accommodation_rows(tables.trips, tables.stays)
+        rows, details = accommodation_rows(tables.trips, tables.stays), tables.stays
         # years are judged by the overnight trips, with or without a recorded stay
         quarters = clean.overnight_trips(tables.trips)
     elif name == "trips":
         rows, adjust = trip_rows(tables.trips), with_group(tables.purposes)
+        key, known = "POV", tables.purposes
     elif name == "spend":
         rows, adjust = spend_rows(tables.trips, tables.spend), net_with_group(tables.purposes)
+        key, known, details = "POV", tables.purposes, tables.spend
     elif name == "activity":
-        rows = activity_rows(tables.trips, tables.activities, tables.classification)
+        classes = stage(tables.classification, f"classes{spec.table_id}")
+        rows, adjust = activity_rows(tables.trips, tables.activities), with_activity_groups(classes)
+        key, known, details = "Activities", classes.withColumnRenamed("Activity", "Activities"), tables.activities
     else:
         raise ValueError(f"unknown extract {name}")
-    return build_extract(spec, rows, stage, supplied=supplied, quarters=quarters, adjust=adjust)
+    built = build_extract(spec, rows, stage, supplied=supplied, quarters=quarters, adjust=adjust, key=key, known=known)
+    if details is None:
+        return built
+    return replace(built, trips_with_details=joins.trips_with(clean.clean_trips(tables.trips), details))
+
+
+def purposes_unused(tables: SurveyTables, extract: Extract) -> DataFrame:
+    """Check that all purposes of the concordance occur, from the staged totals."""
+    unused = joins.unused_values(tables.purposes, extract.quarterly, "POV")
+    return checks.no_rows(unused, "purposes without trips")
 
 
 def input_checks(name: str, tables: SurveyTables) -> DataFrame | None:
-    """Checks of an extract's input tables; each reads the few columns it needs.
+    """Checks of an extract's input tables that its totals cannot answer; each reads a few columns.
 
-    Purposes of the concordance all occur in the trips; day trips have no accommodation spend;
-    trips have alcohol and food with alcohol exactly once each, or neither.
+    Day trips have no accommodation spend; trips have alcohol and food with alcohol exactly once each, or
+    neither.
     """
-    found = []
-    if name in ("trips", "spend"):
-        used = clean.clean_trips(tables.trips.select("POV"))
-        found.append(checks.no_rows(joins.unused_values(tables.purposes, used, "POV"), "purposes without trips"))
-    if name == "spend":
-        total = spend.day_trip_accommodation(clean.clean_trips(tables.trips))
-        found.append(checks.zero_total(total, "accommodation spend of day trips"))
-        uneven = spend.uneven_types(
-            clean.clean_spend(tables.spend), [spend.ALCOHOL, spend.FOOD_AND_ALCOHOL], key="TripID"
-        )
-        found.append(checks.no_rows(uneven, "trips without exactly one row per food type"))
-    return reduce(DataFrame.unionByName, found) if found else None
+    if name != "spend":
+        return None
+    total = spend.day_trip_accommodation(clean.clean_trips(tables.trips))
+    uneven = spend.uneven_types(
+        clean.clean_spend(tables.spend), [spend.ALCOHOL, spend.FOOD_AND_ALCOHOL], key="TripID"
+    )
+    found = checks.zero_total(total, "accommodation spend of day trips")
+    return found.unionByName(checks.no_rows(uneven, "trips without exactly one row per food type"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from yearwheel.operators import checks
 from yearwheel.operators.staging import Staging
-from yearwheel.plans.extracts import Control, Extract, extract_specs, input_checks, survey_extract
-from yearwheel.sinks.bundle import write_bundle
+from yearwheel.plans.extracts import Control, Extract, extract_specs, input_checks, purposes_unused, survey_extract
+from yearwheel.sinks.bundle import write_bundle, write_table
 from yearwheel.sources.tables import SurveyTables
 
 
@@ -19,10 +20,15 @@ def new_run_id() -> str:
     return datetime.now().strftime("%Y%m%d-%H%M")
 
 
-def publish(extract: Extract, out: str, run_id: str) -> str:
-    """Write one extract to ``<out>/<run_id>/Table_<id>``; an existing table is not overwritten."""
+def publish(extract: Extract, out: str, run_id: str, data_parts: int | None = None) -> str:
+    """Write one extract to ``<out>/<run_id>/Table_<id>``; an existing table is not overwritten.
+
+    The totals that found no group or no code go to ``<out>/<run_id>/Losses_<id>.csv`` beside it.
+    ``data_parts`` limits the number of files of the data table; 1 gives a single file.
+    """
     folder = f"{out}/{run_id}/Table_{extract.spec.table_id}"
-    write_bundle(extract.tables(), folder)
+    write_bundle(extract.tables(), folder, data_parts=data_parts)
+    write_table(extract.losses, f"{out}/{run_id}/Losses_{extract.spec.table_id}.csv", parts=1)
     return folder
 
 
@@ -36,11 +42,15 @@ def run_all(
     names: Iterable[str] | None = None,
     controls: Mapping[str, Iterable[Control]] | None = None,
     strict: bool = True,
+    refuse_losses: bool = False,
+    data_parts: int | None = None,
 ) -> dict[str, str]:
     """Build, check and publish the extracts one after the other; returns their folders by name.
 
-    ``controls`` are control figures per extract. ``strict`` checks the inputs first, which reads
-    them once more, a few columns each. A failed check stops the run before the extract is written.
+    ``controls`` are control figures per extract. ``strict`` checks the inputs, of which only spend is
+    read once more, and that all purposes occur and breakdowns agree, from the staged totals.
+    ``refuse_losses`` also refuses purposes and activities without a group and members without a code, which
+    are otherwise reported. A failed check stops the run before the extract is written.
     """
     run_id = run_id or new_run_id()
     specs = extract_specs(survey)
@@ -51,7 +61,14 @@ def run_all(
             checks.require(rules)
         with Staging(spark) as stage:
             extract = survey_extract(name, specs[name], tables, stage)
-            if controls and name in controls:
-                checks.require(extract.reconcile(controls[name]))
-            folders[name] = publish(extract, out, run_id)
+            found = [extract.reconcile(controls[name])] if controls and controls.get(name) else []
+            if strict and name in ("trips", "spend"):
+                found.append(purposes_unused(tables, extract))
+            if strict and (agreed := extract.breakdown_checks()) is not None:
+                found.append(agreed)
+            if refuse_losses:
+                found.append(checks.no_rows(extract.losses, f"members of {name} without a group or code"))
+            if found:
+                checks.require(reduce(DataFrame.unionByName, found))
+            folders[name] = publish(extract, out, run_id, data_parts)
     return folders

@@ -33,6 +33,10 @@ class ExtractSpec:
     measures: tuple[Measure, ...]
     table_code: str = ""
     on_unmatched: Literal["drop", "fail"] = "fail"
+    # name of a count of fact rows that the base holds for control figures; it is not published
+    row_count: str = ""
+    # pairs of dimensions whose breakdowns of the first measure have to agree
+    breakdowns: tuple[tuple[str, str], ...] = ()
 
     @property
     def dims(self) -> list[str]:

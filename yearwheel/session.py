@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution is what splits a hot trip in the fact joins and turns a small shuffled
 # side into a broadcast; ANSI mode is what turns a malformed number into an error. All are Spark
@@ -21,9 +23,25 @@ SETTINGS = {
 PARTITION_BYTES = 256 * 2**20
 
 
-def shuffle_partitions(fact_bytes: int) -> int:
-    """Starting number of shuffle partitions for fact tables of this size."""
-    return max(200, -(-fact_bytes // PARTITION_BYTES))
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Starting number of shuffle partitions for a largest shuffle of this size."""
+    return max(200, -(-shuffled_bytes // PARTITION_BYTES))
+
+
+def shuffled_bytes(table: DataFrame) -> int:
+    """Spark's estimate of a table's bytes, of the columns it has been narrowed to.
+
+    For files it comes from their sizes, so it costs no job. A fact table narrowed to the columns of an
+    extract stands for what its join shuffles; totals and sums by trip are smaller.
+    """
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def sized_for(spark: SparkSession, tables: Iterable[DataFrame]) -> int:
+    """Set the session's shuffle partitions for the largest of the tables; returns the number."""
+    number = shuffle_partitions(max(map(shuffled_bytes, tables)))
+    spark.conf.set("spark.sql.shuffle.partitions", number)
+    return number
 
 
 def configured(builder: SparkSession.Builder, fact_bytes: int | None = None) -> SparkSession.Builder:

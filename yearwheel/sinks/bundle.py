@@ -31,13 +31,22 @@ def write_table(df: DataFrame, path: str, parts: int | None = None) -> None:
     ).csv(path)
 
 
-def write_bundle(tables: Mapping[str, DataFrame], folder: str, threads: int = 4) -> None:
+def write_bundle(
+    tables: Mapping[str, DataFrame], folder: str, threads: int = 4, data_parts: int | None = None
+) -> None:
     """Write each table to ``<folder>/<name>.csv``; the first one is the data table.
 
-    The data table goes first and alone, with all its partitions. The others are a few rows each,
-    so their jobs overlap.
+    The data table goes first and alone, with all its partitions or at most ``data_parts``. Jobs of the
+    others overlap; lookups and hierarchies, which grow with their members, keep the partitions Spark gives
+    them, which adaptive execution makes one for all but large ones.
     """
-    data, *small = tables
-    write_table(tables[data], f"{folder}/{data}.csv")
+    data, *others = tables
+    write_table(tables[data], f"{folder}/{data}.csv", parts=data_parts)
     with ThreadPoolExecutor(threads) as pool:
-        list(pool.map(lambda name: write_table(tables[name], f"{folder}/{name}.csv", parts=1), small))
+        list(pool.map(lambda name: write_table(_by_code(tables[name]), f"{folder}/{name}.csv"), others))
+
+
+def _by_code(table: DataFrame) -> DataFrame:
+    key = next((c for c in ("Code", "Child") if c in table.columns), None)
+    # the indexes are as long as the specification
+    return table.repartitionByRange(key).sortWithinPartitions(key) if key else table.coalesce(1)
