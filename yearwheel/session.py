@@ -34,7 +34,7 @@ def shuffled_bytes(table: DataFrame) -> int:
     For files it comes from their sizes, so it costs no job. A fact table narrowed to the columns of an
     extract stands for what its join shuffles; totals and sums by trip are smaller.
     """
-    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def sized_for(spark: SparkSession, tables: Iterable[DataFrame]) -> int:
