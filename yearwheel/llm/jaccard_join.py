@@ -10,8 +10,8 @@ share one among their first n - ceil(n * percent / 100) + 1 shingles. Three orde
   come first, by the number of remaining documents that hold them, then by hash; the others follow by hash.
   Passages that many documents share stand last in the zone, and so outside most prefixes.
 
-Candidates share a shingle of the first rare-first prefix and one of the second; only those are verified,
-on whole texts. Documents with equal sets are one class. Inside a list of classes that share a shingle, all
+Candidates have sizes that may be linked and share a shingle of the first rare-first prefix and one of the
+second; only those are verified, on whole texts. Documents with equal sets are one class. Inside a list of classes that share a shingle, all
 are first compared with the smallest only; then with others only where they are not yet in one component,
 which leaves the components as if all pairs had been compared.
 
@@ -23,10 +23,11 @@ from __future__ import annotations
 
 from functools import partial
 from hashlib import md5
+from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearwheel.llm.components import connected
@@ -146,13 +147,15 @@ def _prefixes(zone: DataFrame, sizes: DataFrame, number: int, percent: int) -> D
     return known.select("doc", "n", F.explode(F.concat(ranked, "last")).alias("token"))
 
 
-def _candidates(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of fitting sizes that share a shingle of the second prefix as well."""
-    n = sizes.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("second").alias("second_b"))
-    m = sizes.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("second").alias("second_a"))
-    known = pairs.join(n, "b").join(m, "a")
-    fits = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    return known.where(fits & F.arrays_overlap("second_a", "second_b")).select("a", "b")
+def _fits(one: str, other: str, percent: int) -> Column:
+    """Whether sets of these sizes may be linked."""
+    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
+
+
+def _candidates(pairs: DataFrame, seconds: DataFrame) -> DataFrame:
+    """Pairs (a < b) that share a shingle of the second prefix as well."""
+    of_b, of_a = (seconds.select(F.col("doc").alias(c), F.col("second").alias(f"second_{c}")) for c in "ba")
+    return pairs.join(of_b, "b").join(of_a, "a").where(F.arrays_overlap("second_a", "second_b")).select("a", "b")
 
 
 def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: int = 85, text_chars: int = 2 << 20) -> DataFrame:
@@ -177,11 +180,11 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
     sizes = sets.where("doc_id IS NOT NULL").join(meeting, F.col("doc_id") == F.col("doc"), "left_semi").groupBy(F.col("doc_id").alias("doc")).agg(F.max("n").alias("n"))
     first, second = (_prefixes(zone, sizes, k, percent) for k in (0, 1))
     lists = stage(first, "lists")
-    sizes = lists.groupBy("doc").agg(F.first("n").alias("n")).join(second.groupBy("doc").agg(F.collect_list("token").alias("second")), "doc")
-    sizes = stage(sizes, "sizes")
+    in_lists = lists.select("doc").distinct()
+    seconds = stage(second.groupBy("doc").agg(F.collect_list("token").alias("second")).join(in_lists, "doc", "left_semi"), "seconds")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        wanted = _candidates(pairs, sizes, percent)
+        wanted = _candidates(pairs, seconds)
         right = texts.select(F.col("doc").alias("b"), F.col("text").alias("right"))
         left = texts.select(F.col("doc").alias("a"), F.col("text").alias("left"))
         rows = wanted.join(right, "b").join(left, "a").select("a", "b", "left", "right")
@@ -190,22 +193,27 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
     # rounds in which a list's members are compared with one of them, then all that is still open
     found, roots = None, None
     for turn in range(LEADER_ROUNDS + 1):
-        members = lists.select("doc", "token")
+        members = lists.select("doc", "n", "token")
         if roots is not None:
             members = members.join(roots.withColumnRenamed("vertex", "doc"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
         else:
             members = members.withColumn("root", F.col("doc"))
-        heads = members.groupBy("token").agg(F.min(F.struct("root", "doc")).alias("low"), F.max(F.struct("root", "doc")).alias("high"))
+        heads = members.groupBy("token").agg(F.min(F.struct("root", "doc", "n")).alias("low"), F.max(F.struct("root", "doc", "n")).alias("high"))
         heads = heads.where("low.root <> high.root")
         if turn < LEADER_ROUNDS:
             # the smallest of the list in the first round, then the largest of another component
             lead = F.col("low.doc") if turn % 2 == 0 else F.col("high.doc")
-            pairs = members.join(heads.select("token", lead.alias("lead"), F.col("low.root" if turn % 2 == 0 else "high.root").alias("lead_root")), "token")
-            pairs = pairs.where("root <> lead_root").select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b"))
+            lead_n, lead_root = (F.col(f"{'low' if turn % 2 == 0 else 'high'}.{c}") for c in ("n", "root"))
+            pairs = members.join(heads.select("token", lead.alias("lead"), lead_n.alias("lead_n"), lead_root.alias("lead_root")), "token")
+            pairs = pairs.where("root <> lead_root").where(_fits("n", "lead_n", percent)).select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b"))
         else:
-            open_ = stage(members.join(heads.select("token"), "token"), "open")
-            x, y = open_.alias("x"), open_.alias("y")
-            pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.root") != F.col("y.root")))
+            # sizes that may be linked are in the same band or in neighbouring ones
+            band = F.floor(F.log("n") / max(1.001 * log(100 / percent), 1e-3))
+            open_ = stage(members.join(heads.select("token"), "token").withColumn("band", band), "open")
+            x = open_.withColumn("near", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))).alias("x")
+            y = open_.alias("y")
+            same = (F.col("x.token") == F.col("y.token")) & (F.col("x.near") == F.col("y.band"))
+            pairs = x.join(y, same & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.root") != F.col("y.root")) & _fits("x.n", "y.n", percent))
             pairs = pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
         more = verified(pairs.distinct(), f"links-{turn}")
         found = more if found is None else found.union(more)
