@@ -28,10 +28,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; rows without doc_id belong to no group."""
+    """The document with the smallest doc_id of each group; rows without doc_id belong to no group.
+
+    Documents are linked where four fifths of their five-word shingles are the same.
+    """
     ship(spark)
     stage = Staging(spark)
-    groups = jaccard_join.link_documents(docs.select("doc_id", "text"), stage)
+    groups = jaccard_join.link_documents(docs.select("doc_id", "text"), stage, shingle=5, percent=80)
     heads = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(heads, "doc_id", "left_semi")
     rows, ids = kept.select("doc_id").agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()

@@ -1,6 +1,7 @@
 """Registered queries on the smallest given tables, and the pipeline against its operators' brute force."""
 
 import os
+import random
 from pathlib import Path
 
 import pytest
@@ -69,6 +70,43 @@ def test_pipeline(spark, tmp_path):
     assert all(r.n_pieces == len(r.piece_ids) for r in docs.collect())
 
 
+def brute_stage(rows):
+    """Component of each doc_id by five-word shingles and 80 percent, all pairs compared."""
+    words = {i: t.encode().lower().split() for i, t in rows}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    return root
+
+
+def test_near_duplicates_of_the_pipeline(spark):
+    rng = random.Random(21)
+    fresh = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    base = fresh(104)
+    # 100 of 122, of 124, of 125 and of 126 five-word shingles are the same; the last is no link
+    texts = [base, base + fresh(22), fresh(90)]
+    for more in (24, 25, 26):
+        own = fresh(104)
+        texts += [own, own + fresh(more)]
+    for _ in range(12):  # copies changed in one to eight words
+        copy = fresh(150)
+        texts.append(copy)
+        changed = list(copy)
+        for k in rng.sample(range(150), rng.randrange(1, 9)):
+            changed[k] = "other"
+        texts.append(changed)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    want = brute_stage(rows)
+    assert got == {i for i, c in want.items() if i == c}
+    assert 1 not in got and {2, 7, 8} <= got
+
+
 def test_pipeline_of_no_documents(spark, tmp_path):
     folder = fixture(spark, str(tmp_path / "sf"))
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
