@@ -1,3 +1,4 @@
+import random
 import zlib
 from hashlib import sha256
 
@@ -46,6 +47,47 @@ def test_no_better_segmentation(model):
         assert abs(sum(pieces.get(i, model.fallback) for i in ids) - best(unit.replace(" ", "▁"))) < 1e-6
 
 
+@pytest.fixture(scope="module")
+def own():
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=PATH)
+
+
+def encoded(model, text):
+    return [i for ids in model.encode_units(model.units(text) if text else []) for i in ids]
+
+
+@given(st.one_of(st.text(max_size=80), st.text(alphabet="aehinorst l\n.,1日é", max_size=120)))
+@settings(deadline=None, max_examples=300)
+def test_ids_are_those_of_the_model(text):
+    from sentencepiece import SentencePieceProcessor
+
+    text = text.replace("▁", "_")
+    assert encoded(viterbi_pieces._loaded(PATH)[0], text) == SentencePieceProcessor(model_file=PATH).encode(text)
+
+
+def test_ids_of_words_and_long_units(model, own, texts):
+    rng = random.Random(8)
+    syllables = ["the", "d", "in", "er", "at", "ion", "qu", "zz", "Stra", "ß", "日本", "0", "9", "==", "ing", "é"]
+    words = ["thed", "   thed", "internationalizationalism"] + ["".join(rng.choices(syllables, k=rng.randrange(1, 12))) for _ in range(3000)]
+    long = ["".join(rng.choices(syllables, k=k)) for k in (200, 1500, 6000)] + ["a" * 5000, "日" * 4500, " " * 5000, "=" * 3000]
+    some = [t for t in texts if t]
+    assert max(map(len, long)) > viterbi_pieces.STEPPED
+    for text in [*words, " ".join(words), *long, *some]:
+        assert encoded(model, text) == own.encode(text)
+    units = [" " + w for w in words] + long
+    assert model.encode_units(units) == [model.encode_slowly(u) for u in units]
+
+
+def test_viterbi_of_a_ranked_model():
+    model = viterbi_pieces.PieceModel(PATH, viterbi=True)
+    units = [" thed", " internationalization", " 日本語", "🎉x", " zzzzqqq"]
+    coded = model.encode_units(units)
+    assert coded == [model.encode_slowly(u) for u in units]
+    assert [model.joined(ids).decode() for ids in coded] == units
+
+
 def test_tables(docs, no_docs):
     coded = viterbi_pieces.encode_texts(docs, PATH, ["doc_id", "text", "kept"])
     back = viterbi_pieces.decode_ids(coded.drop("text"), PATH, ["doc_id", "kept"]).collect()

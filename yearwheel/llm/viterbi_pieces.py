@@ -1,17 +1,17 @@
-"""SentencePiece vocabulary in batched numpy: best segmentation by Viterbi, and exact decoding.
+"""SentencePiece vocabulary in batched numpy: segmentation by merges or by Viterbi, and exact decoding.
 
 A text is cut at spaces into units ("▁word", runs of ▁ in front); no piece crosses a unit. Distinct
 units of equal length advance together: hashes of all their substrings up to the longest piece probe
-the sorted keys of the pieces of that length, and at each position the maximum over the pieces that end
-there is stored with its backpointer. A character without a piece becomes its UTF-8 bytes.
+the sorted keys of the pieces of that length. A character without a piece becomes its UTF-8 bytes.
 
-The best segmentation maximises the sum of piece scores, ties going to the longer last piece. With a
-unigram model the scores are the model's. The given model is of the BPE kind, whose scores are merge
-ranks and no log-probabilities; its pieces get -PIECE_COST - ln(rank), few and frequent pieces first, so
-the segmentation is not always that of the merges (README states how often it is).
+The ids are the model's own. A BPE model, whose scores are merge ranks, joins in each step the two
+neighbours that make the piece of the best rank, the first of equal ones; a step does this for all units of
+the batch, and units of more than ``STEPPED`` characters are merged from a heap instead. With a unigram
+model the sum of piece scores is maximised: at each position the maximum over the pieces that end there is
+stored with its backpointer, ties going to the longer last piece.
 
 Defined cases: null and empty texts have no ids; a literal ▁ becomes bytes, so that decoding gives back
-every text exactly; a unit of any length is handled whole.
+every text exactly (SentencePiece would take it for a space); a unit of any length is handled whole.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import re
 import zlib
 from functools import partial
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 PIECE_COST = 8.0
 _UNIT = re.compile(r"\n| *[^ \n]+| +")
 CELLS = 200_000  # positions of one batch
+STEPPED = 4000  # longest unit whose merges go in steps over arrays
 
 
 def _mixed(codes: np.ndarray) -> np.ndarray:
@@ -55,9 +57,13 @@ def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
 
 
 class PieceModel:
-    """Pieces of a model file, ready for batched encoding and for decoding."""
+    """Pieces of a model file, ready for batched encoding and for decoding.
 
-    def __init__(self, path: str):
+    With ``viterbi`` a BPE model is segmented like a unigram model, its pieces costing PIECE_COST + ln(rank);
+    these ids are not the model's own.
+    """
+
+    def __init__(self, path: str, viterbi: bool = False):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
@@ -73,6 +79,7 @@ class PieceModel:
             raise ValueError("a piece crosses the end of a unit")
         given = np.array([model.get_score(i) for i in normal])
         ranked = bool((np.diff(given[given > -1e8]) <= 0).all() and given.min() < -1000)
+        self.by_merges = ranked and not viterbi
         scores = -PIECE_COST - np.log(np.arange(len(normal)) + 2.0) if ranked else given
         self.fallback = float(scores.min()) - 10.0
         self.most = max(len(texts[i]) for i in normal)
@@ -86,8 +93,9 @@ class PieceModel:
                 raise ValueError("two pieces have the same key")
             self.keys.append(keys[order])
             self.ids.append(np.array([normal[k] for k in own], np.int64)[order])
-            self.scores.append(scores[own][order])
+            self.scores.append((given if self.by_merges else scores)[own][order])
         self.score_of = {texts[i]: (float(s), i) for i, s in zip(normal, scores, strict=True)}
+        self.rank_of = {texts[i]: (-float(s), i) for i, s in zip(normal, given, strict=True)}
         self.bytes_of = [t.replace("▁", " ").encode() for t in texts]
         for value, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([value])
@@ -105,21 +113,25 @@ class PieceModel:
         for k, unit in enumerate(units):
             by_length.setdefault(len(unit), []).append(k)
         for length, all_of in by_length.items():
+            if self.by_merges and length > STEPPED:
+                for k in all_of:
+                    out[k] = self.encode_slowly(units[k])
+                continue
             step = max(1, CELLS // length)
             for begin in range(0, len(all_of), step):
                 rows = all_of[begin : begin + step]
                 codes = np.frombuffer("".join(units[k] for k in rows).encode("utf-32-le"), "<u4").astype(np.int64)
                 codes = np.where(codes == SPACE, LITERAL, np.where(codes == 32, SPACE, codes)).reshape(-1, length)
-                for k, ids in zip(rows, self._viterbi(codes), strict=True):
+                for k, ids in zip(rows, self._merged(codes) if self.by_merges else self._viterbi(codes), strict=True):
                     # substring hashes may meet by chance: what was found has to spell the unit
                     out[k] = ids if self.joined(ids) == units[k].encode() else self.encode_slowly(units[k])
         return out
 
-    def _viterbi(self, codes: np.ndarray) -> list[list[int]]:
+    def _found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of pieces by end position and piece length; the last column is the longest piece."""
         n, length = codes.shape
         most = min(self.most, length)
         hashes = _prefix_hashes(codes)
-        # scores and ids by end position and piece length; the last column is the longest piece
         score = np.full((n, length + 1, most), -np.inf)
         piece = np.full((n, length + 1, most), -1, np.int32)
         power = np.uint64(1)
@@ -134,6 +146,56 @@ class PieceModel:
             at = at.reshape(wanted.shape)
             score[:, size:, size - 1] = np.where(hit, self.scores[size][at], -np.inf)
             piece[:, size:, size - 1] = np.where(hit, self.ids[size][at], -1)
+        return score, piece
+
+    def _merged(self, codes: np.ndarray) -> list[list[int]]:
+        n, length = codes.shape
+        score, piece = self._found(codes)
+        most = score.shape[2]
+        # symbols by their first position: size, the symbol before, and the score of joining it with the next
+        size, first = np.ones((n, length), np.int64), np.ones((n, length), bool)
+        before = np.tile(np.arange(-1, length - 1), (n, 1))
+        pair = np.full((n, length), -np.inf)
+        if most > 1:
+            pair[:, :-1] = score[:, 2:, 1]
+
+        def joined(rows, begin, end):
+            return np.where(end - begin <= most, score[rows, end, np.minimum(end - begin, most) - 1], -np.inf)
+
+        live = np.arange(n)
+        while True:
+            left = (pair if len(live) == n else pair[live]).argmax(1)
+            some = pair[live, left] > -np.inf
+            live, left = live[some], left[some]
+            if not len(live):
+                break
+            right = left + size[live, left]
+            end = right + size[live, right]
+            size[live, left] = end - left
+            first[live, right] = False
+            pair[live, right] = pair[live, left] = -np.inf
+            more = end < length
+            rows, begin, stop = live[more], left[more], end[more]
+            before[rows, stop] = begin
+            pair[rows, begin] = joined(rows, begin, stop + size[rows, stop])
+            more = left > 0
+            rows, begin = live[more], before[live, left][more]
+            pair[rows, begin] = joined(rows, begin, end[more])
+        out: list[list[int]] = [[] for _ in range(n)]
+        rows, begin = np.nonzero(first)
+        sizes = size[rows, begin]
+        ids = piece[rows, begin + sizes, sizes - 1]
+        for row, one, at in zip(rows.tolist(), ids.tolist(), begin.tolist(), strict=True):
+            if one >= 0:
+                out[row].append(one)
+            else:
+                out[row] += self._bytes(int(codes[row, at]))
+        return out
+
+    def _viterbi(self, codes: np.ndarray) -> list[list[int]]:
+        n, length = codes.shape
+        score, piece = self._found(codes)
+        most = score.shape[2]
         lone = np.isneginf(score[:, 1:, 0])
         score[:, 1:, 0][lone] = self.fallback * (1 + (codes[lone] > 0x7F) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF))
         best = np.full((n, length + 1), -np.inf)
@@ -171,6 +233,8 @@ class PieceModel:
         """The same segmentation, by looking every substring up as text."""
         codes = [LITERAL if ord(c) == SPACE else SPACE if c == " " else ord(c) for c in unit]
         text = "".join("\0" if c == LITERAL else chr(c) for c in codes)
+        if self.by_merges:
+            return self._merged_slowly(text, codes)
         best: list[tuple[float, int, list[int]]] = [(0.0, 0, [])]
         for end in range(1, len(text) + 1):
             found = None
@@ -193,6 +257,35 @@ class PieceModel:
             end -= best[end][1]
         return [i for ids in reversed(out) for i in ids]
 
+    def _merged_slowly(self, text: str, codes: list[int]) -> list[int]:
+        size, before = [1] * len(text), list(range(-1, len(text) - 1))  # size 0: joined with the symbol before
+
+        def joined(left: int, right: int) -> list[tuple[float, int, int, int]]:
+            known = self.rank_of.get(text[left : right + size[right]])
+            return [(known[0], left, size[left], size[right])] if known else []
+
+        heap = [entry for k in range(len(text) - 1) for entry in joined(k, k + 1)]
+        heapify(heap)
+        while heap:
+            _, left, n, m = heappop(heap)
+            right = left + n
+            if size[left] != n or size[right] != m:
+                continue
+            size[left], size[right] = n + m, 0
+            end = right + m
+            if end < len(text):
+                before[end] = left
+                for entry in joined(left, end):
+                    heappush(heap, entry)
+            if left:
+                for entry in joined(before[left], left):
+                    heappush(heap, entry)
+        out: list[int] = []
+        for k in filter(size.__getitem__, range(len(text))):
+            known = self.rank_of.get(text[k : k + size[k]])
+            out += [known[1]] if known else self._bytes(codes[k])
+        return out
+
     # ------------------------------------------------------------------ decoding
 
     def joined(self, ids: list[int]) -> bytes:
