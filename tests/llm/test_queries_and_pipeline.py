@@ -25,7 +25,7 @@ def test_registry():
 @given
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(name, spark):
-    assert compare.differences(spark, compare.connect(SF_DIR), name, SF_DIR) == ""
+    assert compare.differences(spark, compare.connect(SF_DIR), name, SF_DIR, queries.QUERIES, queries.ORACLE) == ""
 
 
 def fixture(spark, folder):

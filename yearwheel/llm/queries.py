@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearwheel.llm import jaccard_join, line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
+from yearwheel.llm import filter_audit, jaccard_join, line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -84,6 +84,10 @@ def op10_viterbi_pieces(spark: SparkSession, d: str) -> DataFrame:
     return viterbi_pieces.encode_and_check(_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"), ["doc_id"])
 
 
+def op12_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, d, "documents"), _table(spark, d, "labels"), Staging(spark))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -95,6 +99,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_multi_index": op9_multi_index,
     "op10_viterbi_pieces": op10_viterbi_pieces,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _MIX_SQL = """
@@ -118,4 +123,46 @@ SELECT doc_id, text, lang, source, n_chars, round(rate, 6) AS rate, n_copies, co
 FROM copies
 """
 
-ORACLE: dict[str, str] = {"op6_mixing": _MIX_SQL}
+_AUDIT_SQL = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), flags AS (
+    SELECT part, d.doc_id, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+           len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d,
+           coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false) AS e
+    FROM words d LEFT JOIN (
+        SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels GROUP BY doc_id
+    ) l ON d.doc_id = l.doc_id
+), bits AS (
+    SELECT part, good, toxic, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS cell FROM flags
+), cells AS (
+    SELECT part, cell, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM bits GROUP BY part, cell
+), letters AS (
+    SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(letter, bit)
+), orders AS (
+    SELECT p.letter || q.letter || r.letter || s.letter || t.letter AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+    FROM letters p, letters q, letters r, letters s, letters t WHERE p.bit | q.bit | r.bit | s.bit | t.bit = 31
+), steps AS (
+    SELECT filter_order, CAST(step AS INT) AS step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before
+    FROM orders, LATERAL (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+    SELECT part, filter_order, step, bit,
+           CAST(sum(CASE WHEN cell & (before | bit) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+           CAST(sum(CASE WHEN cell & before = 0 AND cell & bit > 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+           CAST(sum(CASE WHEN cell & before > 0 AND cell & bit > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+           CAST(sum(CASE WHEN cell = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+           CAST(sum(CASE WHEN cell & before = 0 AND cell & bit > 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+           CAST(sum(CASE WHEN cell & before = 0 AND cell & bit > 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+    FROM steps, cells GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+ORACLE: dict[str, str] = {"op6_mixing": _MIX_SQL, "op12_filter_audit": _AUDIT_SQL}
