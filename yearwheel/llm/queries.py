@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearwheel.llm import filter_audit, jaccard_join, line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
+from yearwheel.llm import cover_tree, filter_audit, jaccard_join, line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -88,6 +88,16 @@ def op12_filter_audit(spark: SparkSession, d: str) -> DataFrame:
     return filter_audit.audit(_table(spark, d, "documents"), _table(spark, d, "labels"), Staging(spark))
 
 
+def op13_cover_tree(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(256 * x).cast("double"))
+    # a fault in the vector stays one
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    own = rows.select("vec_id", label.alias("label"), F.when(fine, whole).alias("vec"))
+    return cover_tree.mine_negatives(own, F.col("vec_id") % 50 == 0, Staging(spark))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -100,6 +110,7 @@ QUERIES = {
     "op9_multi_index": op9_multi_index,
     "op10_viterbi_pieces": op10_viterbi_pieces,
     "op12_filter_audit": op12_filter_audit,
+    "op13_cover_tree": op13_cover_tree,
 }
 
 _MIX_SQL = """
@@ -165,4 +176,25 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted
 """
 
-ORACLE: dict[str, str] = {"op6_mixing": _MIX_SQL, "op12_filter_audit": _AUDIT_SQL}
+_NEGATIVES_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.vec, r.vec) AS BIGINT) AS score
+    FROM rows a JOIN rows r ON a.vec_id <> r.vec_id AND len(a.vec) = len(r.vec) WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 3
+"""
+
+ORACLE: dict[str, str] = {"op13_cover_tree": _NEGATIVES_SQL, "op6_mixing": _MIX_SQL, "op12_filter_audit": _AUDIT_SQL}
