@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from yearwheel.operators.staging import Staging
 
-FAN = 32
-LEAF = 32
+FAN = 16
+LEAF = 256
 MAX_TOPS = 256
 _TREE = (
     "size int, top int, block int, ids array<long>, labels array<string>, points binary, bound double, "
@@ -155,8 +155,8 @@ class Search:
         self.k, self.same, self.low, self.high = k, same, low, high
         self.anchors, self.ids = anchors, ids
         size = anchors.shape[1]
-        self.points = np.frombuffer(tree["points"], np.float64).reshape(-1, size)
         self.row_ids = np.array(tree["ids"], np.int64)
+        self.points = np.frombuffer(tree["points"], np.float64).reshape(len(self.row_ids), size)
         codes: dict[str, int] = {}
         self.row_labels = np.array([codes.setdefault(c, len(codes)) for c in tree["labels"]])
         self.labels = np.array([codes.get(c, -1) for c in labels])
@@ -243,18 +243,25 @@ class Search:
             counts = (self.row_labels[part][None, :] == self.labels[rows][:, None]) == self.same
             if self.same:
                 counts &= self.row_ids[part][None, :] != self.ids[rows][:, None]
+            scores = np.where(counts, scores, -np.inf)
             for w in range(self.low.shape[1]):
-                fits = counts & (scores >= self.low[rows, w][:, None]) & (scores <= self.high[rows, w][:, None])
-                fits &= scores >= self.scores[rows, w, -1][:, None]
-                better = np.flatnonzero(fits.any(1))
-                if not len(better):
-                    continue
-                at = rows[better]
-                s = np.concatenate([self.scores[at, w], np.where(fits[better], scores[better], -np.inf)], 1)
-                i = np.concatenate([self.found[at, w], np.broadcast_to(self.row_ids[part], (len(at), part.stop - part.start))], 1)
-                first = np.lexsort((i, -s), axis=-1)[:, : self.k]
-                self.scores[at, w] = np.take_along_axis(s, first, 1)
-                self.found[at, w] = np.take_along_axis(i, first, 1)
+                least = np.maximum(self.low[rows, w], self.scores[rows, w, -1])
+                fits = (scores >= least[:, None]) & (scores <= self.high[rows, w][:, None]) & counts
+                i, j = np.nonzero(fits)
+                if len(i):
+                    self._merge(rows[i], w, scores[i, j], self.row_ids[part][j])
+
+    def _merge(self, rows: np.ndarray, w: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Put rows found into the places of one window."""
+        at, place = np.unique(rows, return_inverse=True)
+        # the places taken so far, and what was found, by anchor, score and id
+        who = np.concatenate([np.repeat(np.arange(len(at)), self.k), place])
+        s = np.concatenate([self.scores[at, w].ravel(), scores])
+        i = np.concatenate([self.found[at, w].ravel(), ids])
+        order = np.lexsort((i, -s, who))
+        starts = np.searchsorted(who[order], np.arange(len(at)))
+        first = order[starts[:, None] + np.arange(self.k)]
+        self.scores[at, w], self.found[at, w] = s[first], i[first]
 
 
 _FOUND = "row long, anchor_id long, window int, vec_id long, score long"
