@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearwheel.llm import cover_tree, filter_audit, jaccard_join, line_crf, mixing, multi_index, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
+from yearwheel.llm import cover_tree, filter_audit, jaccard_join, line_crf, mixing, multi_index, nn_descent, secret_links, substring_dedup, token_grammar, url_filter, viterbi_pieces, warc
 from yearwheel.llm.ship import ship
 from yearwheel.operators.staging import Staging
 
@@ -84,6 +84,10 @@ def op10_viterbi_pieces(spark: SparkSession, d: str) -> DataFrame:
     return viterbi_pieces.encode_and_check(_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"), ["doc_id"])
 
 
+def op11_nn_descent(spark: SparkSession, d: str) -> DataFrame:
+    return nn_descent.nearest(_table(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, Staging(spark))
+
+
 def op12_filter_audit(spark: SparkSession, d: str) -> DataFrame:
     return filter_audit.audit(_table(spark, d, "documents"), _table(spark, d, "labels"), Staging(spark))
 
@@ -109,6 +113,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_multi_index": op9_multi_index,
     "op10_viterbi_pieces": op10_viterbi_pieces,
+    "op11_nn_descent": op11_nn_descent,
     "op12_filter_audit": op12_filter_audit,
     "op13_cover_tree": op13_cover_tree,
 }
