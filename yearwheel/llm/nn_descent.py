@@ -23,6 +23,7 @@ length with at most ``block_rows`` distinct vectors is compared in full in the f
 
 from __future__ import annotations
 
+import gc
 from collections import OrderedDict
 from functools import partial
 
@@ -41,6 +42,8 @@ _BLOCKS_A_TASK = 1 << 12
 _KEY_BITS = 52
 _NEAR = pa.list_(pa.struct([("id", pa.int64()), ("score", pa.float32()), ("new", pa.bool_())]))
 _NEAR_DDL = "array<struct<id:long,score:float,new:boolean>>"
+_GRAPH_DDL = f"node long, near {_NEAR_DDL}, fresh long"
+_QUERIES_A_TASK = 512
 
 
 class Records:
@@ -264,14 +267,13 @@ def _search(batches, records: Records, lists: Records, beam: int, step: int, wan
     for batch in batches:
         for begin in range(0, batch.num_rows, 128):
             queries = batch.column(0).to_numpy()[begin : begin + 128]
-            vectors = records(queries).astype(np.float64)
+            vectors = records(queries)
             n = len(queries)
             # everything seen, by query and address, and the beam as rows of (query, score, node, expanded)
             seen = (np.arange(n) << _KEY_BITS) | queries
             who, node, done = np.arange(n), queries.copy(), np.zeros(n, bool)
             score = np.einsum("ij,ij->i", vectors, vectors)
             while True:
-                starts = np.searchsorted(who, np.arange(n))
                 open_ = np.flatnonzero(~done)
                 if not len(open_):
                     break
@@ -280,21 +282,30 @@ def _search(batches, records: Records, lists: Records, beam: int, step: int, wan
                 chosen = open_[turn < step]
                 done[chosen] = True
                 near = lists(node[chosen])
-                keys = ((who[chosen] << _KEY_BITS)[:, None] | np.where(near < 0, 0, near))[near >= 0]
-                keys = np.setdiff1d(keys, seen)
+                keys = np.unique(((who[chosen] << _KEY_BITS)[:, None] | near)[near >= 0])
+                keys = keys[seen[np.minimum(np.searchsorted(seen, keys), len(seen) - 1)] != keys]
                 if not len(keys):
                     continue
-                seen = np.union1d(seen, keys)
+                # two sorted runs, which a stable sort only merges
+                seen = np.sort(np.concatenate([seen, keys]), kind="stable")
                 new_who, new_node = keys >> _KEY_BITS, keys & mask
-                names, place = np.unique(new_node, return_inverse=True)
-                new_score = np.einsum("ij,ij->i", records(names)[place], vectors[new_who])
+                new_score = np.einsum("ij,ij->i", records(new_node), vectors[new_who])
+                # what cannot enter a full beam is not carried along
+                starts = np.searchsorted(who, np.arange(n + 1))
+                filled = starts[1:] - starts[:-1] > beam
+                least = np.where(filled, score[starts[1:] - 1], -np.inf)
+                enters = new_score >= least[new_who]
+                new_who, new_node, new_score = new_who[enters], new_node[enters], new_score[enters]
                 who, node, score = np.concatenate([who, new_who]), np.concatenate([node, new_node]), np.concatenate([score, new_score])
-                done = np.concatenate([done, np.zeros(len(keys), bool)])
+                done = np.concatenate([done, np.zeros(len(new_who), bool)])
                 order = np.lexsort((node, -score, who))
                 starts = np.searchsorted(who[order], np.arange(n))
-                # the query's own node does not compete for a place
+                # the query's own node takes one place more
                 order = order[np.arange(len(order)) - starts[who[order]] <= beam]
                 who, node, score, done = who[order], node[order], score[order], done[order]
+            score = np.einsum("ij,ij->i", records(node).astype(np.float64), vectors.astype(np.float64)[who])
+            order = np.lexsort((node, -score, who))
+            who, node, score = who[order], node[order], score[order]
             starts = np.searchsorted(who, np.arange(n + 1))
             last = score[np.minimum(starts[:-1] + wanted - 1, starts[1:] - 1)]
             keep = score >= last[who]
@@ -308,8 +319,39 @@ def _reverse(edges: DataFrame, buckets: int, turn: int) -> DataFrame:
     return edges.groupBy(F.col("id").alias("v"), bucket).agg(F.min_by(F.struct("node", "new"), mix).alias("o")).select("v", F.col("o.node").alias("id"), F.col("o.new").alias("new"))
 
 
+def _first_graph(placed: DataFrame, stage: Staging, turns: int, degree: int, block_rows: int, scale: float, large: list[int], setting: dict) -> DataFrame:
+    dealt = placed.select("node", "embedding", "size").mapInArrow(
+        partial(_dealt, turns=turns, scale=scale, large=frozenset(large), **setting), "turn int, size int, code long, salt long, node long, half binary"
+    )
+    keys = ["turn", "size", "code", "salt"]
+    runs = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    most = min(degree, 16) if large else degree
+    lists = runs.mapInArrow(partial(_nearest_in_blocks, block_rows=block_rows, width=setting["width"], most=most), f"node long, near {_NEAR_DDL}")
+    gathered = lists.groupBy("node").agg(F.flatten(F.collect_list("near")).alias("offered"))
+    none = F.array().cast(_NEAR_DDL).alias("near")
+    return stage(gathered.select("node", none, "offered").mapInArrow(partial(_merged, k=degree), _GRAPH_DDL), "graph-0")
+
+
+def _round(graph: DataFrame, stage: Staging, records: Records, turn: int, degree: int, reverse: int, offers: int, scale: float) -> DataFrame:
+    """Neighbours of neighbours meet once; the graph after it."""
+    edges = graph.select("node", F.inline("near"))
+    named = edges.select(F.col("node").alias("v"), "id", "new").unionByName(_reverse(edges, reverse, turn))
+    itself = graph.select(F.col("node").alias("v"), F.col("node").alias("id"), F.lit(False).alias("new"))
+    # a node whose list has room takes any offer
+    full = F.when(F.size("near") >= degree, F.array_min("near.score")).otherwise(F.lit(float("-inf")))
+    last = graph.select(F.col("node").alias("id"), full.cast("float").alias("last"))
+    members = named.unionByName(itself).join(last, "id").groupBy("v").agg(F.collect_list(F.struct("id", "new", "last")).alias("met"))
+    moving = members.where(F.exists("met", lambda m: m["new"]))
+    offered = moving.mapInArrow(partial(_offers, records=records, scale=scale, most=offers), "node long, id long, score float")
+    offered = offered.groupBy("node").agg(F.collect_list(F.struct("id", "score", F.lit(True).alias("new"))).alias("offered"))
+    none = F.array().cast(_NEAR_DDL)
+    both = graph.drop("fresh").join(offered, "node", "left").select("node", "near", F.coalesce("offered", none).alias("offered"))
+    return stage(both.mapInArrow(partial(_merged, k=degree), _GRAPH_DDL), f"graph-{turn}")
+
+
 def _cleaned(spark) -> None:
-    """Let Spark drop the shuffle files of rounds that are over: it does so for plans the JVM has collected."""
+    """Let Spark drop the shuffle files of steps that are over: it does so for plans that neither Python nor the JVM holds."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
@@ -362,31 +404,10 @@ def nearest(
     paths = {r["block"]: (r["path"], r["n"]) for r in placed.groupBy(block.alias("block"), "path").agg(F.count(F.lit(1)).alias("n")).collect()}
     records = Records(paths, dtype, width)
 
-    dealt = placed.select("node", "embedding", "size").mapInArrow(
-        partial(_dealt, turns=turns, scale=scale, large=frozenset(large), **setting), "turn int, size int, code long, salt long, node long, half binary"
-    )
-    keys = ["turn", "size", "code", "salt"]
-    runs = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    lists = runs.mapInArrow(partial(_nearest_in_blocks, block_rows=block_rows, width=width, most=min(degree, 16) if large else degree), f"node long, near {_NEAR_DDL}")
-    gathered = lists.groupBy("node").agg(F.flatten(F.collect_list("near")).alias("offered"))
-    none = F.array().cast(_NEAR_DDL)
-    merged = f"node long, near {_NEAR_DDL}, fresh long"
-    graph = stage(gathered.select("node", none.alias("near"), "offered").mapInArrow(partial(_merged, k=degree), merged), "graph-0")
+    graph = _first_graph(placed, stage, turns, degree, block_rows, scale, large, setting)
     _cleaned(spark)
-
     for turn in range(1, rounds + 1 if large else 1):
-        edges = graph.select("node", F.inline("near"))
-        named = edges.select(F.col("node").alias("v"), "id", "new").unionByName(_reverse(edges, reverse, turn))
-        itself = graph.select(F.col("node").alias("v"), F.col("node").alias("id"), F.lit(False).alias("new"))
-        # a node whose list has room takes any offer
-        full = F.when(F.size("near") >= degree, F.array_min("near.score")).otherwise(F.lit(float("-inf")))
-        last = graph.select(F.col("node").alias("id"), full.cast("float").alias("last"))
-        members = named.unionByName(itself).join(last, "id").groupBy("v").agg(F.collect_list(F.struct("id", "new", "last")).alias("met"))
-        moving = members.where(F.exists("met", lambda m: m["new"]))
-        offered = moving.mapInArrow(partial(_offers, records=records, scale=scale, most=offers), "node long, id long, score float")
-        offered = offered.groupBy("node").agg(F.collect_list(F.struct("id", "score", F.lit(True).alias("new"))).alias("offered"))
-        both = graph.drop("fresh").join(offered, "node", "left").select("node", "near", F.coalesce("offered", none).alias("offered"))
-        graph = stage(both.mapInArrow(partial(_merged, k=degree), merged), f"graph-{turn}")
+        graph = _round(graph, stage, records, turn, degree, reverse, offers, scale)
         fresh, nodes = graph.agg(F.sum("fresh"), F.count(F.lit(1))).first()
         _cleaned(spark)
         if fresh < still * degree * nodes:
@@ -401,7 +422,10 @@ def nearest(
 
     queries = own.where("is_query").select(F.col("vec_id").alias("query_id"), "embedding").join(placed.select("node", "embedding"), "embedding")
     queries = stage(queries.select("query_id", F.col("node").alias("query")), "queries")
-    wanted = queries.select("query").distinct().mapInArrow(
+    starts = queries.select("query").distinct()
+    # a task's time grows with its queries, not with their bytes
+    starts = starts.repartition(max(1, -(-queries.count() // _QUERIES_A_TASK)), "query")
+    wanted = starts.mapInArrow(
         partial(_search, records=records, lists=neighbours, beam=max(beam, k + 1), step=step, wanted=k + 1), "query long, node long, score double"
     )
     found = stage(wanted, "found").join(placed.select("node", F.explode("ids").alias("vec_id")), "node")
