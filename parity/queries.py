@@ -242,10 +242,9 @@ def trip_stay_join(spark, d):
 
 
 def activity_join(spark, d):
-    grouped = joins.with_activity_group(clean.clean_activities(t.activities(spark, d)), t.classification(spark, d))
-    rows = joins.with_details(clean.clean_trips(t.trips(spark, d)), grouped)
-    out = rows.withColumnRenamed("SmoothedTripWeight", "Total_Activities").groupBy("Activity_Group").agg(
-        F.sum("Total_Activities").alias("Total_Activities"), F.count(F.lit(1)).alias("n_rows")
+    rows = activity_rows(t.trips(spark, d), t.activities(spark, d))
+    out = with_activity_groups(t.classification(spark, d))(rows).groupBy("Activity_Group").agg(
+        F.sum("Total_Activities").alias("Total_Activities"), F.sum("Raw_Count").alias("n_rows")
     )
     return _doubles(out, "Total_Activities")
 

@@ -90,3 +90,21 @@ def test_each_step_of_the_cube_combines_before_its_shuffle(table, plan):
     text = plan(cube.dimension_cube(base, DIMS, ["v"]))
     assert text.count("Expand") == 2 and text.count("Exchange hashpartitioning") == 2
     assert text.count("partial_sum") == 2
+
+
+def test_dependent_dimensions_are_copied(table, rows):
+    """With a determines b and c determines d, the cube is the same, from fewer summed combinations."""
+    data = [(f"a{k % 5}", f"b{k % 5 % 2}", k % 3, f"c{k % 7}", None if k % 7 > 4 else f"d{k % 7 % 2}", k) for k in range(200)]
+    base = table("a string, b string, x int, c string, d string, n long", data)
+    dims = ["x", "b", "d", "a", "c"]
+    full = cube.dimension_cube(base, dims, ["n"], "level")
+    pruned = cube.dimension_cube(base, dims, ["n"], "level", follows=[("a", "b"), ("c", "d")])
+    assert rows(full) == rows(pruned)
+    sets = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("null, ") + df._jdf.queryExecution().optimizedPlan().toString().count("[null")
+    assert sets(pruned) < sets(full)
+
+
+def test_parts_keep_pairs_together():
+    assert cube._parts(["y", "p", "g", "s"], 3, [("p", "g")]) == [["y", "p", "g"], ["s"]]
+    assert cube._parts(["y", "d", "g", "p"], 3, [("p", "g")]) == [["y", "d"], ["p", "g"]]
+    assert cube._parts(list("abcdef"), 3, []) == [list("abc"), list("def")]

@@ -299,27 +299,80 @@ def test_doubled_codes_stop_an_extract(name, tables, stage):
         survey_extract(name, extract_specs("Survey")[name], twice, stage)
 
 
-def test_scans_of_a_whole_run(spark, tables, survey_paths, tmp_path, plan, monkeypatch):
-    """Each extract's staged pass scans each fact table once; accommodation judges its years by one more."""
-    seen = Counter()
+def scans(df, plan):
+    """How often each fact file is scanned."""
+    text = plan(df)
+    return {fact: text.count(f"{fact}.csv") for fact in ("trips", "stays", "spend", "activities")}
+
+
+def test_a_whole_run_scans_each_fact_table_once(spark, tables, tmp_path, plan, monkeypatch):
+    """One pass serves all extracts, rules on the inputs included; all that is staged or written later reads its totals."""
+    seen, written = Counter(), []
     real = Staging.__call__
 
-    def counting(self, df, name):
-        text = plan(df)
-        for fact in ("trips", "stays", "spend", "activities"):
-            seen[name, fact] += text.count(f"{fact}.csv")
-        return real(self, df, name)
+    def counting(self, df, name, by=()):
+        written.append(name)
+        seen.update(scans(df, plan))
+        return real(self, df, name, by)
+
+    from yearwheel.plans import run
+
+    def publishing(extract, *_):
+        for df in [*extract.tables().values(), extract.losses]:
+            seen.update(scans(df, plan))
+        return extract.spec.table_id
 
     monkeypatch.setattr(Staging, "__call__", counting)
-    for i, name in enumerate(extract_specs("S")):
-        survey_extract(name, extract_specs("S")[name], tables, Staging(spark, str(tmp_path / str(i))))
-    scans = {k: n for k, n in seen.items() if n}
-    assert scans == {
-        ("totals7578", "trips"): 1, ("totals7578", "stays"): 1, ("years7578", "trips"): 1,
-        ("quarters7579", "trips"): 1,
-        ("quarters7580", "trips"): 1, ("quarters7580", "spend"): 1,
-        ("quarters7581", "trips"): 1, ("quarters7581", "activities"): 1,
-    }
+    monkeypatch.setattr(run, "publish", publishing)
+    run_all(spark, tables, str(tmp_path), survey="S")
+    assert seen == {"trips": 1, "stays": 1, "spend": 1, "activities": 1}
+    assert written.count("quarters") == 1
+
+
+@pytest.mark.parametrize("name", ["accommodation", "trips", "spend", "activity"])
+def test_shared_pass_equals_own_pass(name, spark, tables, records, tmp_path, rows):
+    from yearwheel.plans.facts import fact_pass
+
+    together = fact_pass(tables, ["accommodation", "trips", "spend", "activity"], Staging(spark, str(tmp_path / "all")), strict=True)
+    alone = fact_pass(tables, [name], Staging(spark, str(tmp_path / "one")))
+    columns = sorted(alone.quarterly[name].columns)
+    assert rows(together.quarterly[name], *columns) == rows(alone.quarterly[name], *columns)
+    assert rows(together.spend_rules, "control", "ok") == rows(input_checks("spend", tables), "control", "ok")
+
+
+def test_rules_of_the_pass_see_spend_of_unknown_trips(spark, tables, tmp_path):
+    from yearwheel.plans.facts import fact_pass
+
+    orphan = tables.spend.unionByName(spark.sql("SELECT 99999L TripID, 'Alcohol' SpendType, CAST(1 AS DECIMAL(18,2)) ImputedSpendAmt").select(tables.spend.columns))
+    more = dataclasses.replace(tables, spend=orphan)
+    facts = fact_pass(more, ["spend", "activity"], Staging(spark, str(tmp_path)), strict=True)
+    with pytest.raises(checks.CheckFailed, match="food type: 1.0"):
+        checks.require(facts.spend_rules)
+    assert facts.quarterly["spend"].where("Destination_RTO IS NULL").count() == 0
+
+
+def test_a_year_counts_whose_quarters_have_no_stays(spark, tables, records, tmp_path):
+    """Overnight trips of a quarter without any stay still complete its years, from the one scan of the trips."""
+    quarter = [t["TripIDNumber"] for t in records[0] if (t["TripYear"], t["TripQtr"]) == (2001, 2)]
+    fewer = dataclasses.replace(tables, stays=tables.stays.where(~F.col("TripID").isin(quarter)))
+    spec = extract_specs("Survey")["accommodation"]
+    extract = survey_extract("accommodation", spec, fewer, Staging(spark, str(tmp_path)))
+    stays = [s for s in records[1] if s["TripID"] not in quarter]
+    want = expected_cube("accommodation", (records[0], stays, records[2], records[3]))
+    years = {r[0] for r in extract.base.select("Year_Ending").distinct().collect()}
+    assert years == {k[0] for k in want} - {"All"}
+    assert "YEDec2001" in years
+
+
+def test_dependent_dimension_is_summed_only_where_it_holds(spark, tables, stage, tmp_path):
+    spec = extract_specs("Survey")["trips"]
+    assert survey_extract("trips", spec, tables, stage).follows == (("POV", "POV_Group"),)
+    both = tables.purposes.unionByName(spark.sql("SELECT 'Holiday' POV, 'Work' POV_Group"))
+    doubled = survey_extract("trips", spec, dataclasses.replace(tables, purposes=both), Staging(spark, str(tmp_path)))
+    assert doubled.follows == ()
+    row = doubled.cube.where("Year_Ending = 'All' AND Destination_RTO = 'All' AND Trip_Type = 'All' AND POV = 'Holiday'")
+    trips = {r.POV_Group: r.Total_Respondents for r in row.collect()}
+    assert trips["All"] == 2 * trips["Holiday"] == 2 * trips["Work"]
 
 
 def test_repeated_codes_are_refused(tables, stage):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from yearwheel.operators.rolling import NULLS_SUFFIX
@@ -24,12 +24,22 @@ def require(checks: DataFrame, shown: int = 20) -> None:
     A null outcome counts as failed. The message names up to ``shown`` and says how many it leaves out.
     """
     failed = checks.where(~F.coalesce(F.col("ok"), F.lit(False)))
-    told = F.struct("control", "actual", "expected")
-    found = failed.agg(F.count(F.lit(1)).alias("n"), F.slice(F.sort_array(F.collect_list(told)), 1, shown).alias("first")).first()
-    if found.n:
-        named = "; ".join(f"{r.control}: {r.actual} instead of {r.expected}" for r in found.first)
-        more = f"; and {found.n - len(found.first)} more" if found.n > len(found.first) else ""
-        raise CheckFailed(f"{found.n} failed: {named}{more}")
+    first = failed.orderBy("control", "actual", "expected").limit(shown).collect()
+    if first:
+        _refuse(first, len(first) if len(first) < shown else failed.count())
+
+
+def require_rows(checks: Sequence[Row]) -> None:
+    """As :func:`require`, for checks that have been collected."""
+    failed = sorted(r for r in checks if not r.ok)
+    if failed:
+        _refuse(failed, len(failed))
+
+
+def _refuse(first: Sequence[Row], n: int) -> None:
+    named = "; ".join(f"{r.control}: {r.actual} instead of {r.expected}" for r in first)
+    more = f"; and {n - len(first)} more" if n > len(first) else ""
+    raise CheckFailed(f"{n} failed: {named}{more}")
 
 
 def _truncated(x: Column) -> Column:

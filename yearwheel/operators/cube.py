@@ -35,6 +35,7 @@ def dimension_cube(
     measures: Sequence[str],
     level: str | None = None,
     step: int = 3,
+    follows: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
     """Sums for every subset of ``dims``; dimensions summed over read ``All``.
 
@@ -43,24 +44,48 @@ def dimension_cube(
     each time from the totals so far. With six dimensions that multiplies the base by 8 and its
     much smaller outcome by 8 again, instead of the base by 64. ``level`` names an output column
     with the grouping id.
+
+    ``follows`` are pairs of dimensions of which the first determines the second. A subset with the first
+    but not the second then has the rows of the subset with both, under another name: these are not summed again but
+    copied at the end. Each dimension may be in one pair; the pair goes in one step.
     """
     dims = list(dims)
+    bit = {d: len(dims) - 1 - i for i, d in enumerate(dims)}
     totals = [F.sum(m).alias(m) for m in measures]
     column = {c: F.col(c) for c in [*dims, LEVEL]}
     current = base.select(*dims, *measures, F.lit(0).cast("bigint").alias(LEVEL))
-    for start in range(0, len(dims), step):
-        part = dims[start : start + step]
+    for part in _parts(dims, step, follows):
         fixed = [c for c in column if c not in part]
         subsets = [(), *grouping_combinations(part), tuple(part)]
+        subsets = [s for s in subsets if not any(one in s and group not in s for one, group in follows)]
         sets = [[column[c] for c in (*fixed, *subset)] for subset in subsets]
-        # leave room for the bits of the dimensions after this part
-        shift = len(dims) - start - len(part)
         grouped = current.groupingSets(sets, *fixed, *part).agg(*totals, F.grouping_id().alias("_step"))
-        reached = column[LEVEL] + F.shiftleft("_step", shift)
+        reached = column[LEVEL]
+        for i, d in enumerate(part):
+            reached = reached + F.shiftleft(F.shiftright("_step", len(part) - 1 - i).bitwiseAND(1), bit[d])
         current = grouped.select(*dims, *measures, reached.alias(LEVEL))
+    for one, group in follows:
+        own = (1 << bit[one]) | (1 << bit[group])
+        both = F.array(column[LEVEL], column[LEVEL] + (1 << bit[group]))
+        named = F.when(column[LEVEL].bitwiseAND(own) == 0, both).otherwise(F.array(column[LEVEL]))
+        current = current.select(*dims, *measures, F.explode(named).alias(LEVEL))
     return _named_totals(current, dims, measures, level)
 
 
+def _parts(dims: list[str], step: int, follows: Sequence[tuple[str, str]]) -> list[list[str]]:
+    """Dimensions by steps, in order, those of a pair in the same one."""
+    group_of = dict(follows)
+    dependent = set(group_of.values())
+    units = [[d, *([group_of[d]] if d in group_of else [])] for d in dims if d not in dependent]
+    parts: list[list[str]] = []
+    for unit in units:
+        if parts and len(parts[-1]) + len(unit) <= step:
+            parts[-1] += unit
+        else:
+            parts.append(list(unit))
+    return parts
+
+
 def partial_cube(
     base: DataFrame, dims: Sequence[str], measures: Sequence[str], level: str | None = None
 ) -> DataFrame:

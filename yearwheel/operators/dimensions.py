@@ -139,6 +139,11 @@ def repeated_members(lookup: DataFrame) -> DataFrame:
     return counts.where(F.col("n") > 1)
 
 
+def member_of(lookup: DataFrame) -> Column:
+    """The column of a lookup that holds the member as it stands in the data."""
+    return F.col(_key(lookup))
+
+
 def _key(lookup: DataFrame) -> str:
     return "YE" if "YE" in lookup.columns else "Description"
 

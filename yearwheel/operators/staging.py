@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,9 +37,10 @@ class Staging:
         self.spark = spark
         self.folder = f"{folder or shared_folder(spark)}/yearwheel-{uuid.uuid4().hex}"
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+        """``by`` names columns with few values; a reader that filters on them opens only the files it needs."""
         path = f"{self.folder}/{name}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

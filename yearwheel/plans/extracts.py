@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import cached_property, reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from yearwheel.functions.text import measure_text
 from yearwheel.operators import checks, clean, cube, dimensions, joins, rolling, spend
 from yearwheel.operators.staging import Staging
+from yearwheel.plans import facts
 from yearwheel.plans.spec import Dimension, ExtractSpec, Measure
 from yearwheel.sources.tables import SurveyTables
 
 Adjustment = Callable[[DataFrame], DataFrame]
 
 YEAR_COLUMNS = [rolling.YEAR, rolling.QUARTER]
+_SURVEY = ("accommodation", "trips", "spend", "activity")
 SEEN = "_quarters"
 
 # Codes and titles of the published dimensions and measures.
@@ -42,6 +44,7 @@ ACTIVITIES = Measure("Total_Activities", "Total activities")
 def extract_specs(survey: str) -> dict[str, ExtractSpec]:
     """Specifications of the four extracts; ``survey`` is the name the table titles start with."""
     trip_dims = (YEAR_ENDING, DESTINATION, TRIP_TYPE, PURPOSE, PURPOSE_GROUP)
+    group = ((PURPOSE.code, PURPOSE_GROUP.code),)
     return {
         "accommodation": ExtractSpec(
             "7578",
@@ -50,13 +53,14 @@ def extract_specs(survey: str) -> dict[str, ExtractSpec]:
             (VISITORS, TRIPS, NIGHTS, RESPONDENTS),
             on_unmatched="drop",
         ),
-        "trips": ExtractSpec("7579", f"{survey}: Trips", trip_dims, (VISITORS, TRIPS, RESPONDENTS)),
+        "trips": ExtractSpec("7579", f"{survey}: Trips", trip_dims, (VISITORS, TRIPS, RESPONDENTS), follows=group),
         "spend": ExtractSpec(
             "7580",
             f"{survey}: Visitor Spend",
             (*trip_dims, SPEND_TYPE),
             (EXPENDITURE,),
             breakdowns=(("Spend_Type", "POV_Group"),),
+            follows=group,
         ),
         "activity": ExtractSpec(
             "7581",
@@ -69,18 +73,21 @@ def extract_specs(survey: str) -> dict[str, ExtractSpec]:
 
 
 def accommodation_rows(trips: DataFrame, stays: DataFrame) -> DataFrame:
-    """Overnight trips x stays. The trip's weights count once per stay."""
+    """Overnight trips x their stays, those of one type and band as one row with the measures of all.
+
+    The trip's weights count once per stay. Stays are totalled before the join, so a trip with very many is a few rows.
+    """
     overnight = clean.clean_trips(clean.overnight_trips(trips))
-    weight = F.col("SmoothedTripWeight")
-    return joins.with_details(overnight, clean.clean_stays(stays)).select(
+    weight, n = F.col("SmoothedTripWeight"), F.col("n")
+    return joins.with_details(overnight, facts.stays_by_trip(stays)).select(
         *YEAR_COLUMNS,
         "LOS_Group",
         F.col("DestinationRTO").alias("Destination_RTO"),
         F.col("AccommodationType").alias("Accommodation_Type"),
-        F.col("RespondentWeight").alias("Total_Visitors"),
-        weight.alias("Total_Trips"),
-        (F.col("NoNights") * weight).alias("Total_Nights"),
-        F.lit(1).alias("Total_Respondents"),
+        (F.col("RespondentWeight") * n).alias("Total_Visitors"),
+        (weight * n).alias("Total_Trips"),
+        (F.col("nights") * weight).alias("Total_Nights"),
+        n.alias("Total_Respondents"),
     )
 
 
@@ -97,36 +104,6 @@ def trip_rows(trips: DataFrame) -> DataFrame:
     )
 
 
-def spend_rows(trips: DataFrame, spending: DataFrame) -> DataFrame:
-    """Weighted spend by type as recorded, and the types derived from trip columns.
-
-    Spend is summed by trip and type first, so a trip with very many rows joins as a few, and each trip
-    carries its recorded entries as a list beside those derived from its own columns: one scan of either
-    table. An entry with a missing amount is missing, which the audit of the totals then finds. Alcohol is
-    taken out of food in the totals, see :func:`net_with_group`.
-    """
-    trips = clean.clean_trips(trips)
-    missing = F.count_if(F.col("ImputedSpendAmt").isNull()) > 0
-    summed = clean.clean_spend(spending).groupBy("TripID", "SpendType").agg(
-        F.when(~missing, F.sum("ImputedSpendAmt")).alias("Amount")
-    )
-    recorded = summed.groupBy("TripID").agg(F.collect_list(F.struct("SpendType", "Amount")).alias("recorded"))
-    both = trips.join(recorded, trips[joins.TRIP] == recorded[joins.DETAIL_TRIP], "left")
-    weight = F.col("ExpenditureWeight")
-    weighted = F.transform(
-        F.coalesce("recorded", F.array().cast(recorded.schema["recorded"].dataType)),
-        lambda e: F.struct(e["SpendType"].alias("Spend_Type"), (weight * e["Amount"]).alias("Expenditure")),
-    )
-    entries = F.concat(weighted, spend.derived_entries("Spend_Type"))
-    return both.select(
-        *YEAR_COLUMNS,
-        F.col("DestinationRTO").alias("Destination_RTO"),
-        F.col("TripType").alias("Trip_Type"),
-        "POV",
-        F.inline(entries),
-    )
-
-
 def with_group(purposes: DataFrame) -> Adjustment:
     """Purpose groups on quarterly totals.
 
@@ -144,10 +121,13 @@ def net_with_group(purposes: DataFrame) -> Adjustment:
 
 
 def activity_rows(trips: DataFrame, activities: DataFrame) -> DataFrame:
-    """Trips x activities. The trip's weight counts once per activity; groups join the totals."""
+    """Trips x activities, mentions of one activity as one row. The trip's weight counts once per mention.
+
+    Groups join the totals; ``Raw_Count`` is the number of mentions.
+    """
     weights = clean.clean_trips(trips.select("TripIDNumber", *YEAR_COLUMNS, "SmoothedTripWeight"))
-    return joins.with_details(weights, clean.clean_activities(activities)).select(
-        *YEAR_COLUMNS, "Activities", F.col("SmoothedTripWeight").alias("Total_Activities")
+    return joins.with_details(weights, facts.activities_by_trip(activities)).select(
+        *YEAR_COLUMNS, "Activities", (F.col("SmoothedTripWeight") * F.col("n")).alias("Total_Activities"), F.col("n").alias(facts.ROWS)
     )
 
 
@@ -184,17 +164,46 @@ def _all_equal(members: Mapping[str, str | int]) -> Column:
 
 @dataclass(frozen=True)
 class Extract:
-    """A built extract. All tables are DataFrames; nothing is computed before it is written."""
+    """A built extract. Its quarterly totals and rolling years are staged; the rest is made when first asked for."""
 
     spec: ExtractSpec
     base: DataFrame
-    cube: DataFrame
-    lookups: dict[str, DataFrame]
-    data: DataFrame
     quarterly: DataFrame
-    losses: DataFrame
+    supplied: Mapping[str, DataFrame]
+    stage: Staging
+    follows: tuple[tuple[str, str], ...] = ()
+    key: str = ""
+    known: DataFrame | None = None
     trips_with_details: DataFrame | None = None
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        return cube.dimension_cube(self.base, self.spec.dims, self.spec.measure_codes, follows=self.follows)
+
+    @cached_property
+    def lookups(self) -> dict[str, DataFrame]:
+        return _lookups(self.spec, self.base, self.supplied, self.stage)
+
+    @cached_property
+    def data(self) -> DataFrame:
+        text = [measure_text(F.col(m.code), m.decimals).alias(m.code) for m in self.spec.measures]
+        return dimensions.encode_dimensions(self.cube.select(*self.spec.dims, *text), self.lookups, self.spec.on_unmatched)
+
+    @cached_property
+    def losses(self) -> DataFrame:
+        """Totals of values that found no group, and of members without a code."""
+        measures = self.spec.measure_codes
+        lost = [
+            joins.unmatched(self.base, self.supplied[d.code].withColumnRenamed("Description", d.code), d.code, measures)
+            for d in self.spec.dimensions
+            if d.lookup == "supplied"
+        ]
+        if self.known is not None:
+            lost.append(joins.unmatched(self.quarterly, self.known, self.key, measures))
+        if lost:
+            return reduce(DataFrame.unionByName, lost)
+        return self.base.select(F.lit("").alias("dimension"), F.lit("").alias("member"), *measures).limit(0)
+
     def tables(self) -> dict[str, DataFrame]:
         """All files of the bundle: data, lookups, hierarchies, then the three indexes."""
         spec = self.spec
@@ -251,66 +260,70 @@ class Extract:
 
 def build_extract(
     spec: ExtractSpec,
-    rows: DataFrame,
+    rows: DataFrame | None,
     stage: Staging,
     *,
+    quarterly: DataFrame | None = None,
     supplied: Mapping[str, DataFrame] | None = None,
     quarters: DataFrame | None = None,
     adjust: Adjustment | None = None,
     key: str = "",
     known: DataFrame | None = None,
 ) -> Extract:
-    """From fact rows to the star schema.
+    """From fact rows, or their quarterly totals, to the star schema.
 
     ``rows`` holds year, quarter, the dimensions and the measures. It is read once, into staged
     rolling-year totals; everything after grows with the number of dimension combinations, not with
-    the rows. ``adjust`` works on the quarterly totals of the rows and adds the dimensions that
+    the rows. ``quarterly`` stands for them where a pass over the facts has totalled them already. ``adjust`` works
+    on the quarterly totals of the rows and adds the dimensions that
     follow from others, which the rows then need not have. ``supplied`` are the lookups the specification
     expects from outside; ``quarters`` is the table whose quarters decide which years are complete, the rows
     themselves by default. ``key`` is the column ``adjust`` joins by and ``known`` the table of its known
     values. Totals of unknown values, and of members without a code, are the extract's ``losses``.
     """
     details, measures = spec.detail_dims, spec.measure_codes
-    found = [c for c in rows.columns if c in details or (key and c == key)]
     extra = [spec.row_count] if spec.row_count else []
-    quarterly = rolling.quarterly_totals(rows, found, measures, rows=spec.row_count or None, count_nulls=True)
-    if adjust is not None:
-        # everything that is joined to the totals, or counted as lost there, reads them from here
-        quarterly = stage(quarterly, f"quarters{spec.table_id}")
-        adjusted = adjust(quarterly)
-    else:
-        adjusted = quarterly
+    if quarterly is None:
+        found = [c for c in rows.columns if c in details or (key and c == key)]
+        # rows that stand for several say for how many
+        counted = [c for c in extra if c in rows.columns]
+        number = spec.row_count if extra and not counted else None
+        quarterly = rolling.quarterly_totals(rows, found, [*measures, *counted], rows=number, count_nulls=True)
+        quarterly = quarterly.drop(*[c + rolling.NULLS_SUFFIX for c in counted])
+        if adjust is not None:
+            # everything that is joined to the totals, or counted as lost there, reads them from here
+            quarterly = stage(quarterly, f"quarters{spec.table_id}")
+    adjusted = quarterly if adjust is None else adjust(quarterly)
     carried = [*measures, *extra, *(m + rolling.NULLS_SUFFIX for m in measures)]
     totals = rolling.rolling_year_totals(adjusted, details, carried, seen=SEEN)
     totals = stage(totals, f"totals{spec.table_id}")
     if quarters is None:
         complete = rolling.years_seen_whole(totals, SEEN)
     else:
-        complete = stage(rolling.complete_years(quarters), f"years{spec.table_id}")
+        complete = rolling.complete_years(quarters)
     base = totals.join(complete, rolling.YEAR_END, "left_semi")
     base = base.withColumnRenamed(rolling.YEAR_END, spec.year_dim)
     base = checks.refuse_missing(base, spec.dims, measures, extra)
+    follows = _judged(spec, totals, supplied or {})
+    return Extract(spec, base, quarterly, supplied or {}, stage, follows, key, known)
 
-    lookups = _lookups(spec, base, supplied or {}, stage)
-    # a member with two codes would repeat its rows, whether unknown members are dropped or refused
-    for dim in (d.code for d in spec.dimensions if d.lookup == "supplied"):
-        repeated = dimensions.repeated_members(lookups[dim])
-        checks.require(checks.no_rows(repeated, f"members of {dim} with several codes"))
-    lost = [
-        joins.unmatched(base, lookups[d.code].withColumnRenamed("Description", d.code), d.code, measures)
-        for d in spec.dimensions
-        if d.lookup == "supplied"
-    ]
-    if known is not None:
-        lost.append(joins.unmatched(quarterly, known, key, measures))
-    full = cube.dimension_cube(base, spec.dims, measures)
-    text = [measure_text(F.col(m.code), m.decimals).alias(m.code) for m in spec.measures]
-    data = dimensions.encode_dimensions(full.select(*spec.dims, *text), lookups, spec.on_unmatched)
-    if lost:
-        losses = reduce(DataFrame.unionByName, lost)
-    else:
-        losses = base.select(F.lit("").alias("dimension"), F.lit("").alias("member"), *measures).limit(0)
-    return Extract(spec, base, full, lookups, data, quarterly, losses)
+
+def _judged(spec: ExtractSpec, totals: DataFrame, supplied: Mapping[str, DataFrame]) -> tuple[tuple[str, str], ...]:
+    """The declared dependencies that hold; refuses supplied members with several codes. One job for both.
+
+    A member with two codes would repeat its rows, whether unknown members are dropped or refused. A member that
+    stands below two others is summed with its group like any other pair of dimensions.
+    """
+    coded = [d.code for d in spec.dimensions if d.lookup == "supplied"]
+    found = [supplied[c].select(F.lit(c).alias("dim"), dimensions.member_of(supplied[c]).alias("member"), F.lit(None).cast("string").alias("group")) for c in coded]
+    found += [totals.select(F.lit(f"{one} {group}").alias("dim"), F.col(one).alias("member"), F.col(group).alias("group")) for one, group in spec.follows]
+    if not found:
+        return ()
+    rows = reduce(DataFrame.unionByName, found).groupBy("dim", "member").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("group").alias("groups"))
+    several = F.when(F.col("dim").isin(coded), F.col("n") > 1).otherwise(F.col("groups") > 1)
+    counts = {r.dim: r.n for r in rows.where(several).groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    checks.require_rows([Row(control=f"members of {c} with several codes", actual=float(counts.get(c, 0)), expected=0.0, ok=c not in counts) for c in coded])
+    return tuple(pair for pair in spec.follows if " ".join(pair) not in counts)
 
 
 def _lookups(
@@ -331,32 +344,40 @@ def _lookups(
     return out
 
 
-def survey_extract(name: str, spec: ExtractSpec, tables: SurveyTables, stage: Staging) -> Extract:
-    """Build one of the extracts of :func:`extract_specs` from the survey tables."""
+def survey_extract(
+    name: str, spec: ExtractSpec, tables: SurveyTables, stage: Staging, shared: facts.Facts | None = None
+) -> Extract:
+    """Build one of the extracts of :func:`extract_specs` from the survey tables.
+
+    ``shared`` holds the totals of a pass over the facts that serves other extracts too; without it the extract makes
+    its own.
+    """
+    if name not in _SURVEY:
+        raise ValueError(f"unknown extract {name}")
+    if shared is None:
+        shared = facts.fact_pass(tables, [name], stage)
     supplied = {
         "Destination_RTO": tables.destinations,
         "LOS_Group": tables.lengths_of_stay,
         "Accommodation_Type": tables.accommodation_types,
     }
-    quarters = adjust = known = details = None
-    key = ""
+    options = {"quarterly": shared.quarterly[name], "supplied": {d: t for d, t in supplied.items() if d in spec.dims}}
+    details = None
     if name == "accommodation":
-        rows, details = accommodation_rows(tables.trips, tables.stays), tables.stays
         # years are judged by the overnight trips, with or without a recorded stay
-        quarters = clean.overnight_trips(tables.trips)
+        options |= {"quarters": shared.overnight_quarters}
+        details = tables.stays
     elif name == "trips":
-        rows, adjust = trip_rows(tables.trips), with_group(tables.purposes)
-        key, known = "POV", tables.purposes
+        options |= {"adjust": with_group(tables.purposes), "key": "POV", "known": tables.purposes}
     elif name == "spend":
-        rows, adjust = spend_rows(tables.trips, tables.spend), net_with_group(tables.purposes)
-        key, known, details = "POV", tables.purposes, tables.spend
-    elif name == "activity":
-        classes = stage(tables.classification, f"classes{spec.table_id}")
-        rows, adjust = activity_rows(tables.trips, tables.activities), with_activity_groups(classes)
-        key, known, details = "Activities", classes.withColumnRenamed("Activity", "Activities"), tables.activities
+        options |= {"adjust": net_with_group(tables.purposes), "key": "POV", "known": tables.purposes}
+        details = tables.spend
     else:
-        raise ValueError(f"unknown extract {name}")
-    built = build_extract(spec, rows, stage, supplied=supplied, quarters=quarters, adjust=adjust, key=key, known=known)
+        classes = stage(tables.classification, f"classes{spec.table_id}")
+        known = classes.withColumnRenamed("Activity", "Activities")
+        options |= {"adjust": with_activity_groups(classes), "key": "Activities", "known": known}
+        details = tables.activities
+    built = build_extract(spec, None, stage, **options)
     if details is None:
         return built
     return replace(built, trips_with_details=joins.trips_with(clean.clean_trips(tables.trips), details))

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from yearwheel.operators import checks
 from yearwheel.operators.staging import Staging
-from yearwheel.plans.extracts import Control, Extract, extract_specs, input_checks, purposes_unused, survey_extract
+from yearwheel.plans.extracts import Control, Extract, extract_specs, purposes_unused, survey_extract
+from yearwheel.plans.facts import fact_pass
 from yearwheel.sinks.bundle import write_bundle, write_table
 from yearwheel.sources.tables import SurveyTables
 
@@ -47,28 +48,30 @@ def run_all(
 ) -> dict[str, str]:
     """Build, check and publish the extracts one after the other; returns their folders by name.
 
-    ``controls`` are control figures per extract. ``strict`` checks the inputs, of which only spend is
-    read once more, and that all purposes occur and breakdowns agree, from the staged totals.
+    ``controls`` are control figures per extract. The fact tables are scanned once for all extracts. ``strict`` checks
+    the inputs in the same scan, and that all purposes occur and breakdowns agree, from the staged totals.
     ``refuse_losses`` also refuses purposes and activities without a group and members without a code, which
     are otherwise reported. A failed check stops the run before the extract is written.
     """
     run_id = run_id or new_run_id()
     specs = extract_specs(survey)
     folders = {}
-    for name in names or specs:
-        rules = input_checks(name, tables) if strict else None
-        if rules is not None:
-            checks.require(rules)
-        with Staging(spark) as stage:
-            extract = survey_extract(name, specs[name], tables, stage)
-            found = [extract.reconcile(controls[name])] if controls and controls.get(name) else []
-            if strict and name in ("trips", "spend"):
-                found.append(purposes_unused(tables, extract))
-            if strict and (agreed := extract.breakdown_checks()) is not None:
-                found.append(agreed)
-            if refuse_losses:
-                found.append(checks.no_rows(extract.losses, f"members of {name} without a group or code"))
-            if found:
-                checks.require(reduce(DataFrame.unionByName, found))
-            folders[name] = publish(extract, out, run_id, data_parts)
+    names = list(names or specs)
+    with Staging(spark) as shared:
+        facts = fact_pass(tables, names, shared, strict=strict)
+        if facts.spend_rules is not None:
+            checks.require(facts.spend_rules)
+        for name in names:
+            with Staging(spark) as stage:
+                extract = survey_extract(name, specs[name], tables, stage, facts)
+                found = [extract.reconcile(controls[name])] if controls and controls.get(name) else []
+                if strict and name in ("trips", "spend"):
+                    found.append(purposes_unused(tables, extract))
+                if strict and (agreed := extract.breakdown_checks()) is not None:
+                    found.append(agreed)
+                if refuse_losses:
+                    found.append(checks.no_rows(extract.losses, f"members of {name} without a group or code"))
+                if found:
+                    checks.require(reduce(DataFrame.unionByName, found))
+                folders[name] = publish(extract, out, run_id, data_parts)
     return folders

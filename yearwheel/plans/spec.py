@@ -37,6 +37,8 @@ class ExtractSpec:
     row_count: str = ""
     # pairs of dimensions whose breakdowns of the first measure have to agree
     breakdowns: tuple[tuple[str, str], ...] = ()
+    # pairs of dimensions of which the first determines the second; the cube then sums fewer combinations
+    follows: tuple[tuple[str, str], ...] = ()
 
     @property
     def dims(self) -> list[str]:
