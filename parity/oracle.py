@@ -427,3 +427,10 @@ STATEMENTS |= {f"cube_{n}": _cube_query(n) for n in q.SPECS}
 STATEMENTS |= {f"extract_{n}": _extract_query(n) for n in q.SPECS}
 
 ORACLE = {name: _with(sql) for name, sql in STATEMENTS.items()}
+
+# The same outcome on another way: one pass for all extracts, and totals kept and corrected by quarter.
+ORACLE |= {
+    "shared_cube_spend": ORACLE["cube_spend"],
+    "corrected_trips": ORACLE["rolling_year_base"],
+    "corrected_accommodation": ORACLE["cube_accommodation"],
+}

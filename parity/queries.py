@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from yearwheel.functions.recode import (
 )
 from yearwheel.operators import calendar, checks, clean, cube, dimensions, fill, joins, rolling, spend
 from yearwheel.operators.staging import Staging
-from yearwheel.plans import Control, extract_specs, survey_extract
+from yearwheel.plans import Control, TotalsStore, extract_specs, fact_pass, survey_extract
 from yearwheel.plans.extracts import (
     Extract,
     accommodation_rows,
@@ -64,7 +65,11 @@ def _doubles(df: DataFrame, *columns: str) -> DataFrame:
 
 def _extract(name: str, spark: SparkSession, d: str) -> Extract:
     """The production extract on the given tables."""
-    survey = SurveyTables(
+    return survey_extract(name, SPECS[name], _survey(spark, d), staging(spark))
+
+
+def _survey(spark: SparkSession, d: str) -> SurveyTables:
+    return SurveyTables(
         trips=t.trips(spark, d),
         stays=t.stays(spark, d),
         spend=t.spend_lines(spark, d),
@@ -75,7 +80,6 @@ def _extract(name: str, spark: SparkSession, d: str) -> Extract:
         lengths_of_stay=t.lookup(spark, t.BANDS),
         accommodation_types=t.lookup(spark, t.ACCOMMODATION_TYPES),
     )
-    return survey_extract(name, SPECS[name], survey, staging(spark))
 
 
 def _base(name: str, spark: SparkSession, d: str) -> DataFrame:
@@ -314,6 +318,41 @@ def grouping_count(spark, d):
     return counts.withColumn("level", F.col("level").cast("bigint"))
 
 
+# ------------------------------------------------------------------ totals of several extracts, and kept ones
+
+
+def shared_cube_spend(spark, d):
+    """The spend cube from a pass over the facts that serves all four extracts."""
+    stage, survey = staging(spark), _survey(spark, d)
+    shared = fact_pass(survey, SPECS, stage, strict=True)
+    built = survey_extract("spend", SPECS["spend"], survey, stage, shared)
+    return _doubles(built.cube, *SPECS["spend"].measure_codes)
+
+
+LATE, WRONG = (1998, 3), (1996, 2)
+
+
+def _corrected(name: str, spark: SparkSession, d: str) -> Extract:
+    """An extract from kept totals: one quarter came late, another was wrong at first."""
+    survey, stage = _survey(spark, d), staging(spark)
+    quarter = F.struct("TripYear", "TripQtr")
+    late, wrong = (F.struct(F.lit(y), F.lit(q)) for y, q in (LATE, WRONG))
+    weight = F.when(quarter == wrong, 3 * F.col("SmoothedTripWeight")).otherwise(F.col("SmoothedTripWeight"))
+    early = replace(survey, trips=survey.trips.where(quarter != late).withColumn("SmoothedTripWeight", weight.cast(t.MONEY)))
+    store = TotalsStore(spark, f"{stage.folder}/store", [name])
+    store.refresh(early)
+    store.refresh(survey, [LATE, WRONG])
+    return survey_extract(name, SPECS[name], survey, stage, store.facts())
+
+
+def corrected_trips(spark, d):
+    return _doubles(_corrected("trips", spark, d).base, "Total_Visitors", "Total_Trips")
+
+
+def corrected_accommodation(spark, d):
+    return _doubles(_corrected("accommodation", spark, d).cube, *SPECS["accommodation"].measure_codes)
+
+
 # ------------------------------------------------------------------ spend
 
 
@@ -519,6 +558,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lookup_publish, lookup_many, hierarchy_many, encode_dimensions, encode_loss,
         loss_accommodation, loss_purposes, loss_activities, format_measures, reconcile_totals,
         distinct_trip_total, null_audit, rule_zero_sum, quarter_end_date, lagged_month_end,
-        whole_years_lag, component_quarters,
+        whole_years_lag, component_quarters, shared_cube_spend, corrected_trips, corrected_accommodation,
     )
 } | {f"cube_{n}": _cube_query(n) for n in SPECS} | {f"extract_{n}": _extract_query(n) for n in SPECS}

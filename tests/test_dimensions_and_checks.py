@@ -94,3 +94,13 @@ def test_require_counts_what_it_does_not_name(table):
     failing = table("control string, actual double, expected double, ok boolean", [(f"c{i:02d}", 1.0, 2.0, False) for i in range(30)])
     with pytest.raises(checks.CheckFailed, match="30 failed: .* and 10 more"):
         checks.require(failing)
+
+
+def test_whole_years_of_repeated_rows_without_one_task(spark, rows, plan):
+    numbers = [(2000 + k // 4, k % 4 + 1) for k in (0, 1, 2, 3, 4, 6, 7, 8, 9, 10)] * 3
+    calendar = quarter_calendar(spark.createDataFrame(numbers, "TripYear int, TripQtr int"))
+    twice = calendar.unionByName(calendar)
+    years = whole_years(twice)
+    assert [(r[1], r[2]) for r in rows(years.select("whole_year", "TripYear", "TripQtr"))] == [(2000, 4), (2001, 1), (2002, 2), (2002, 3)]
+    assert years.where("lagged <> less9m").count() == 0
+    assert "SinglePartition" not in plan(years)

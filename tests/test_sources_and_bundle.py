@@ -1,12 +1,14 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from yearwheel.operators.staging import Staging
 from yearwheel.plans.run import new_run_id
 from yearwheel.session import shuffle_partitions
 from yearwheel.sinks import write_bundle, write_table
 from yearwheel.sources import column_mismatch, read_bundle, read_classification, read_lookup, read_purposes, read_table
+from yearwheel.sources.manifest import NotPublished, SharedFiles
 from yearwheel.sources.schemas import SPEND, TRIPS
 
 
@@ -102,6 +104,28 @@ def test_bundle_conformance_names_misplaced_columns(spark, table, tmp_path):
     assert bundle.measure_index.first().MeasureCode == "M"
 
 
+def test_a_broken_bundle_is_never_read_and_does_not_block(spark, table, tmp_path):
+    """A failure between tables leaves nothing under the bundle's name; the next run publishes it."""
+    good = table("a int", [(1,)])
+    bad = good.select(F.raise_error(F.lit("broken")).cast("int").alias("a"))
+    folder = str(tmp_path / "b")
+    with pytest.raises(Exception, match="broken"):
+        write_bundle({"Data1": good, "FileIndex": bad}, folder)
+    assert not Path(folder).exists()
+    with pytest.raises(NotPublished):
+        read_bundle(spark, folder)
+    # a crash between the renaming and the manifest
+    write_table(good, f"{folder}/Data1.csv")
+    with pytest.raises(NotPublished):
+        read_bundle(spark, folder)
+    write_bundle({"Data1": good, "FileIndex": good}, folder)
+    assert SharedFiles(spark, folder).tables() == ["Data1", "FileIndex"]
+    (kept,) = Path(tmp_path).glob("b.incomplete-*")
+    assert (kept / "Data1.csv").exists()
+    with pytest.raises(FileExistsError, match="already exists"):
+        write_bundle({"Data1": good}, folder)
+
+
 def test_shuffle_partitions_follow_the_facts():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(100 * 2**40) == 100 * 2**40 // (256 * 2**20)

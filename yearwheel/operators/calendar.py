@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearwheel.functions.periods import lagged_month_end, quarter_end_date
@@ -20,15 +20,21 @@ def quarter_calendar(df: DataFrame, year: str = "TripYear", quarter: str = "Trip
 
 
 def whole_years(calendar: DataFrame) -> DataFrame:
-    """Quarters whose third predecessor in the calendar lies exactly nine months back.
+    """Quarters that end a whole year: they and the three before them are in the calendar.
 
-    The window has no partition key: a calendar holds four rows per year of data.
+    Each quarter sets a bit in the four years it may belong to; a year with all four bits is whole. Repeated rows
+    of the calendar count once, and nothing meets in one task.
     """
-    third_last = F.lag(QUARTER_END, 3).over(Window.orderBy(QUARTER_END))
+    quarters = calendar.distinct()
+    run = F.year(QUARTER_END) * 4 + F.quarter(QUARTER_END)
+    years = F.inline(F.array(*[F.struct((run + k).alias("run"), F.lit(1 << k).alias("bit")) for k in range(4)]))
+    whole = quarters.select(years).groupBy("run").agg(F.bit_or("bit").alias("bits")).where(F.col("bits") == 0b1111)
+    start = lagged_month_end(F.col(QUARTER_END), 9)
     return (
-        calendar.withColumn("lagged", third_last)
-        .withColumn("less9m", lagged_month_end(F.col(QUARTER_END), 9))
-        .where(F.col("lagged") == F.col("less9m"))
+        quarters.withColumn("run", run)
+        .join(whole.select("run"), "run", "left_semi")
+        .drop("run")
+        .withColumns({"lagged": start, "less9m": start})
         .withColumnRenamed(QUARTER_END, "whole_year")
     )
 

@@ -264,6 +264,7 @@ def build_extract(
     stage: Staging,
     *,
     quarterly: DataFrame | None = None,
+    rolled: DataFrame | None = None,
     supplied: Mapping[str, DataFrame] | None = None,
     quarters: DataFrame | None = None,
     adjust: Adjustment | None = None,
@@ -274,7 +275,8 @@ def build_extract(
 
     ``rows`` holds year, quarter, the dimensions and the measures. It is read once, into staged
     rolling-year totals; everything after grows with the number of dimension combinations, not with
-    the rows. ``quarterly`` stands for them where a pass over the facts has totalled them already. ``adjust`` works
+    the rows. ``quarterly`` stands for them where a pass over the facts has totalled them already, and ``rolled`` for the
+    rolling years of these where a store keeps them. ``adjust`` works
     on the quarterly totals of the rows and adds the dimensions that
     follow from others, which the rows then need not have. ``supplied`` are the lookups the specification
     expects from outside; ``quarters`` is the table whose quarters decide which years are complete, the rows
@@ -293,9 +295,14 @@ def build_extract(
         if adjust is not None:
             # everything that is joined to the totals, or counted as lost there, reads them from here
             quarterly = stage(quarterly, f"quarters{spec.table_id}")
-    adjusted = quarterly if adjust is None else adjust(quarterly)
     carried = [*measures, *extra, *(m + rolling.NULLS_SUFFIX for m in measures)]
-    totals = rolling.rolling_year_totals(adjusted, details, carried, seen=SEEN)
+    if rolled is None:
+        adjusted = quarterly if adjust is None else adjust(quarterly)
+        totals = rolling.rolling_year_totals(adjusted, details, carried, seen=SEEN)
+    else:
+        # adjusting is linear and works by dimensions, so it may follow the sum over quarters
+        adjusted = rolled if adjust is None else adjust(rolled)
+        totals = adjusted.groupBy(rolling.YEAR_END, *details).agg(*[F.sum(c).alias(c) for c in carried], F.bit_or(SEEN).alias(SEEN))
     totals = stage(totals, f"totals{spec.table_id}")
     if quarters is None:
         complete = rolling.years_seen_whole(totals, SEEN)
@@ -362,6 +369,8 @@ def survey_extract(
         "Accommodation_Type": tables.accommodation_types,
     }
     options = {"quarterly": shared.quarterly[name], "supplied": {d: t for d, t in supplied.items() if d in spec.dims}}
+    if shared.rolled is not None:
+        options |= {"rolled": shared.rolled[name]}
     details = None
     if name == "accommodation":
         # years are judged by the overnight trips, with or without a recorded stay

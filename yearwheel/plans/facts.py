@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -196,7 +196,7 @@ def _stacked(trips: DataFrame, tags: list[str]) -> DataFrame:
     return trips.select(rolling.YEAR, rolling.QUARTER, F.inline(entries))
 
 
-def _columns(names: Iterable[str], strict: bool) -> list[str]:
+def _columns(names: Iterable[str]) -> list[str]:
     """Columns of the trips that the extracts read; others never reach a shuffle."""
     names = set(names)
     wanted = {joins.TRIP, rolling.YEAR, rolling.QUARTER}
@@ -220,25 +220,34 @@ class Facts:
     quarterly: Mapping[str, DataFrame]
     overnight_quarters: DataFrame | None
     spend_rules: DataFrame | None
+    # rolling years of the quarterly totals, where a store keeps them
+    rolled: Mapping[str, DataFrame] | None = None
 
 
-def fact_pass(tables: SurveyTables, names: Iterable[str], stage: Staging, strict: bool = False) -> Facts:
-    """Scan each fact table that the extracts need once and stage their quarterly totals.
-
-    ``strict`` also judges the rules on spend in the same scan: the checks of ``extracts.input_checks``.
-    """
+def wanted_tags(names: Iterable[str], strict: bool = False) -> list[str]:
+    """The extracts, each once, and what else the pass has to find for them."""
     names = list(dict.fromkeys(names))
-    unknown = set(names) - set(_ADDS)
+    unknown = set(names) - set(MEASURES)
     if unknown:
         raise ValueError(f"unknown extract {', '.join(sorted(unknown))}")
-    rules = strict and "spend" in names
-    tags = [*names, *([OVERNIGHT_QUARTERS] if "accommodation" in names else []), *([SPEND_RULES] if rules else [])]
+    return [*names, *([OVERNIGHT_QUARTERS] if "accommodation" in names else []), *([SPEND_RULES] if strict and "spend" in names else [])]
+
+
+def totalled(tables: SurveyTables, tags: list[str], quarters: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+    """Quarterly totals of all tags in one table: tag, quarter, dimensions and each tag's measures.
+
+    ``quarters`` restricts the trips to some (year, quarter); the condition reaches their scan.
+    """
+    names, rules = [t for t in tags if t in _DETAILS or t == "trips"], SPEND_RULES in tags
     trips = tables.trips
+    if quarters is not None:
+        within = [(F.col(rolling.YEAR) == y) & (F.col(rolling.QUARTER) == q) for y, q in quarters]
+        trips = trips.where(reduce(lambda a, b: a | b, within, F.lit(False)))
     if names == ["accommodation"]:
         trips = clean.overnight_trips(trips)
-    trips = clean.clean_trips(trips.select(_columns(names, rules)))
+    trips = clean.clean_trips(trips.select(_columns(names)))
     stacked = _stacked(with_entries(trips, tables, names, orphans=rules), tags)
-    dims = [d for d in dict.fromkeys(d for t in tags for d in DIMENSIONS[t])]
+    dims = list(dict.fromkeys(d for t in tags for d in DIMENSIONS[t]))
     totals = []
     for tag in tags:
         for m in MEASURES[tag]:
@@ -246,20 +255,34 @@ def fact_pass(tables: SurveyTables, names: Iterable[str], stage: Staging, strict
             totals.append(F.sum(column).alias(f"{tag}:{m}"))
             if tag in names and m != ROWS:
                 totals.append(F.count_if((F.col(TAG) == tag) & column.isNull()).alias(f"{tag}:{m}{rolling.NULLS_SUFFIX}"))
-    totalled = stacked.groupBy(TAG, rolling.YEAR, rolling.QUARTER, *dims).agg(*totals)
-    staged = stage(totalled, "quarters", by=[TAG])
+    return stacked.groupBy(TAG, rolling.YEAR, rolling.QUARTER, *dims).agg(*totals)
+
+
+def own_totals(totals: DataFrame, tag: str, keys: Iterable[str]) -> DataFrame:
+    """The rows of one tag, with ``keys``, its dimensions and its measures under their own names."""
+    own = [F.col(f"`{c}`").alias(c.split(":", 1)[1]) for c in totals.columns if c.startswith(f"{tag}:")]
+    return totals.where(F.col(TAG) == tag).select(*keys, *DIMENSIONS[tag], *own)
+
+
+def fact_pass(tables: SurveyTables, names: Iterable[str], stage: Staging, strict: bool = False) -> Facts:
+    """Scan each fact table that the extracts need once and stage their quarterly totals.
+
+    ``strict`` also judges the rules on spend in the same scan: the checks of ``extracts.input_checks``.
+    """
+    tags = wanted_tags(names, strict)
+    return read_facts(stage(totalled(tables, tags), "quarters", by=[TAG]), tags)
 
-    def of(tag: str) -> DataFrame:
-        measures = [c for c in staged.columns if c.startswith(f"{tag}:")]
-        own = [F.col(f"`{c}`").alias(c.split(":", 1)[1]) for c in measures]
-        return staged.where(F.col(TAG) == tag).select(rolling.YEAR, rolling.QUARTER, *DIMENSIONS[tag], *own)
 
-    overnight = of(OVERNIGHT_QUARTERS).select(rolling.YEAR, rolling.QUARTER) if OVERNIGHT_QUARTERS in tags else None
+def read_facts(staged: DataFrame, tags: list[str], rolled: Mapping[str, DataFrame] | None = None) -> Facts:
+    """Facts from a table as :func:`totalled` makes it."""
+    quarter = [rolling.YEAR, rolling.QUARTER]
+    overnight = own_totals(staged, OVERNIGHT_QUARTERS, quarter).select(*quarter) if OVERNIGHT_QUARTERS in tags else None
     found = None
-    if rules:
-        broken = of(SPEND_RULES)
+    if SPEND_RULES in tags:
+        broken = own_totals(staged, SPEND_RULES, quarter)
         day = broken.agg(F.coalesce(F.sum("day_accommodation"), F.lit(0)).alias("total"))
         uneven = broken.agg(F.coalesce(F.sum("uneven"), F.lit(0)).alias("total"))
         found = checks.zero_total(day, "accommodation spend of day trips")
         found = found.unionByName(checks.zero_total(uneven, "trips without exactly one row per food type"))
-    return Facts({n: of(n) for n in names}, overnight, found)
+    own = [t for t in tags if t not in (OVERNIGHT_QUARTERS, SPEND_RULES)]
+    return Facts({n: own_totals(staged, n, quarter) for n in own}, overnight, found, rolled)

@@ -13,6 +13,7 @@ from yearwheel.operators.staging import Staging
 from yearwheel.plans.extracts import Control, Extract, extract_specs, purposes_unused, survey_extract
 from yearwheel.plans.facts import fact_pass
 from yearwheel.sinks.bundle import write_bundle, write_table
+from yearwheel.sources.manifest import SharedFiles
 from yearwheel.sources.tables import SurveyTables
 
 
@@ -28,8 +29,10 @@ def publish(extract: Extract, out: str, run_id: str, data_parts: int | None = No
     ``data_parts`` limits the number of files of the data table; 1 gives a single file.
     """
     folder = f"{out}/{run_id}/Table_{extract.spec.table_id}"
+    SharedFiles(extract.base.sparkSession, folder).refuse_published()
+    # what a broken run left of the losses goes; they are final once the bundle is published
+    write_table(extract.losses, f"{out}/{run_id}/Losses_{extract.spec.table_id}.csv", parts=1, mode="overwrite")
     write_bundle(extract.tables(), folder, data_parts=data_parts)
-    write_table(extract.losses, f"{out}/{run_id}/Losses_{extract.spec.table_id}.csv", parts=1)
     return folder
 
 

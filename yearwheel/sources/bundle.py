@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yearwheel.sources.manifest import SharedFiles
 
 @dataclass(frozen=True)
 class Bundle:
@@ -24,7 +25,8 @@ class Bundle:
 
 
 def read_bundle(spark: SparkSession, path: str) -> Bundle:
-    """Read the tables named by the bundle's own indexes, below ``path``."""
+    """Read the tables named by the bundle's own indexes, below ``path``; only of a bundle that is published."""
+    SharedFiles(spark, path).tables()
 
     def table(name: str, quote: str = '"') -> DataFrame:
         return spark.read.option("header", True).option("quote", quote).csv(f"{path}/{name}.csv")
