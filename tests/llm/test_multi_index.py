@@ -64,3 +64,37 @@ def test_walk_visits_what_is_in_reach():
     rows, ones, flags = grid.visits(sample)
     got[rows, ones] = flags
     assert np.array_equal(got, want)
+
+
+def test_each_length_links(spark, stage):
+    long, short = [1.0, 2.0, 3.0, 4.0], [1.0, 2.0]
+    rows = [(1, long, 1, 0), (2, [1.001, 2.0, 3.0, 4.0], 1, 0), (3, [1.0, 2.001, 3.0, 4.0], 1, 0), (4, short, 1, 0), (5, [1.001, 2.0], 1, 0)]
+    rows += [(6, [3.0], 1, 0), (7, [0.5], 1, 0), (8, [-1.0], 1, 0), (9, [float("inf")], 1, 0), (10, [0.0], 1, 0), (11, [3.0], 2, 0)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multi_index.near_duplicates(spark.createDataFrame(rows, SCHEMA), stage).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9), 10: (0, 10), 11: (0, 11)}
+
+
+def test_both_ends_count_a_link(spark, stage):
+    """A fine grid, and neighbours at the threshold that differ in all components, in two or in one half."""
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(2400, 16))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    twins = []
+    for k, p in enumerate(points[:900]):
+        noise = rng.normal(size=16)
+        if k % 3 == 1:
+            noise[2:] = 0
+        elif k % 3 == 2:
+            noise[8:] = 0
+        noise -= (noise @ p) * p
+        twins.append(0.9815 * p + np.sqrt(1 - 0.9815**2) * noise / np.linalg.norm(noise))
+    rows = [(k, v, 1, 0) for k, v in enumerate(np.concatenate([points, twins]).astype(np.float32).tolist())]
+    want = brute(rows)
+    got = multi_index.near_duplicates(spark.createDataFrame(rows, SCHEMA), stage, cell_rows=4, block_stored=500, block_searching=700).collect()
+    found = {r.vec_id: r.n_links for r in got}
+    pairs = [(k, 2400 + k) for k in range(900)]
+    # of the planted pairs nearly all are found, and no end lacks what the other has
+    assert sum(found.values()) >= 0.99 * sum(n for n, _ in want.values())
+    alone = [(a, b) for a, b in pairs if want[a][0] == want[b][0] == 1 and found[a] != found[b]]
+    assert alone == []
+    assert all(found[k] <= want[k][0] for k in want)

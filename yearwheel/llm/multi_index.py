@@ -9,11 +9,15 @@ sample with neighbours in random directions. What is found is verified in double
 Cells are dealt out by label and first centroid. A key with many vectors or many searches is cut into
 blocks of both, so no task holds more than one block of each. Equal vectors count as one with its number
 of copies. A block reports the number of links of each vector and a spanning forest of its links, never
-the pairs.
+the pairs. A link that only one end finds is counted at both: the bound to the other's cell is not symmetric, so with
+each link found the block tells whether the stored vector's own search reaches the searcher's cell.
 
-Defined cases: vectors that are null, empty, zero, of another size than most of the sample or with null or
+Vectors of each length have a grid of their own; a length with few vectors has one cell, in which all are compared. Of
+vectors of length 1 only the sign matters, so they are equal to others of their sign.
+
+Defined cases: vectors that are null, empty, zero or with null or
 non-finite components, and rows without label or vec_id, link with nothing; a row without vec_id has no
-component; an empty table gives an empty result; rows with the same vec_id are one vertex.
+component; an empty table gives an empty result; rows with the same vec_id are one vertex; other columns are not read.
 """
 
 from __future__ import annotations
@@ -101,6 +105,29 @@ class Grid:
             flags.append(second[live] <= left[live][:, None])
         return np.concatenate(rows), np.concatenate(ones), np.concatenate(flags)
 
+    def reaches(self, vectors: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Whether the search of each vector visits the cell of the other beside it."""
+        first, second = self.bounds(vectors)
+        one, two = self.cells(others)
+        at = np.arange(len(vectors))
+        return second[at, two] <= self.reach - first[at, one]
+
+
+class OneCell:
+    """Grid of a length with few vectors: one cell, which every search visits."""
+
+    k = 1
+
+    def cells(self, vectors: np.ndarray) -> list[np.ndarray]:
+        return [np.zeros(len(vectors), np.int64)] * 2
+
+    def visits(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(vectors)
+        return np.arange(n), np.zeros(n, np.int64), np.ones((n, 1), bool)
+
+    def reaches(self, vectors: np.ndarray, others: np.ndarray) -> np.ndarray:
+        return np.ones(len(vectors), bool)
+
 
 def _matrix(column: pa.Array, size: int | None = None) -> np.ndarray:
     """Rows of lists of equal length."""
@@ -117,45 +144,44 @@ def usable(rows: DataFrame) -> DataFrame:
     # a float that is neither NaN nor infinite is within the range of finite floats; null is not
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= 3.4028234663852886e38))
     some = F.exists("embedding", lambda x: x != 0)
-    return rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND size(embedding) > 1").where(fine & some)
+    return rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND size(embedding) > 0").where(fine & some)
 
 
-def _place(batches, grid: Grid):
+def _place(batches, grids: dict[int, Grid | OneCell]):
     """Cell of each class, and its searches."""
     for batch in batches:
-        ids, labels, vectors = batch.columns[0], batch.columns[1], batch.columns[2]
-        fits = np.array([len(v) == grid.size for v in vectors])
-        if not fits.any():
-            continue
-        keep = pa.array(fits)
-        ids, labels, vectors, copies = ids.filter(keep), labels.filter(keep), vectors.filter(keep), batch.columns[3].filter(keep)
-        unit = _units(_matrix(vectors))
-        for begin in range(0, len(ids), 2048):
-            part = slice(begin, begin + 2048)
-            own = grid.cells(unit[part])
-            rows, ones, flags = grid.visits(unit[part])
-            take = pa.array(np.concatenate([np.arange(len(own[0])), rows]) + begin)
-            n = len(own[0])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.ones(n, bool), np.zeros(len(rows), bool)])),
-                    labels.take(take),
-                    pa.array(np.concatenate([own[0], ones]).astype(np.int32)),
-                    pa.array(np.concatenate([own[1], np.zeros(len(rows))]).astype(np.int32)),
-                    pa.array([None] * n + [np.packbits(f).tobytes() for f in flags], pa.binary()),
-                    ids.take(take),
-                    copies.take(take),
-                    vectors.take(take),
-                ],
-                names=_PLACED,
-            )
-
-
-_PLACED = ["stored", "label", "one", "two", "flags", "rep", "copies", "embedding"]
+        sizes = batch.column(2).value_lengths().to_numpy()
+        for size in np.unique(sizes).tolist():
+            rows_of = batch.filter(pa.array(sizes == size))
+            grid = grids.get(size) or OneCell()
+            unit = _units(_matrix(rows_of.column(2)))
+            for begin in range(0, rows_of.num_rows, 2048):
+                part = slice(begin, begin + 2048)
+                own = grid.cells(unit[part])
+                rows, ones, flags = grid.visits(unit[part])
+                n = len(own[0])
+                taken = rows_of.take(pa.array(np.concatenate([np.arange(n), rows]) + begin))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([np.ones(n, bool), np.zeros(len(rows), bool)])),
+                        taken.column(1),
+                        pa.array(np.full(taken.num_rows, size, np.int32)),
+                        pa.array(np.concatenate([own[0], ones]).astype(np.int32)),
+                        pa.array(np.concatenate([own[1], np.zeros(len(rows))]).astype(np.int32)),
+                        pa.array([None] * n + [np.packbits(f).tobytes() for f in flags], pa.binary()),
+                        taken.column(0),
+                        taken.column(3),
+                        taken.column(2),
+                    ],
+                    names=_PLACED,
+                )
+
+
+_PLACED = ["stored", "label", "size", "one", "two", "flags", "rep", "copies", "embedding"]
 _LINKS = "rep long, other long, n long"
 
 
-def _compare(stored: pa.Table, searching: pa.Table, k: int, threshold: float) -> pa.Table:
+def _compare(stored: pa.Table, searching: pa.Table, grids: dict[int, Grid | OneCell], threshold: float) -> pa.Table:
     """Links of one block of searches with one block of vectors: counts by vector, and a forest."""
     empty = pa.table({"rep": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
     if not stored.num_rows or not searching.num_rows:
@@ -165,7 +191,8 @@ def _compare(stored: pa.Table, searching: pa.Table, k: int, threshold: float) ->
     d_id, q_id = stored["rep"].to_numpy(), searching["rep"].to_numpy()
     copies, two = stored["copies"].to_numpy(), stored["two"].to_numpy()
     packed = np.frombuffer(b"".join(searching["flags"].to_pylist()), np.uint8).reshape(len(q_id), -1)
-    flags = np.unpackbits(packed, axis=1)[:, :k].astype(bool)
+    grid = grids.get(q_vec.shape[1]) or OneCell()
+    flags = np.unpackbits(packed, axis=1)[:, : grid.k].astype(bool)
     left, right = [], []
     for cell in np.unique(two):
         d, q = np.flatnonzero(two == cell), np.flatnonzero(flags[:, cell])
@@ -178,10 +205,16 @@ def _compare(stored: pa.Table, searching: pa.Table, k: int, threshold: float) ->
     q, d = q[other], d[other]
     if not len(q):
         return empty
-    n = np.bincount(q, weights=copies[d], minlength=len(q_id)).astype(np.int64)
     # smallest id of each component of this block
     names, place = np.unique(np.concatenate([q_id, d_id]), return_inverse=True)
     a, b = place[: len(q_id)][q], place[len(q_id) :][d]
+    n = np.bincount(a, weights=copies[d], minlength=len(names))
+    # links the other end does not find itself
+    for begin in range(0, len(q), 4096):
+        part = slice(begin, begin + 4096)
+        alone = ~grid.reaches(d_vec[d[part]] / d_len[d[part]][:, None], q_vec[q[part]] / q_len[q[part]][:, None])
+        n += np.bincount(b[part][alone], weights=searching["copies"].to_numpy()[q[part]][alone], minlength=len(names))
+    n = n.astype(np.int64)
     root = np.arange(len(names))
     while True:
         before = root.copy()
@@ -195,7 +228,7 @@ def _compare(stored: pa.Table, searching: pa.Table, k: int, threshold: float) ->
     seen = np.flatnonzero(n)
     return pa.table(
         {
-            "rep": pa.array(np.concatenate([q_id[seen], names[under]]), pa.int64()),
+            "rep": pa.array(np.concatenate([names[seen], names[under]]), pa.int64()),
             "other": pa.array(np.concatenate([np.zeros(len(seen), np.int64), names[root[under]]]), pa.int64(), mask=np.arange(len(seen) + len(under)) < len(seen)),
             "n": pa.array(np.concatenate([n[seen], np.zeros(len(under), np.int64)]), pa.int64()),
         }
@@ -213,7 +246,10 @@ def near_duplicates(
     block_searching: int = 4096,
 ) -> DataFrame:
     """vec_id, label, n_links, component_id and kept for each row of ``vectors`` (vec_id, embedding, label)."""
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>"), F.col("label").cast("string"))
+    vector = F.col("embedding").cast("array<float>")
+    # of one component only the sign matters
+    vector = F.when(F.size(vector) == 1, F.transform(vector, lambda x: F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.signum(x)).cast("float"))).otherwise(vector)
+    rows = vectors.select(F.col("vec_id").cast("long"), vector.alias("embedding"), F.col("label").cast("string"))
     classes = usable(rows).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = stage(classes.select("rep", "label", "embedding", "copies"), "classes")
     total = classes.count()
@@ -222,33 +258,37 @@ def near_duplicates(
     )
     if not total:
         return none
-    sizes = classes.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    sample = classes.where(F.size("embedding") == sizes["size"]).orderBy(F.xxhash64("rep"), "rep").select("embedding").limit(train_rows)
-    sample = np.array([r[0] for r in sample.collect()], np.float64)
-    cells = int(np.clip(np.sqrt(total / cell_rows), 1, max(1, len(sample) // 32)))
-    grid = Grid(_units(sample), cells, threshold, recall)
-    schema = "stored boolean, label string, one int, two int, flags binary, rep long, copies long, embedding array<float>"
-    placed = stage(classes.select("rep", "label", "embedding", "copies").mapInArrow(partial(_place, grid=grid), schema), "placed")
+    # lengths whose vectors fill more than one cell are trained on a share of the sample
+    sizes = classes.groupBy(F.size("embedding").alias("size")).count().where(F.col("count") >= 4 * cell_rows)
+    grids: dict[int, Grid | OneCell] = {}
+    for size, n in sizes.orderBy("size").collect():
+        share = max(64, train_rows * n // total)
+        sample = classes.where(F.size("embedding") == size).orderBy(F.xxhash64("rep"), "rep").select("embedding").limit(share)
+        sample = np.array([r[0] for r in sample.collect()], np.float64)
+        cells = int(np.clip(np.sqrt(n / cell_rows), 1, max(1, len(sample) // 32)))
+        grids[size] = Grid(_units(sample), cells, threshold, recall)
+    schema = "stored boolean, label string, size int, one int, two int, flags binary, rep long, copies long, embedding array<float>"
+    placed = stage(classes.select("rep", "label", "embedding", "copies").mapInArrow(partial(_place, grids=grids), schema), "placed")
     # blocks of each key
-    n = placed.groupBy("label", "one").agg(F.count_if("stored").alias("d"), F.count_if(~F.col("stored")).alias("q"))
+    n = placed.groupBy("label", "size", "one").agg(F.count_if("stored").alias("d"), F.count_if(~F.col("stored")).alias("q"))
     n = n.where("d > 0").select(
-        "label", "one", F.ceil(F.col("d") / block_stored).cast("int").alias("d_blocks"), F.ceil(F.col("q") / block_searching).cast("int").alias("q_blocks")
+        "label", "size", "one", F.ceil(F.col("d") / block_stored).cast("int").alias("d_blocks"), F.ceil(F.col("q") / block_searching).cast("int").alias("q_blocks")
     )
     blocks = stage(n, "blocks")
-    dealt = placed.join(blocks, ["label", "one"])
+    dealt = placed.join(blocks, ["label", "size", "one"])
     # each vector has one block of its own kind and meets all blocks of the other
     d_own, q_own = F.pmod(F.xxhash64("rep"), F.col("d_blocks")), F.pmod(F.xxhash64("rep"), F.col("q_blocks"))
     own = F.when(F.col("stored"), d_own).otherwise(q_own).cast("int")
     other = F.when(F.col("stored"), F.col("q_blocks")).otherwise(F.col("d_blocks"))
     dealt = dealt.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0), other - 1)))
     dealt = dealt.withColumns({"d": F.when(F.col("stored"), F.col("own")).otherwise(F.col("met")), "q": F.when(F.col("stored"), F.col("met")).otherwise(F.col("own"))})
-    keys = ["label", "one", "d", "q"]
+    keys = ["label", "size", "one", "d", "q"]
 
     def compare(stored: pa.Table, searching: pa.Table) -> pa.Table:
-        return _compare(stored, searching, grid.k, threshold)
+        return _compare(stored, searching, grids, threshold)
 
     left = dealt.where("stored").select(*keys, "rep", "copies", "two", "embedding")
-    right = dealt.where("NOT stored").select(*keys, "rep", "flags", "embedding")
+    right = dealt.where("NOT stored").select(*keys, "rep", "copies", "flags", "embedding")
     right = right.toDF(*right.columns)  # columns of its own: both sides come from one table
     found = stage(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, _LINKS), "found")
     roots = connected(found.where("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b")), stage, "forest")
