@@ -17,12 +17,17 @@ def gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 def slices(texts: list[str | None], most: int) -> Iterator[slice]:
     """Runs of rows with about ``most`` characters together; one longer text is a run of its own."""
-    begin = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most or k == len(texts) - 1:
+    return runs([len(t or "") for t in texts], most)
+
+
+def runs(sizes: list[int], most: int) -> Iterator[slice]:
+    """Runs of rows of about ``most`` together."""
+    begin = total = 0
+    for k, size in enumerate(sizes):
+        total += size
+        if total >= most or k == len(sizes) - 1:
             yield slice(begin, k + 1)
-            begin, size = k + 1, 0
+            begin, total = k + 1, 0
 
 
 class DistinctEncoder:

@@ -12,8 +12,10 @@ share one among their first n - ceil(n * percent / 100) + 1 shingles. Three orde
 
 Candidates have sizes that may be linked and share a shingle of the first rare-first prefix and one of the
 second; only those are verified, on whole texts. Documents with equal sets are one class. Inside a list of classes that share a shingle, all
-are first compared with the smallest only; then with others only where they are not yet in one component,
-which leaves the components as if all pairs had been compared.
+are first compared with the smallest only, then with the largest of another component. Documents of lists that still hold
+several components are open: all their shingles are counted again, among open documents only, and ordered rarest first, so
+that a passage which makes up most of many documents stands behind what is their own. The open documents that share a
+shingle of these prefixes, and are not yet in one component, are compared, which leaves the components as if all pairs had been.
 
 Defined cases: a null text or one without words has an empty set and links with nothing; a shorter text than
 the shingle is one shingle; a row without doc_id has no component; rows with the same doc_id are one vertex.
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearwheel.llm.components import connected
-from yearwheel.llm.distinct import slices
+from yearwheel.llm.distinct import runs, slices
 from yearwheel.llm.words import Words, mixed, prefix_sums, range_hashes
 from yearwheel.operators.staging import Staging
 
@@ -117,11 +119,32 @@ def _zone_rows(batches, shingle: int, percent: int, text_chars: int):
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc", "number", "token", "late"])
 
 
+def _all_tokens(batches, shingle: int, text_chars: int):
+    """All shingles of each document."""
+    for batch in batches:
+        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        for part in slices(texts, text_chars):
+            sets = shingle_sets(texts[part], shingle)
+            yield pa.RecordBatch.from_arrays([ids[part.start : part.stop], _lists([_signed(s) for s in sets])], names=["doc", "tokens"])
+
+
+def _rarest(tokens: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Shared shingles (doc, n, token) inside the prefix of the order by rarity among the documents of ``tokens``."""
+    rows = tokens.select("doc", F.explode("tokens").alias("token")).distinct()
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ranked = rows.join(counts, "token").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    known = ranked.join(sizes, "doc")
+    # shingles no other document holds fill the first places
+    places = F.expr(f"greatest(n - (n * {percent} + 99) div 100 + 1 - (n - size(ranked)), 0)").cast("int")
+    first = F.slice("ranked", F.lit(1), F.least(places, F.size("ranked")))
+    return known.select("doc", "n", F.explode(F.transform(first, lambda s: s["token"])).alias("token"))
+
+
 def _verify(batches, shingle: int, percent: int, text_chars: int):
     """Pairs whose sets are linked."""
     for batch in batches:
         a, b, left, right = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        for part in slices(right, text_chars):
+        for part in runs([len(x or "") + len(y or "") for x, y in zip(left, right, strict=True)], text_chars):
             # the smaller vertex is the same for runs of rows
             names = list(dict.fromkeys([*left[part], *right[part]]))
             sets = dict(zip(names, shingle_sets(names, shingle), strict=True))
@@ -207,9 +230,13 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
             pairs = members.join(heads.select("token", lead.alias("lead"), lead_n.alias("lead_n"), lead_root.alias("lead_root")), "token")
             pairs = pairs.where("root <> lead_root").where(_fits("n", "lead_n", percent)).select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b"))
         else:
+            still = stage(members.join(heads.select("token"), "token").groupBy("doc").agg(F.first("root").alias("root")), "still")
+            whole = texts.join(still.select("doc"), "doc", "left_semi").select("doc", "text")
+            whole = whole.mapInArrow(partial(_all_tokens, shingle=shingle, text_chars=text_chars), "doc long, tokens array<long>")
+            rare = _rarest(stage(whole, "tokens"), sizes, percent).join(still, "doc")
             # sizes that may be linked are in the same band or in neighbouring ones
             band = F.floor(F.log("n") / max(1.001 * log(100 / percent), 1e-3))
-            open_ = stage(members.join(heads.select("token"), "token").withColumn("band", band), "open")
+            open_ = stage(rare.withColumn("band", band), "open")
             x = open_.withColumn("near", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))).alias("x")
             y = open_.alias("y")
             same = (F.col("x.token") == F.col("y.token")) & (F.col("x.near") == F.col("y.band"))

@@ -218,23 +218,26 @@ def judge(texts: list[str | None], chain: Chain, least_share: float = 0.5) -> di
     return lines.counts | {"content_share": share, "base_failed": failed, "kept": ~failed & (share >= least_share)}
 
 
-def _apply(batches, chain: Chain, kept: list[str], least_share: float, text_chars: int):
+def _apply(batches, chain: Chain, kept: list[str], text_at: int, least_share: float, text_chars: int):
     kinds = [pa.int64()] * len(COUNTS) + [pa.float64(), pa.bool_(), pa.bool_()]
     names = [*COUNTS, "content_share", "base_failed", "kept"]
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
+        texts = batch.column(text_at).to_pylist()
         for part in slices(texts, text_chars):
             found = judge(texts[part], chain, least_share)
             rows = batch.slice(part.start, part.stop - part.start)
             added = [pa.array(found[n], t) for n, t in zip(names, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *added], names=[*kept, *names])
+            yield pa.RecordBatch.from_arrays([*rows.columns[: len(kept)], *added], names=[*kept, *names])
 
 
 def label_quality(docs: DataFrame, chain: Chain, columns: list[str], least_share: float = 0.5, text_chars: int = 2 << 20) -> DataFrame:
     """``columns`` of each row of ``docs`` with the outcome of :func:`judge` for its text."""
-    rows = docs.select(*columns, F.col("text").cast("string").alias("__text"))
+    # a text that is wanted anyway is not sent twice
+    sent = "text" in columns and dict(docs.dtypes)["text"] == "string"
+    rows = docs.select(*columns) if sent else docs.select(*columns, F.col("text").cast("string").alias("__text"))
     schema = rows.drop("__text").schema
+    text_at = columns.index("text") if sent else len(columns)
     for name in COUNTS:
         schema = schema.add(name, "long")
     schema = schema.add("content_share", "double").add("base_failed", "boolean").add("kept", "boolean")
-    return rows.mapInArrow(partial(_apply, chain=chain, kept=columns, least_share=least_share, text_chars=text_chars), schema)
+    return rows.mapInArrow(partial(_apply, chain=chain, kept=columns, text_at=text_at, least_share=least_share, text_chars=text_chars), schema)
