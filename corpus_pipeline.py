@@ -24,7 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counting rules and whose words mostly stand in content lines."""
     ship(spark)
     chain = line_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return line_crf.label_quality(_packed(docs, "text"), chain, ["__row"]).where("kept").select("__row.*")
+    # each text goes to Python once: beside it, the row holds the other columns only
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select("text", F.struct(*others).alias("__row"))
+    kept = line_crf.label_quality(packed, chain, ["text", "__row"]).where("kept")
+    return kept.select(*[F.col("text") if c == "text" else F.col("__row").getField(c).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
