@@ -18,7 +18,7 @@ given = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="given tables not p
 
 def test_registry():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in registry.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in registry.QUERIES
     assert set(registry.ORACLE) <= set(registry.QUERIES)
 
 
