@@ -2,8 +2,8 @@
 
 ``write_tokens`` encodes whole texts, appends an end id to each document and writes blocks of
 documents in ascending order of (doc_id, hash of the text). A block is compressed by Re-Pair in
-rounds: in each round the pairs that occur most often become nonterminals at once, overlaps going to
-the more frequent pair, until a round no longer pays. No pair takes in an end id, so a document
+rounds, at most eight: in each round the pairs that occur most often become nonterminals at once, overlaps
+going to the more frequent pair, until a round no longer pays. No pair takes in an end id, so a document
 begins with a symbol of its own. A block holds its rules, the number of ids each expands to, the
 symbols and the documents' ids and symbol counts; ``read_tokens`` decodes whole blocks and
 ``Block.ids_of`` one document alone.
@@ -18,15 +18,17 @@ import os
 import string
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearwheel.llm import files
-from yearwheel.llm.distinct import DistinctEncoder, gathered, slices
+from yearwheel.llm.distinct import gathered, runs
 
 MAGIC = b"RPAIR001"
 HEADER = struct.Struct("<8sIIIIQ")  # magic, first nonterminal, documents, rules, width, symbols
@@ -45,58 +47,97 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
 
 
-class WordEncoder(DistinctEncoder):
-    """Tokenizer ids of many texts, each distinct word encoded once.
+class WordEncoder:
+    """Tokenizer ids of many texts; Arrow numbers the distinct words of a batch, each of which is encoded once.
 
     Holds for tokenizers that drop white space, fold case and separate letters from signs, so that a
     word of letters with signs after it is the letters' ids and then the signs'. Latin letters go to the
     tokenizer's model directly, lower-cased and spelled in bytes as its normalizer would; that this gives
     the same ids is checked for every such letter at the start. All else takes the whole path.
+
+    Parts of words are remembered until there are ``most`` of them, and those used since then for as long
+    again. Their ids are kept as bytes, which Python's garbage collector need not visit.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.most = self.tokenizer.model, most
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.older = self.parts
         self.spelling = _byte_letters()
         letters = [c for c in map(chr, range(ord(_AFTER_LATIN))) if c.isalpha()]
         self.other = {c for c in letters if self._of_letters(f"x{c}y") != self._whole([f"x{c}y"])[0]}
-        super().__init__(lambda text: text.encode().split(), self._encode)
+        self.plain = not any(c.isascii() for c in self.other)
 
-    def _of_letters(self, core: str) -> list[int]:
-        core = core.lower()
+    def _of_letters(self, core: str) -> bytes:
         if not core.isascii():
-            core = core.encode().decode("latin-1").translate(self.spelling)
-        return [t.id for t in self.tokenizer.model.tokenize(core)]
+            core = core.lower().encode().decode("latin-1").translate(self.spelling)
+        else:
+            core = core.lower()
+        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
 
-    def _whole(self, words: list[str]) -> list[list[int]]:
+    def _whole(self, words: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         bounds = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(words) + 1)).tolist()
         ids = coded.ids
-        return [ids[begin:end] for begin, end in zip(bounds, bounds[1:], strict=False)]
+        return [array("I", ids[begin:end]).tobytes() for begin, end in zip(bounds, bounds[1:], strict=False)]
+
+    def _direct(self, core: str) -> bool:
+        return (self.plain and core.isascii()) or (max(core) < _AFTER_LATIN and self.other.isdisjoint(core))
 
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
+    def _ids(self, wanted: list[str]) -> list[bytes]:
+        """Ids of each part, letters or signs."""
         if len(self.parts) > self.most:
-            self.parts = {}
-        parts, split, whole = self.parts, [], {}
-        for word in map(bytes.decode, words):
-            core = word.rstrip(_SIGNS)
-            if not core.isalpha():
-                core, tail = word, ""
-            else:
-                tail = word[len(core) :]
-                if core not in parts and max(core) < _AFTER_LATIN and self.other.isdisjoint(core):
-                    parts[core] = self._of_letters(core)
-            split.append((core, tail))
-            for part in (core, tail):
-                if part not in parts:
-                    whole[part] = None
+            self.parts, self.older = {"": b""}, self.parts
+        parts, older, whole = self.parts, self.older, []
+        found = list(map(parts.get, wanted))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            part = wanted[k]
+            ids = older.get(part)
+            if ids is None:
+                if not (part.isalpha() and self._direct(part)):
+                    whole.append(k)
+                    continue
+                ids = self._of_letters(part)
+            parts[part] = found[k] = ids
         if whole:
-            parts.update(zip(whole, self._whole(list(whole)), strict=True))
-        return [parts[core] + parts[tail] if tail else parts[core] for core, tail in split]
+            for k, ids in zip(whole, self._whole([wanted[k] for k in whole]), strict=True):
+                parts[wanted[k]] = found[k] = ids
+        return found
+
+    def __call__(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and the number of ids of each text."""
+        split = pc.ascii_split_whitespace(pc.fill_null(pa.array(texts, pa.string()), ""))
+        coded = split.flatten().dictionary_encode()
+        # distinct words, then their distinct parts
+        words = coded.dictionary
+        cores = pc.utf8_rtrim(words, _SIGNS)
+        tailed = np.flatnonzero(pc.not_equal(pc.binary_length(cores), pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        tails = np.full(len(words), "", object)
+        alone = pc.ascii_is_alpha(cores).to_numpy(zero_copy_only=False)
+        for k, word, core in zip(tailed.tolist(), words.take(pa.array(tailed)).to_pylist(), cores.take(pa.array(tailed)).to_pylist(), strict=True):
+            if alone[k] or core.isalpha():
+                tails[k] = word[len(core) :]
+                alone[k] = True
+        cores = pc.if_else(pa.array(alone), cores, words)
+        cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores)
+        parts = pa.concat_arrays([cores, pa.array(tails, pa.string())]).dictionary_encode()
+        found = self._ids(parts.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        two = parts.indices.to_numpy().reshape(2, -1).T.ravel().astype(np.int64)
+        pool = gathered(np.frombuffer(b"".join(found), np.uint32), (np.cumsum(lengths) - lengths)[two], lengths[two])
+        lengths = lengths[two].reshape(-1, 2).sum(1)
+        # all words
+        codes = coded.indices.to_numpy()
+        of_word = lengths[codes]
+        ids = gathered(pool, (np.cumsum(lengths) - lengths)[codes], of_word)
+        bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])
+        ends = np.concatenate([[0], np.cumsum(of_word)])
+        return ids, np.diff(ends[bounds])
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -266,7 +307,7 @@ class Block:
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, block_ids: int = 1 << 20, text_chars: int = 4 << 20
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, block_ids: int = 1 << 20, text_chars: int = 8 << 20
 ) -> DataFrame:
     """Write ``docs`` (doc_id, text) below ``folder`` and return the index of blocks, kept in ``folder``/index."""
 
@@ -291,9 +332,10 @@ def write_tokens(
             )
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for rows in slices(texts, text_chars):
-                ids, n = encoder(texts[rows])
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            sizes_of = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+            for rows in runs(sizes_of, text_chars):
+                ids, n = encoder(texts.slice(rows.start, rows.stop - rows.start))
                 ends = np.cumsum(n)
                 parts.append(np.insert(ids, ends, end_id).astype(np.uint32))
                 sizes.append(n + 1)
