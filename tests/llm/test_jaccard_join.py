@@ -13,7 +13,7 @@ def sets(text):
 def brute(rows):
     """Component of each doc_id, all pairs compared."""
     known = [(i, sets(t)) for i, t in rows]
-    root = {i: i for i, _ in known}
+    root = {i: i for i, _ in known}  # rows of one doc_id are one document
 
     def find(x):
         while root[x] != x:
@@ -57,6 +57,33 @@ def test_components(spark, stage):
     assert got == want and len(set(want.values())) < len(rows) - 20
 
 
+def test_passages_and_own_words(spark, stage):
+    """Many texts that are alike, just under and just over the threshold, of one and of different lengths."""
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(160)]
+    rows = []
+    for doc in range(120):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            copy[rng.randrange(160)] = f"own{doc}x{rng.randrange(10**6)}"
+        rows.append((doc, " ".join(copy[: rng.choice([160, 160, 150, 138])])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert {r.doc_id: r.component_id for r in link_documents(docs, stage).collect()} == want
+    assert 5 < len(set(want.values())) < 115
+
+
+def test_several_texts_of_one_id(spark):
+    w, v, u, t = (" ".join(f"{c}{k}" for k in range(30)) for c in "wvut")
+    rows = [(5, w), (5, v), (1, w), (2, v), (8, u), (8, t), (8, t), (9, t), (3, u + " more"), (4, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = link_documents(docs, Staging(spark)).collect()
+    assert len(out) == len(rows)
+    got = {r.doc_id: {x.component_id for x in out if x.doc_id == r.doc_id} for r in out}
+    assert got == {1: {1}, 2: {1}, 5: {1}, 3: {3}, 8: {3}, 9: {3}, 4: {4}}
+    assert got == {i: {c} for i, c in brute(rows).items()}
+
+
 def test_cases(spark, docs, no_docs, stage):
     out = link_documents(docs, stage).collect()
     assert len(out) == docs.count()

@@ -15,10 +15,14 @@ second; only those are verified, on whole texts. Documents with equal sets are o
 are first compared with the smallest only, then with the largest of another component. Documents of lists that still hold
 several components are open: all their shingles are counted again, among open documents only, and ordered rarest first, so
 that a passage which makes up most of many documents stands behind what is their own. The open documents that share a
-shingle of these prefixes, and are not yet in one component, are compared, which leaves the components as if all pairs had been.
+shingle of these prefixes, and are not yet in one component, are compared, if what both hold from their first common
+shingle on is enough for a link: documents with many shingles of their own have too few left. The components are as if all
+pairs had been compared.
 
 Defined cases: a null text or one without words has an empty set and links with nothing; a shorter text than
-the shingle is one shingle; a row without doc_id has no component; rows with the same doc_id are one vertex.
+the shingle is one shingle; a row without doc_id has no component; rows with the same doc_id are one document, linked by any of its texts (a
+class of equal sets is a vertex, and the classes of one doc_id are linked). Very long texts are cut into words whole,
+other columns are not read, an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -87,13 +91,13 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 def _first_prefix(batches, shingle: int, percent: int, text_chars: int):
     """Set size, digest of the set and prefix in the order by hash."""
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        ids, texts, marks = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
         for part in slices(texts, text_chars):
             sets = shingle_sets(texts[part], shingle)
             prefixes = [_signed(np.sort(mixed(s ^ ORDERS[0]))[: longer_prefix(len(s), percent)]) if len(s) else s.astype(np.int64) for s in sets]
             keys = [md5(s.tobytes()).digest() if len(s) else None for s in sets]
-            columns = [ids[part.start : part.stop], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "prefix"])
+            columns = [c[part.start : part.stop] for c in (ids, marks)] + [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), _lists(prefixes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "n", "key", "prefix"])
 
 
 def _zone_rows(batches, shingle: int, percent: int, text_chars: int):
@@ -129,15 +133,16 @@ def _all_tokens(batches, shingle: int, text_chars: int):
 
 
 def _rarest(tokens: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Shared shingles (doc, n, token) inside the prefix of the order by rarity among the documents of ``tokens``."""
-    rows = tokens.select("doc", F.explode("tokens").alias("token")).distinct()
+    """Shared shingles (doc, n, token, place) inside the prefix of the order by rarity among the documents of ``tokens``."""
+    rows = tokens.select("doc", F.explode("tokens").alias("token"))
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = rows.join(counts, "token").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     known = ranked.join(sizes, "doc")
     # shingles no other document holds fill the first places
     places = F.expr(f"greatest(n - (n * {percent} + 99) div 100 + 1 - (n - size(ranked)), 0)").cast("int")
     first = F.slice("ranked", F.lit(1), F.least(places, F.size("ranked")))
-    return known.select("doc", "n", F.explode(F.transform(first, lambda s: s["token"])).alias("token"))
+    found = known.select("doc", "n", (F.col("n") - F.size("ranked")).alias("alone"), F.posexplode(first).alias("at", "s"))
+    return found.select("doc", "n", F.col("s.token").alias("token"), (F.col("alone") + F.col("at")).alias("place"))
 
 
 def _verify(batches, shingle: int, percent: int, text_chars: int):
@@ -175,6 +180,12 @@ def _fits(one: str, other: str, percent: int) -> Column:
     return 100 * F.least(one, other) >= percent * F.greatest(one, other)
 
 
+def _reach(x: str, y: str, percent: int) -> Column:
+    """Whether the shingles from this place on, the first that both share, are enough for a link."""
+    left = F.least(F.col(f"{x}.n") - F.col(f"{x}.place"), F.col(f"{y}.n") - F.col(f"{y}.place"))
+    return left * (100 + percent) >= percent * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
 def _candidates(pairs: DataFrame, seconds: DataFrame) -> DataFrame:
     """Pairs (a < b) that share a shingle of the second prefix as well."""
     of_b, of_a = (seconds.select(F.col("doc").alias(c), F.col("second").alias(f"second_{c}")) for c in "ba")
@@ -183,24 +194,34 @@ def _candidates(pairs: DataFrame, seconds: DataFrame) -> DataFrame:
 
 def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: int = 85, text_chars: int = 2 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text)."""
-    named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("mark", F.xxhash64("text"))
     settings = {"shingle": shingle, "percent": percent, "text_chars": text_chars}
-    sets = stage(named.mapInArrow(partial(_first_prefix, **settings), "doc_id long, n long, key binary, prefix array<long>"), "sets")
-    classes = stage(sets.where("doc_id IS NOT NULL AND n > 0").groupBy("key").agg(F.min("doc_id").alias("doc")), "classes")
-    # documents that share enough shingles of the prefix by hash with other classes
-    heads = sets.join(classes, "key").where("doc_id = doc").groupBy("key").agg(F.first("doc").alias("doc"), F.first("prefix").alias("prefix"), F.first("n").alias("n"))
+    sets = stage(named.mapInArrow(partial(_first_prefix, **settings), "doc_id long, mark long, n long, key binary, prefix array<long>"), "sets")
+    known = sets.where("doc_id IS NOT NULL AND n > 0")
+    classes = known.groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("low"), F.first("n").alias("n")).select("key", "low.*", "n")
+    # doc_ids with several sets; all sets of one belong together
+    several = stage(known.groupBy("doc_id").agg(F.min("key").alias("own"), F.max("key").alias("other")).where("own <> other"), "several")
+    repeated = several.count() > 0
+    if repeated:
+        own = classes.groupBy("doc_id").agg(F.min("key").alias("own"))
+        vertex = F.when(F.col("key") == F.col("own"), F.col("doc_id")).otherwise(F.xxhash64("key"))
+        classes = classes.join(own, "doc_id").select("key", "doc_id", "mark", "n", vertex.alias("doc"))
+    else:
+        classes = classes.withColumn("doc", F.col("doc_id"))
+    classes = stage(classes, "classes")
+    # classes that share enough shingles of the prefix by hash with others
+    heads = known.select("key", "doc_id", "prefix").join(classes, ["key", "doc_id"]).groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc", "prefix", "n")])
     length = f"(n - (n * {percent} + 99) div 100 + 1)"
     least = F.expr(f"least(n, {length} + {length} div 4) - {length} + 1").cast("int")
     tokens = heads.select("doc", least.alias("least"), F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
     met = tokens.join(shared, "token").groupBy("doc", "least").agg(F.count(F.lit(1)).alias("met"))
-    meeting = stage(met.where("met >= least").select("doc").distinct(), "meeting")
-    texts = stage(named.join(meeting, F.col("doc_id") == F.col("doc")).select("doc", "text"), "texts")
-    zone = texts.mapInArrow(partial(_zone_rows, **settings), "doc long, number int, token long, late boolean")
-    if texts.count() != meeting.count():  # several rows of one doc_id
-        zone = zone.distinct()
-    zone = stage(zone, "zone")
-    sizes = sets.where("doc_id IS NOT NULL").join(meeting, F.col("doc_id") == F.col("doc"), "left_semi").groupBy(F.col("doc_id").alias("doc")).agg(F.max("n").alias("n"))
+    meeting = stage(met.where("met >= least").select("doc").join(classes.select("doc", "doc_id", "mark", "n"), "doc"), "meeting")
+    texts = stage(named.join(meeting, ["doc_id", "mark"]).select("doc", "text"), "texts")
+    if texts.count() != meeting.count():  # rows repeated as a whole
+        texts = stage(texts.dropDuplicates(["doc"]), "texts-once")
+    zone = stage(texts.mapInArrow(partial(_zone_rows, **settings), "doc long, number int, token long, late boolean"), "zone")
+    sizes = meeting.select("doc", "n")
     first, second = (_prefixes(zone, sizes, k, percent) for k in (0, 1))
     lists = stage(first, "lists")
     in_lists = lists.select("doc").distinct()
@@ -215,6 +236,11 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
 
     # rounds in which a list's members are compared with one of them, then all that is still open
     found, roots = None, None
+    if repeated:
+        mine = known.join(several.select("doc_id", "own"), "doc_id").join(classes.select("key", "doc"), "key")
+        first_set = classes.select(F.col("key").alias("own"), F.col("doc").alias("b"))
+        found = stage(mine.join(first_set, "own").where("doc <> b").select(F.col("doc").alias("a"), "b").distinct(), "same-id")
+        roots = connected(found, stage, "round-ids")
     for turn in range(LEADER_ROUNDS + 1):
         members = lists.select("doc", "n", "token")
         if roots is not None:
@@ -240,12 +266,16 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
             x = open_.withColumn("near", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))).alias("x")
             y = open_.alias("y")
             same = (F.col("x.token") == F.col("y.token")) & (F.col("x.near") == F.col("y.band"))
-            pairs = x.join(y, same & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.root") != F.col("y.root")) & _fits("x.n", "y.n", percent))
+            other = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.root") != F.col("y.root"))
+            pairs = x.join(y, same & other & _fits("x.n", "y.n", percent) & _reach("x", "y", percent))
             pairs = pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
         more = verified(pairs.distinct(), f"links-{turn}")
         found = more if found is None else found.union(more)
         roots = connected(found, stage, f"round-{turn}")
-    out = sets.select("doc_id", "n", "key").join(classes, "key", "left")
-    out = out.join(roots.select(F.col("vertex").alias("doc"), "root"), "doc", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc", "doc_id"))
+    of_class = classes.join(roots.withColumnRenamed("vertex", "doc"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    if repeated:  # a root may be the hash of a set
+        smallest = of_class.groupBy("root").agg(F.min("doc_id").alias("smallest"))
+        of_class = of_class.join(smallest, "root").withColumn("root", F.col("smallest"))
+    out = sets.select("doc_id", "n", "key").join(of_class.select("key", "root"), "key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
