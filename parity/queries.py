@@ -390,11 +390,11 @@ def spend_long(spark, d):
 
 def year_end_lookup(spark, d):
     stacked = rolling.complete_years(t.trips(spark, d))
-    return dimensions.year_end_lookup(stacked, "YE")
+    return dimensions.year_end_lookup(stacked, "YE", staging(spark))
 
 
 def _pov_lookup(spark, d):
-    return dimensions.generated_lookup(clean.clean_trips(t.trips(spark, d).select("POV")), "POV")
+    return dimensions.generated_lookup(clean.clean_trips(t.trips(spark, d).select("POV")), "POV", staging(spark))
 
 
 def lookup_generated(spark, d):
@@ -411,7 +411,7 @@ def lookup_publish(spark, d):
 
 def lookup_many(spark, d):
     """Generated lookup of a column with many members."""
-    return dimensions.generated_lookup(_customers(spark, d), "member")
+    return dimensions.generated_lookup(_customers(spark, d), "member", staging(spark))
 
 
 def hierarchy_many(spark, d):

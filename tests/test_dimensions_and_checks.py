@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from yearwheel.operators import checks, dimensions
+from yearwheel.operators import checks, cube, dimensions
 from yearwheel.operators.calendar import component_quarters, quarter_calendar, whole_years
 
 
@@ -90,6 +90,54 @@ def test_numbering_holds_no_dimension_in_one_task(table, plan):
     assert "SinglePartition" not in plan(dimensions.generated_lookup(df, "k"))
 
 
+def test_numbering_splits_members_that_begin_alike(spark, stage):
+    alike = spark.range(20_000).select(F.lit("k").alias("key"), F.format_string("zzzzzzzzzzzz%08d", F.col("id") * 7919 % 20_000).alias("m"))
+    odd = spark.createDataFrame([("k", "a"), ("l", "zzzz"), ("l", "a"), ("l", None)], "key string, m string")
+    got = dimensions.numbered(alike.unionByName(odd), "key", F.lit(None), F.lower("m"), F.col("m"), "n", stage)
+    numbers = {(r.key, r.m): r.n for r in got.collect()}
+    want = ["a", *[f"zzzzzzzzzzzz{i:08d}" for i in range(20_000)]]
+    assert numbers == {("k", m): i for i, m in enumerate(want, 1)} | {("l", None): 1, ("l", "a"): 2, ("l", "zzzz"): 3}
+
+
+def test_numbering_gives_no_partition_more_than_its_share(spark, stage):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        alike = spark.range(20_000).select(F.lit("k").alias("key"), F.format_string("zzzzzzzzzzzz%08d", "id").alias("m"))
+        odd = spark.createDataFrame([("k", "a")], "key string, m string")
+        dimensions.numbered(alike.unionByName(odd), "key", F.lit(None), F.lower("m"), F.col("m"), "n", stage).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in spark.read.parquet(f"{stage.folder}/*").groupBy("_part").count().collect()]
+    assert sum(sizes) == 20_001 and max(sizes) < 2 * 20_001 / 4
+
+
+@pytest.mark.parametrize("follows", [(), (("a", "g"),)])
+def test_cube_of_codes_is_the_encoded_cube(table, rows, follows):
+    data = [(a, "g" + a[:1], c, float(i)) for i, (a, c) in enumerate([("x1", "p"), ("x2", "q"), ("y1", "p"), ("y2", "r"), ("x1", "r"), ("y2", "r")])]
+    base = table("a string, g string, c string, v double", data)
+    whole = {
+        "a": table("Code int, Description string", [(3, "x1"), (1, "y1"), (7, "y2"), (9, "x2"), (8, "All")]),
+        "g": table("Code int, Description string", [(2, "gx"), (1, "gy"), (3, "All")]),
+        "c": table("Code int, Description string", [(1, "p"), (2, "q"), (4, "r"), (5, "unused"), (3, "All")]),
+    }
+    fewer = whole | {"a": whole["a"].where("Description <> 'y2'"), "c": whole["c"].where("Description NOT IN ('q', 'r')")}
+    no_total = whole | {"c": whole["c"].where("Description <> 'All'")}
+    flat = cube.dimension_cube(base, ["a", "g", "c"], ["v"])
+    for lookups in (whole, fewer, no_total):
+        want = rows(dimensions.encode_dimensions(flat, lookups).select("a", "g", "c", "v"))
+        assert rows(dimensions.coded_cube(base, lookups, ["v"], follows=follows).select("a", "g", "c", "v")) == want
+    assert rows(dimensions.coded_cube(base, whole, ["v"], "fail", follows), "v") == rows(flat, "v")
+    for lookups, member in ((fewer, "(a y2|c q|c r)"), (no_total, "c All")):
+        with pytest.raises(Exception, match=f"no code for {member}"):
+            dimensions.coded_cube(base, lookups, ["v"], "fail", follows).collect()
+    assert dimensions.coded_cube(base.limit(0), whole, ["v"]).count() == 0
+
+
+def test_codes_of_several_members(table, rows):
+    lookup = table("Code int, Description string", [(1, "a"), (1, "b"), (2, "c")])
+    assert rows(dimensions.shared_codes(lookup)) == [(1, 2)]
+
+
 def test_require_counts_what_it_does_not_name(table):
     failing = table("control string, actual double, expected double, ok boolean", [(f"c{i:02d}", 1.0, 2.0, False) for i in range(30)])
     with pytest.raises(checks.CheckFailed, match="30 failed: .* and 10 more"):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL = "All"
@@ -17,13 +17,16 @@ def grouping_combinations(dims: Sequence[str]) -> list[tuple[str, ...]]:
     return [combo for size in range(1, len(dims)) for combo in combinations(dims, size)]
 
 
-def _named_totals(grouped: DataFrame, dims: Sequence[str], measures: Sequence[str], level: str | None) -> DataFrame:
+def _named_totals(
+    grouped: DataFrame, dims: Sequence[str], measures: Sequence[str], level: str | None, totals: Mapping[str, Column] | None = None
+) -> DataFrame:
     # The grouping id tells a total from a missing or literal value of the same text. Members are
     # text, as the total's name is; a number, date or flag is written as Spark casts it.
     n = len(dims)
+    total = totals or dict.fromkeys(dims, F.lit(ALL))
+    member = {d: F.col(d) if totals else F.col(d).cast("string") for d in dims}
     members = [
-        F.when(F.col(LEVEL).bitwiseAND(1 << (n - 1 - i)) != 0, ALL).otherwise(F.col(d).cast("string")).alias(d)
-        for i, d in enumerate(dims)
+        F.when(F.col(LEVEL).bitwiseAND(1 << (n - 1 - i)) != 0, total[d]).otherwise(member[d]).alias(d) for i, d in enumerate(dims)
     ]
     extra = [F.col(LEVEL).alias(level)] if level else []
     return grouped.select(*members, *measures, *extra)
@@ -36,6 +39,7 @@ def dimension_cube(
     level: str | None = None,
     step: int = 3,
     follows: Sequence[tuple[str, str]] = (),
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Sums for every subset of ``dims``; dimensions summed over read ``All``.
 
@@ -48,10 +52,13 @@ def dimension_cube(
     ``follows`` are pairs of dimensions of which the first determines the second. A subset with the first
     but not the second then has the rows of the subset with both, under another name: these are not summed again but
     copied at the end. Each dimension may be in one pair; the pair goes in one step.
+
+    ``totals`` gives the member that stands for the total of each dimension, where members are codes rather than
+    texts; these then keep their type.
     """
     dims = list(dims)
     bit = {d: len(dims) - 1 - i for i, d in enumerate(dims)}
-    totals = [F.sum(m).alias(m) for m in measures]
+    sums = [F.sum(m).alias(m) for m in measures]
     column = {c: F.col(c) for c in [*dims, LEVEL]}
     current = base.select(*dims, *measures, F.lit(0).cast("bigint").alias(LEVEL))
     for part in _parts(dims, step, follows):
@@ -59,7 +66,7 @@ def dimension_cube(
         subsets = [(), *grouping_combinations(part), tuple(part)]
         subsets = [s for s in subsets if not any(one in s and group not in s for one, group in follows)]
         sets = [[column[c] for c in (*fixed, *subset)] for subset in subsets]
-        grouped = current.groupingSets(sets, *fixed, *part).agg(*totals, F.grouping_id().alias("_step"))
+        grouped = current.groupingSets(sets, *fixed, *part).agg(*sums, F.grouping_id().alias("_step"))
         reached = column[LEVEL]
         for i, d in enumerate(part):
             reached = reached + F.shiftleft(F.shiftright("_step", len(part) - 1 - i).bitwiseAND(1), bit[d])
@@ -69,7 +76,7 @@ def dimension_cube(
         both = F.array(column[LEVEL], column[LEVEL] + (1 << bit[group]))
         named = F.when(column[LEVEL].bitwiseAND(own) == 0, both).otherwise(F.array(column[LEVEL]))
         current = current.select(*dims, *measures, F.explode(named).alias(LEVEL))
-    return _named_totals(current, dims, measures, level)
+    return _named_totals(current, dims, measures, level, totals)
 
 
 def _parts(dims: list[str], step: int, follows: Sequence[tuple[str, str]]) -> list[list[str]]:

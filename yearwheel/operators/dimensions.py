@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearwheel.functions.periods import year_end_description, year_end_quarter, year_end_year
 from yearwheel.functions.text import quoted
-from yearwheel.operators.cube import ALL
+from yearwheel.operators.cube import ALL, dimension_cube
+from yearwheel.operators.staging import Staging
 
 DIMENSION = "Dimension"
 MEMBER = "Member"
 LOOKUP_COLUMNS = ["Code", "Description", "SortOrder"]
 
 
-def dimension_members(base: DataFrame, dims: Sequence[str], year_end: str | None = None) -> DataFrame:
+def dimension_members(
+    base: DataFrame, dims: Sequence[str], year_end: str | None = None, stage: Staging | None = None
+) -> DataFrame:
     """Coded members of several dimensions: Dimension, Member, Code, Description, SortOrder.
 
     One pass over ``base`` and one shuffle of distinct members serve all dimensions. Codes number
@@ -31,8 +35,8 @@ def dimension_members(base: DataFrame, dims: Sequence[str], year_end: str | None
     )
     is_period = F.col(DIMENSION) == F.lit(year_end)
     period = F.when(is_period, year_end_year(F.col(MEMBER)) * 4 + year_end_quarter(F.col(MEMBER)))
-    coded = numbered(members, DIMENSION, period, F.lower(MEMBER), F.col(MEMBER), "Code")
-    total = members.groupBy(DIMENSION).agg((F.count(F.lit(1)) + 1).cast("int").alias("Code"))
+    coded = numbered(members, DIMENSION, period, F.lower(MEMBER), F.col(MEMBER), "Code", stage)
+    total = coded.groupBy(DIMENSION).agg((F.count(F.lit(1)) + 1).cast("int").alias("Code"))
     description = F.when(is_period, year_end_description(F.col(MEMBER))).otherwise(F.col(MEMBER))
     return (
         coded.withColumn("Description", description)
@@ -41,43 +45,41 @@ def dimension_members(base: DataFrame, dims: Sequence[str], year_end: str | None
     )
 
 
-def numbered(members: DataFrame, key: str, lead: Column, text: Column, last: Column, name: str) -> DataFrame:
+def numbered(
+    members: DataFrame, key: str, lead: Column, text: Column, last: Column, name: str, stage: Staging | None = None
+) -> DataFrame:
     """Row numbers from 1 within each ``key``, in order of ``lead``, ``text`` and ``last``.
 
-    Members of a key are cut into buckets that begin alike: ``text`` up to three characters beyond what
-    all members of the key share. Rows are numbered within their bucket and shifted by the sizes of the
-    buckets before; only those sizes, whose number is bounded by the alphabet, meet in one window.
+    All rows are range-partitioned by a sample, so tasks are even however alike the members of a key begin, and written
+    in order with their partition and their place in it. A row's number is its place, less the key's first place in that
+    partition, plus the key's rows in partitions before. Those counts, one row for each key and partition, are all that
+    meets in a window. The rows are written because the sample decides the cuts: rows and counts must see the same ones.
     """
+    stage = stage or Staging(members.sparkSession)
+    order = [F.col(key), F.col("_lead"), F.col("_text"), F.col("_last")]
     rows = members.withColumns({"_lead": lead, "_text": text, "_last": last})
-    ends = rows.groupBy(key).agg(F.min("_text").alias("_low"), F.max("_text").alias("_high"))
-    alike = F.filter(
-        F.sequence(F.lit(1), F.length("_low") + 1),
-        lambda n: (n <= F.length("_low")) & (F.substring("_low", F.lit(1), n) == F.substring("_high", F.lit(1), n)),
+    # the lower bits of the id count the rows of a partition
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    parted = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(parted.select(*members.columns, F.spark_partition_id().alias("_part"), place.alias("_place")), f"places_{uuid4().hex}")
+    counts = placed.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_of")).agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    ends = ends.select(key, (F.size(alike) + 3).alias("_chars"))
-    cut = rows.join(ends, key).withColumn("_bucket", F.substring("_text", F.lit(1), F.col("_chars")))
-    same = [key, "_lead", "_bucket"]
-    sizes = cut.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_lead", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(key).alias("_key"), F.col("_lead").alias("_of_lead"), F.col("_bucket").alias("_of"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-    )
-    row = F.row_number().over(Window.partitionBy(*same).orderBy("_text", "_last"))
-    met = (F.col(key) == F.col("_key")) & F.col("_lead").eqNullSafe(F.col("_of_lead")) & (F.col("_bucket") == F.col("_of"))
-    out = cut.withColumn("_row", row).join(starts, met)
-    return out.withColumn(name, (F.col("_row") + F.col("_start")).cast("int")).select(*members.columns, name)
+    before = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("_key", "_of", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    met = (F.col("_part") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key"))
+    return placed.join(shifts, met).withColumn(name, (F.col("_place") + F.col("_shift")).cast("int")).select(*members.columns, name)
 
 
-def year_end_lookup(df: DataFrame, column: str) -> DataFrame:
+def year_end_lookup(df: DataFrame, column: str, stage: Staging | None = None) -> DataFrame:
     """Code, Description, SortOrder and YE (the label in the data) of a year-end dimension."""
-    members = dimension_members(df.where(F.length(column) == 9), [column], year_end=column)
+    members = dimension_members(df.where(F.length(column) == 9), [column], column, stage)
     return members.select(*LOOKUP_COLUMNS, F.col(MEMBER).alias("YE"))
 
 
-def generated_lookup(df: DataFrame, column: str) -> DataFrame:
+def generated_lookup(df: DataFrame, column: str, stage: Staging | None = None) -> DataFrame:
     """Code, Description and SortOrder of any other dimension."""
-    return dimension_members(df, [column]).select(*LOOKUP_COLUMNS)
+    return dimension_members(df, [column], stage=stage).select(*LOOKUP_COLUMNS)
 
 
 def hierarchy(lookup: DataFrame) -> DataFrame:
@@ -117,6 +119,40 @@ def encode_dimensions(
     return facts.select(*columns)
 
 
+def coded_cube(
+    base: DataFrame,
+    lookups: Mapping[str, DataFrame],
+    measures: Sequence[str],
+    on_unmatched: str = "drop",
+    follows: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """The cube of ``base`` with members replaced by codes, equal to :func:`encode_dimensions` of its cube.
+
+    Members are encoded before they are combined: lookups are joined to the base, the cube adds up rows of integers, and
+    no text passes its shuffles. Members without a code still count in the totals over their dimension, where they
+    have the same value as in a cube of texts; their own rows go, or raise an error. A code may belong to one member
+    only: see :func:`shared_codes`. ``lookups`` are keyed as for :func:`encode_dimensions`.
+    """
+    dims = list(lookups)
+    coded, totals = base, {}
+    for dim, lookup in lookups.items():
+        code = F.col(f"{dim}_code")
+        if on_unmatched == "fail":
+            code = F.coalesce(code, F.raise_error(F.concat(F.lit(f"no code for {dim} "), F.col(dim))).cast("int"))
+        coded = coded.join(_codes(lookup, dim), dim, "left").withColumn(dim, code).drop(f"{dim}_code")
+        total = lookup.agg(F.max(F.when(F.col(_key(lookup)) == ALL, F.col("Code")))).scalar()
+        if on_unmatched == "fail":
+            total = F.coalesce(total, F.raise_error(F.lit(f"no code for {dim} {ALL}")).cast("int"))
+        totals[dim] = total
+    out = dimension_cube(coded, dims, measures, follows=follows, totals=totals)
+    return out.dropna(subset=dims) if on_unmatched != "fail" else out
+
+
+def shared_codes(lookup: DataFrame) -> DataFrame:
+    """Codes that stand for more than one member; their rows would be added up if encoded before the cube."""
+    return lookup.groupBy("Code").agg(F.count_distinct(_key(lookup)).alias("n")).where(F.col("n") > 1)
+
+
 def encoding_loss(facts: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
     """Rows before and after encoding and the rows each dimension alone would lose, in one pass."""
     missing = {}

@@ -175,6 +175,7 @@ class Extract:
     key: str = ""
     known: DataFrame | None = None
     trips_with_details: DataFrame | None = None
+    shared_codes: bool = False
 
     @cached_property
     def cube(self) -> DataFrame:
@@ -187,7 +188,12 @@ class Extract:
     @cached_property
     def data(self) -> DataFrame:
         text = [measure_text(F.col(m.code), m.decimals).alias(m.code) for m in self.spec.measures]
-        return dimensions.encode_dimensions(self.cube.select(*self.spec.dims, *text), self.lookups, self.spec.on_unmatched)
+        spec = self.spec
+        lookups = {d: self.lookups[d] for d in spec.dims}
+        if self.shared_codes:
+            return dimensions.encode_dimensions(self.cube.select(*spec.dims, *text), lookups, spec.on_unmatched)
+        coded = dimensions.coded_cube(self.base, lookups, spec.measure_codes, spec.on_unmatched, self.follows)
+        return coded.select(*spec.dims, *text)
 
     @cached_property
     def losses(self) -> DataFrame:
@@ -311,12 +317,16 @@ def build_extract(
     base = totals.join(complete, rolling.YEAR_END, "left_semi")
     base = base.withColumnRenamed(rolling.YEAR_END, spec.year_dim)
     base = checks.refuse_missing(base, spec.dims, measures, extra)
-    follows = _judged(spec, totals, supplied or {})
-    return Extract(spec, base, quarterly, supplied or {}, stage, follows, key, known)
+    follows, shared = _judged(spec, totals, supplied or {})
+    return Extract(spec, base, quarterly, supplied or {}, stage, follows, key, known, shared_codes=shared)
+
 
+def _judged(
+    spec: ExtractSpec, totals: DataFrame, supplied: Mapping[str, DataFrame]
+) -> tuple[tuple[tuple[str, str], ...], bool]:
+    """The declared dependencies that hold, and whether a code of a supplied lookup stands for several members.
 
-def _judged(spec: ExtractSpec, totals: DataFrame, supplied: Mapping[str, DataFrame]) -> tuple[tuple[str, str], ...]:
-    """The declared dependencies that hold; refuses supplied members with several codes. One job for both.
+    Refuses supplied members with several codes. One job for all.
 
     A member with two codes would repeat its rows, whether unknown members are dropped or refused. A member that
     stands below two others is summed with its group like any other pair of dimensions.
@@ -325,19 +335,22 @@ def _judged(spec: ExtractSpec, totals: DataFrame, supplied: Mapping[str, DataFra
     found = [supplied[c].select(F.lit(c).alias("dim"), dimensions.member_of(supplied[c]).alias("member"), F.lit(None).cast("string").alias("group")) for c in coded]
     found += [totals.select(F.lit(f"{one} {group}").alias("dim"), F.col(one).alias("member"), F.col(group).alias("group")) for one, group in spec.follows]
     if not found:
-        return ()
+        return (), False
+    # codes are looked at like members of a dimension whose group is the member
+    found += [supplied[c].select(F.lit(f"{c} Code").alias("dim"), F.col("Code").cast("string").alias("member"), dimensions.member_of(supplied[c]).alias("group")) for c in coded]
     rows = reduce(DataFrame.unionByName, found).groupBy("dim", "member").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("group").alias("groups"))
     several = F.when(F.col("dim").isin(coded), F.col("n") > 1).otherwise(F.col("groups") > 1)
     counts = {r.dim: r.n for r in rows.where(several).groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     checks.require_rows([Row(control=f"members of {c} with several codes", actual=float(counts.get(c, 0)), expected=0.0, ok=c not in counts) for c in coded])
-    return tuple(pair for pair in spec.follows if " ".join(pair) not in counts)
+    follows = tuple(pair for pair in spec.follows if " ".join(pair) not in counts)
+    return follows, any(f"{c} Code" in counts for c in coded)
 
 
 def _lookups(
     spec: ExtractSpec, base: DataFrame, supplied: Mapping[str, DataFrame], stage: Staging
 ) -> dict[str, DataFrame]:
     coded = [d.code for d in spec.dimensions if d.lookup != "supplied"]
-    members = dimensions.dimension_members(base, coded, year_end=spec.year_dim)
+    members = dimensions.dimension_members(base, coded, spec.year_dim, stage)
     members = stage(members, f"members{spec.table_id}")
     out = {}
     for dim in spec.dimensions:
