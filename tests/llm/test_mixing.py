@@ -39,10 +39,26 @@ def test_copies(docs, no_docs, stage, spark):
     assert mixing.mix(no_docs, Staging(spark)).count() == 0
 
 
-def test_large_and_no_rates(spark):
-    cdf = spark.createDataFrame([(0.0,), (1e-3,), (2000.0,)], "r double").select("r", mixing.poisson_cdf(F.col("r")).alias("c")).collect()
-    assert cdf[0].c == [1.0] and abs(cdf[1].c[0] - math.exp(-1e-3)) < 1e-12
-    assert abs(cdf[2].c[-1] - 1) < 1e-9 and abs(cdf[2].c[2000] - 0.506) < 0.001
+def test_steps_of_small_large_and_no_rates(spark):
+    rates = spark.createDataFrame([(0.0,), (1e-3,), (1e-3,), (2000.0,), (60_000.0,)], "rate double")
+    steps = {}
+    for r in mixing.poisson_steps(rates).orderBy("rate", "k").collect():
+        steps.setdefault(r.rate, []).append(r)
+    assert [(r.k, r.low, r.high) for r in steps[0.0]] == [(0, -1.0, 2.0)]
+    assert abs(steps[1e-3][0].high - math.exp(-1e-3)) < 1e-12
+    high = {r.k: r.high for r in steps[2000.0]}
+    assert abs(high[2000] - 0.506) < 0.001
+    for rows in steps.values():
+        assert rows[0].low == -1.0 and rows[-1].high == 2.0
+        assert all(a.high == b.low for a, b in zip(rows, rows[1:], strict=False))
+    assert abs([r.k for r in steps[60_000.0] if r.low < 0.5 <= r.high][0] - 60_000) <= 1
+
+
+def test_columns_named_like_the_steps(spark, stage):
+    docs = spark.createDataFrame([(i, "x", "a", -1, "l", 9.0, 0.5) for i in range(50)], "doc_id long, text string, source string, k int, low string, high double, rate double")
+    mixed = mixing.mix(docs, stage)
+    assert set(docs.columns) <= set(mixed.columns) and mixed.columns.count("rate") == 1
+    assert {(r.k, r.low, r.high, r.rate) for r in mixed.collect()} == {(-1, "l", 9.0, 1.0)}
 
 
 def test_a_hot_source_reaches_its_target(spark, stage):

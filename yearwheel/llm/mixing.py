@@ -7,16 +7,18 @@ exploded and dealt out by a hash of their own, which shuffles all sources global
 
 Defined cases: a null source is a source; a null doc_id draws by its text; rows with the same doc_id
 draw the same number of copies; columns of the input named like those added are replaced; a source without any characters counts as one character; an empty
-table stays empty.
+table stays empty. Copies of one document, however long it is, come from one task, row by row; the shuffle spreads them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearwheel.operators.staging import Staging
 
+SLOTS = 256
+
 
 def source_sizes(docs: DataFrame) -> DataFrame:
     """Characters of each source."""
@@ -39,16 +41,29 @@ def repetition_rates(weighted: DataFrame, scale: float = 1.0) -> DataFrame:
     return weighted.withColumn("rate", rate)
 
 
-def poisson_cdf(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, 2, ... copies, as far as a double can tell them from 1."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    start = F.struct(F.array(F.exp(-rate)).alias("cdf"), (-rate).alias("log_p"))
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """One row for each rate and number of copies k that a document can draw: ``rate``, ``k``, ``low``, ``high``.
+
+    A uniform number in (low, high] draws k. Rows reach as far as a double can tell the distribution from 1. Their
+    probabilities come from one running sum of logarithms and one of themselves, each linear in the rate.
+    """
+    last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
+    counts = F.when(F.col("rate") > 0, F.sequence(F.lit(0), last)).otherwise(F.array(F.lit(0)))
+    steps = rates.select("rate").distinct().withColumn("k", F.explode(counts))
+    so_far = Window.partitionBy("rate").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    log_p = F.sum(F.when(F.col("k") == 0, -F.col("rate")).otherwise(F.log(F.col("rate") / F.col("k")))).over(so_far)
+    top = F.sum(F.exp("log_p")).over(so_far)
+    high = steps.withColumn("log_p", log_p).withColumn("high", F.when(F.col("rate") > 0, top).otherwise(1.0))
+    by_k = Window.partitionBy("rate").orderBy("k")
+    # the ends lie outside [0, 1), so that every number meets one row
+    low = F.lag("high").over(by_k)
+    end = F.when(F.lead("k").over(by_k).isNull(), 2.0).otherwise(F.col("high"))
+    return high.select("rate", "k", F.coalesce(low, F.lit(-1.0)).alias("low"), end.alias("high")).where("high > low")
 
-    def step(acc: Column, k: Column) -> Column:
-        log_p = acc["log_p"] + F.log(rate / k)
-        return F.struct(F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + F.exp(log_p))).alias("cdf"), log_p.alias("log_p"))
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last), start, step)["cdf"]).otherwise(F.array(F.lit(1.0)))
+def _slot(u: Column) -> Column:
+    """Which of SLOTS equal parts of [0, 1) a number is in."""
+    return F.least(F.greatest(F.floor(u * SLOTS), F.lit(0)), F.lit(SLOTS - 1)).cast("int")
 
 
 def uniform(seed: str) -> Column:
@@ -59,12 +74,19 @@ def uniform(seed: str) -> Column:
 
 
 def replicate(docs: DataFrame, rates: DataFrame, stage: Staging, seed: str = "mix") -> DataFrame:
-    """Documents times their copies: all columns, with rate, n_copies, copy and shuffle_key."""
-    # a table of its own, so that Spark knows how large the list of sources is when it plans the join
-    tables = stage(rates.select(F.col("source").alias("__source"), "rate", poisson_cdf(F.col("rate")).alias("__cdf")), "rates")
-    drawn = docs.drop("rate", "n_copies", "copy", "shuffle_key").join(tables, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    drawn = drawn.withColumn("__u", uniform(seed))
-    drawn = drawn.withColumn("n_copies", F.size(F.filter("__cdf", lambda c: c < F.col("__u")))).drop("__cdf", "__u")
+    """Documents times their copies: all columns, with rate, n_copies, copy and shuffle_key.
+
+    A document meets only the few numbers of copies in its source's slot of [0, 1), whatever the rate; the slots also
+    split a source that holds most documents, should the list of steps be too large to broadcast.
+    """
+    steps = poisson_steps(rates).withColumn("__slot", F.explode(F.sequence(_slot(F.col("low")), _slot(F.col("high")))))
+    # a table of its own, so that Spark knows how large it is when it plans the join
+    listed = rates.select(F.col("source").alias("__source"), "rate").join(steps, "rate")
+    tables = stage(listed.select("__source", "__slot", "rate", F.col("k").alias("n_copies"), "low", "high"), "steps")
+    numbered = docs.drop("rate", "n_copies", "copy", "shuffle_key").withColumn("__u", uniform(seed))
+    met = numbered["source"].eqNullSafe(tables["__source"]) & (_slot(numbered["__u"]) == tables["__slot"])
+    drawn = numbered.join(tables, met & (numbered["__u"] > tables["low"]) & (numbered["__u"] <= tables["high"]))
+    drawn = drawn.select(*[numbered[c] for c in numbered.columns if c != "__u"], tables["rate"], "n_copies")
     copies = drawn.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.coalesce("text", F.lit(""))))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat(F.lit(f"{seed}:order:"), name, F.lit(":"), F.col("copy"))))
