@@ -57,10 +57,8 @@ def test_pipeline(spark, tmp_path):
     good = {i for i in range(80) if i % 2}
     assert ids["quality"] - {None} == good | {101}
     # the documents differ by a number in few words: brute force says which are one group
-    from tests.llm.test_jaccard_join import brute
-
     rows = sorted({(r.doc_id, r.text) for r in seen["quality"].collect() if r.doc_id is not None})
-    groups = brute(rows)
+    groups = brute_stage(rows)
     assert ids["near_duplicates"] - {None} == {i for i, c in groups.items() if i == c}
     texts = {r.doc_id: (r.text, r.n_chars) for r in seen["secrets"].collect()}
     assert all("abcdefgh" not in t and n == len(t) for t, n in texts.values())

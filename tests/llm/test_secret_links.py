@@ -12,6 +12,9 @@ CASES = [
     "client_id = lonely99 and nothing else", "token only Abcdefgh1Abcdefgh1Abcdefgh1Abcdefgh1 alone",
     "client_id=abcd9999 then Abcdefgh1Abcdefgh1Abcdefgh1Abcdefgh1 at redis://h:1/0",
     "client_id=abcd9999" + " pad" * 200 + " Abcdefgh1Abcdefgh1Abcdefgh1Abcdefgh1", "toKen=abcdef ſecret=abcdef",
+    'x.19@mail5.example.com token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### 152.143.123.131###', "mail a@b.com, host db.example.org:5432.",
+    "password=abcdef db-1.example.net:5432 or 10.0.0.1:80 for bob@corp.example.com", "token: abcdef 1.2.3.4.5 1.2.3.4. v1.2.3.4 bob@x",
+    "a." * 500 + "com password=abcdef " + "x" * 3000 + "@y.com u@" + "b." * 300 + "com", "u@h.com" + " pad" * 63 + " secret=abcdef u@h.com" + " pad" * 70,
 ]
 
 
@@ -43,6 +46,15 @@ def test_spans(spark):
     assert any(len(b) < len(g) for _, _, b, g in rows)
 
 
+def test_account_hosts_and_addresses_are_parts(spark):
+    text = "password=abcdef db-1.example.net:5432 or 10.0.0.1:80 for bob@corp.example.com"
+    alone = text.replace("password=abcdef", "nothing")
+    docs = spark.createDataFrame([(1, text), (2, alone)], "doc_id long, text string")
+    rows = {d: [(s.KINDS[k], t[a:b]) for a, k, b in spans] for d, t, _, spans in found(docs)}
+    assert rows[1] == [("assign", "password=abcdef"), ("endpoint", "db-1.example.net:5432"), ("endpoint", "10.0.0.1:80"), ("id", "bob@corp.example.com")]
+    assert rows[2] == []
+
+
 def test_other_columns_and_no_rows(docs, no_docs):
     rows = found(docs)
     assert len(rows) == docs.count() and all(not b for _, _, b, _ in rows)

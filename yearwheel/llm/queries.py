@@ -61,7 +61,7 @@ def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_secret_links(spark: SparkSession, d: str) -> DataFrame:
-    found = secret_links.find_secrets(_table(spark, d, "documents").select("doc_id", "text"))
+    found = secret_links.find_secrets(_table(spark, d, "documents").select("doc_id", "text"), Staging(spark))
     base, spans = F.col("base_spans"), F.col("spans")
     return found.select(
         "doc_id",

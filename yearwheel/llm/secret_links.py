@@ -12,22 +12,36 @@ block on either side, as a left semi join, so no pairs are listed and a key neve
 blocks of one document. Everything is DataFrame code.
 
 Defined cases: a null text is an empty one; rows with the same doc_id and text get the same spans; spans
-are half open and count code points; columns of the input named like those added are replaced.
+are half open and count code points; columns of the input named like those added are replaced; an empty table gives
+no rows; a very long text is scanned whole, in one task, and linked in blocks like any other.
 """
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yearwheel.operators.staging import Staging
+
 WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ASSIGN = r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # at least 20 characters; a shorter run holds no longer one
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-ID = r"(?i:(?:client|account|access|user|key|tenant)[_-]?(?:id|name))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{4,}"
+# a named identifier, or the mail address of an account
+ID = (
+    r"(?i:(?:client|account|access|user|key|tenant)[_-]?(?:id|name))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{4,}"
+    r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+)
 TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/_=-]*[A-Z])(?=[A-Z0-9+/_=-]*[a-z])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{32,}"
-ENDPOINT = r"(?i:https?|postgres|mysql|mongodb|redis|amqp|ftp)://[^\s\"'<>]+"
+# an address with a scheme, a host name or an IPv4 address; what follows the @ of a mail address is none
+ENDPOINT = (
+    r"(?i:https?|postgres|mysql|mongodb|redis|amqp|ftp)://[^\s\"'<>]+"
+    r"|(?<![A-Za-z0-9@._-])(?:[A-Za-z0-9-]{1,63}\.){1,8}(?:com|net|org|io|dev|cloud|internal|local)(?![A-Za-z0-9@_-])(?::[0-9]{1,5})?"
+    r"|(?<![A-Za-z0-9@._-])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])(?::[0-9]{1,5})?"
+)
 KINDS = ("assign", "access", "hex", "id", "token", "endpoint")
 BASE = 3
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -84,7 +98,7 @@ def weak_spans(text: Column) -> Column:
     return F.concat(
         _if(F.rlike(text, F.lit(ID)), matches(text, ID, "id")),
         _if(F.rlike(text, F.lit(TOKEN)), matches(text, TOKEN, "token")),
-        _if(F.contains(text, F.lit("://")), matches(text, ENDPOINT, "endpoint")),
+        _if(F.rlike(text, F.lit(ENDPOINT)), matches(text, ENDPOINT, "endpoint")),
     )
 
 
@@ -108,13 +122,18 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
     return whole.where("met = asked").select("key", "start", "kind", "end")
 
 
-def find_secrets(docs: DataFrame, scope: int = 256) -> DataFrame:
-    """All columns of ``docs`` with base_spans and spans, arrays of (start, kind, end) in order."""
+def find_secrets(docs: DataFrame, stage: Staging | None = None, scope: int = 256) -> DataFrame:
+    """All columns of ``docs`` with base_spans and spans, arrays of (start, kind, end) in order.
+
+    The parts of documents with a weak candidate are written to ``stage`` once; both sides of the link read them there.
+    """
+    stage = stage or Staging(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.drop("base_spans", "spans").withColumn("base_spans", base_spans(text))
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text))
     weak = docs.select(key.alias("key"), text.alias("text")).withColumn("weak", weak_spans(F.col("text"))).where(F.size("weak") > 0)
     parts = weak.withColumn("part", F.explode(F.concat("weak", base_spans(F.col("text"))))).select("key", "part.*")
+    parts = stage(parts, f"parts_{uuid4().hex}")
     found = linked(parts, scope).groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("__more"))
     out = rows.withColumn("__key", key).join(found.withColumnRenamed("key", "__key"), "__key", "left")
     spans = F.array_sort(F.concat("base_spans", F.coalesce("__more", F.array().cast(SPAN))))
