@@ -50,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts."""
-    found = secret_links.find_secrets(_packed(docs, "doc_id", "text"))
+    found = secret_links.find_secrets(_packed(docs, "doc_id", "text"), Staging(spark))
     new = secret_links.redacted(F.col("__row.text"), F.col("spans"))
     rows = found.withColumn("__text", new).withColumn("__changed", F.size("spans") > 0)
     changed = {"text": F.col("__text"), "n_chars": F.when(F.col("__changed"), F.length("__text")).otherwise(F.col("__row.n_chars")).cast("long")}
