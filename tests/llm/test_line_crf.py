@@ -70,3 +70,9 @@ def test_cases(spark, docs, no_docs):
     assert len(out) == docs.count()
     assert all(r.kept == (not r.base_failed) and r.base_failed >= (r.n_words < 20) for r in out)
     assert line_crf.label_quality(no_docs, chain, ["doc_id"]).count() == 0
+
+
+def test_capitals_of_two_bytes():
+    at = line_crf.FEATURES.index("capital")
+    lines = ["École", "école", "Über", "×", "a", "A", "þ", "Þ", "日", "É", "é"]
+    assert line_crf.Lines(["\n".join(lines)]).features[:, at].tolist() == [1, 0, 1, 0, 0, 1, 0, 1, 0, 1, 0]
