@@ -76,3 +76,10 @@ def test_capitals_of_two_bytes():
     at = line_crf.FEATURES.index("capital")
     lines = ["École", "école", "Über", "×", "a", "A", "þ", "Þ", "日", "É", "é"]
     assert line_crf.Lines(["\n".join(lines)]).features[:, at].tolist() == [1, 0, 1, 0, 0, 1, 0, 1, 0, 1, 0]
+
+
+def test_features_do_not_depend_on_the_slices():
+    texts = [*["A line of words.\n\nmore ### words more words\n" * n for n in range(6)], None, "", "é " * 50]
+    whole, parts = line_crf.Lines(texts), line_crf.line_features(texts, 40)
+    assert np.array_equal(whole.features, parts[0]) and np.array_equal(whole.first, parts[1])
+    assert line_crf.line_features([])[0].shape == (0, len(line_crf.FEATURES))

@@ -194,6 +194,16 @@ class Chain:
         return chain
 
 
+def line_features(texts: list[str | None], text_chars: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the lines of all texts and where each text's lines begin, a few texts at a time to hold little."""
+    features, sizes = [np.zeros((0, len(FEATURES)))], [np.zeros(1, np.int64)]
+    for part in slices(texts, text_chars):
+        lines = Lines(texts[part])
+        features.append(lines.features)
+        sizes.append(np.diff(lines.first))
+    return np.concatenate(features), np.cumsum(np.concatenate(sizes))
+
+
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = 2000, train_chars: int = 20_000) -> Chain:
     """Fit on up to ``train_docs`` labelled documents, half of each quality: those with the smallest hashes of
     doc_id, without texts of more than ``train_chars`` characters. The sample is all that reaches the driver.
@@ -207,9 +217,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = 2000, train_char
     sample = [(r["text"], quality[r["doc_id"]]) for r in texts.collect()]
     if len({q for _, q in sample}) < 2:
         return Chain()
-    lines = Lines([t for t, _ in sample])
+    features, first = line_features([t for t, _ in sample])
     marks = np.array([CONTENT if q else BOILERPLATE for _, q in sample])
-    return Chain.fit(lines.features, lines.first, np.repeat(marks, np.diff(lines.first)))
+    return Chain.fit(features, first, np.repeat(marks, np.diff(first)))
 
 
 def judge(texts: list[str | None], chain: Chain, least_share: float = 0.5) -> dict[str, np.ndarray]:
