@@ -408,6 +408,14 @@ def test_unknown_destination_fails_where_the_extract_forbids_it(spark, tables, s
         extract.data.collect()
 
 
+def test_members_that_share_a_code_stay_rows_of_their_own(tables, stage, rows):
+    one = F.when(F.col("Description") == "All", F.col("Code")).otherwise(F.lit(1).cast("int"))
+    shared = dataclasses.replace(tables, destinations=tables.destinations.withColumn("Code", one))
+    extract = survey_extract("trips", extract_specs("Survey")["trips"], shared, stage)
+    assert extract.shared_codes
+    assert extract.data.count() == extract.cube.count()
+
+
 def test_missing_spend_is_refused(tables, stage):
     blank = F.when((F.col("TripID") == 3) & (F.col("SpendType") == "Alcohol"), None).otherwise(F.col("ImputedSpendAmt"))
     spoiled = dataclasses.replace(tables, spend=tables.spend.withColumn("ImputedSpendAmt", blank))
