@@ -1,3 +1,4 @@
+import os
 import random
 
 from yearwheel.llm.components import connected
@@ -99,3 +100,11 @@ def test_long_chains_are_one_component(spark, stage):
     got = {r.vertex: r.root for r in connected(links, stage).collect()}
     assert got == {k: 1 for k in range(1, 61)} | {100: 100, 101: 100}
     assert connected(links.limit(0), Staging(spark)).count() == 0
+
+
+def test_staged_tables_that_the_result_does_not_read_are_gone(spark, stage):
+    rows = corpus()
+    out = link_documents(spark.createDataFrame(rows, "doc_id long, text string"), stage)
+    left = os.listdir(stage.folder)
+    assert not {"zone", "texts", "lists", "seconds", "tokens", "open", "meeting"} & set(left)
+    assert {r.doc_id: r.component_id for r in out.collect()} == brute(rows)

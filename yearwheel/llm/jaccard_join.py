@@ -210,13 +210,14 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
         classes = classes.withColumn("doc", F.col("doc_id"))
     classes = stage(classes, "classes")
     # classes that share enough shingles of the prefix by hash with others
-    heads = known.select("key", "doc_id", "prefix").join(classes, ["key", "doc_id"]).groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc", "prefix", "n")])
+    # (equal sets have equal prefixes, which are shuffled once, by the key)
+    heads = known.groupBy("key").agg(F.first("prefix").alias("prefix")).join(classes.select("key", "doc"), "key")
     length = f"(n - (n * {percent} + 99) div 100 + 1)"
-    least = F.expr(f"least(n, {length} + {length} div 4) - {length} + 1").cast("int")
-    tokens = heads.select("doc", least.alias("least"), F.explode("prefix").alias("token"))
+    least = F.expr(f"least(n, {length} + {length} div 4) - {length} + 1")
+    tokens = heads.select("doc", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
-    met = tokens.join(shared, "token").groupBy("doc", "least").agg(F.count(F.lit(1)).alias("met"))
-    meeting = stage(met.where("met >= least").select("doc").join(classes.select("doc", "doc_id", "mark", "n"), "doc"), "meeting")
+    met = tokens.join(shared, "token").groupBy("doc").agg(F.count(F.lit(1)).alias("met"))
+    meeting = stage(met.join(classes.select("doc", "doc_id", "mark", "n"), "doc").where(F.col("met") >= least).drop("met"), "meeting")
     texts = stage(named.join(meeting, ["doc_id", "mark"]).select("doc", "text"), "texts")
     if texts.count() != meeting.count():  # rows repeated as a whole
         texts = stage(texts.dropDuplicates(["doc"]), "texts-once")
@@ -226,6 +227,7 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
     lists = stage(first, "lists")
     in_lists = lists.select("doc").distinct()
     seconds = stage(second.groupBy("doc").agg(F.collect_list("token").alias("second")).join(in_lists, "doc", "left_semi"), "seconds")
+    stage.drop("zone")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         wanted = _candidates(pairs, seconds)
@@ -263,6 +265,7 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
             # sizes that may be linked are in the same band or in neighbouring ones
             band = F.floor(F.log("n") / max(1.001 * log(100 / percent), 1e-3))
             open_ = stage(rare.withColumn("band", band), "open")
+            stage.drop("tokens")
             x = open_.withColumn("near", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1))).alias("x")
             y = open_.alias("y")
             same = (F.col("x.token") == F.col("y.token")) & (F.col("x.near") == F.col("y.band"))
@@ -272,6 +275,8 @@ def link_documents(docs: DataFrame, stage: Staging, shingle: int = 4, percent: i
         more = verified(pairs.distinct(), f"links-{turn}")
         found = more if found is None else found.union(more)
         roots = connected(found, stage, f"round-{turn}")
+    # the result needs sets, classes and roots only
+    stage.drop("meeting", "texts", "texts-once", "lists", "seconds", "still", "open")
     of_class = classes.join(roots.withColumnRenamed("vertex", "doc"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
     if repeated:  # a root may be the hash of a set
         smallest = of_class.groupBy("root").agg(F.min("doc_id").alias("smallest"))

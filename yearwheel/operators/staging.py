@@ -10,12 +10,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
+# A staged table does not go back to the shuffles it was made from, so their files need not wait for the driver's garbage collection.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their shuffle files when they end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only for a local master."""
@@ -40,13 +58,18 @@ class Staging:
     def __call__(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         """``by`` names columns with few values; a reader that filters on them opens only the files it needs."""
         path = f"{self.folder}/{name}"
-        df.write.mode("errorifexists").partitionBy(*by).parquet(path)
+        with shuffles_removed(self.spark):
+            df.write.mode("errorifexists").partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        """Delete the staged tables; readers handed out before are then invalid."""
+    def drop(self, *names: str) -> None:
+        """Delete the staged tables, or those named; readers handed out before are then invalid."""
+        for path in [f"{self.folder}/{name}" for name in names] or [self.folder]:
+            self._delete(path)
+
+    def _delete(self, folder: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 
