@@ -65,3 +65,17 @@ def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a password=abcdef é token=ghijkl."), (2, None), (3, "plain")], "doc_id long, text string")
     out = {r.doc_id: r.t for r in s.find_secrets(docs).select("doc_id", s.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
     assert out == {1: "a [SECRET] é [SECRET]", 2: None, 3: "plain"}
+
+
+def test_texts_are_not_shuffled_for_the_few_links(spark, stage, plan):
+    """What was found is small, however many parts there were."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('see host', id, '.example.com and ', md5(cast(id AS string))) AS text")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") < 3, F.concat("text", F.lit(" user_id=abcdef password=hunter22"))).otherwise(F.col("text")))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20000)
+    try:
+        out = s.find_secrets(docs, stage)
+        assert "SortMergeJoin" not in plan(out) and "BroadcastHashJoin" in plan(out)
+        assert out.where(F.size("spans") > F.size("base_spans")).count() >= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

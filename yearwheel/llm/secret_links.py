@@ -125,7 +125,8 @@ def linked(parts: DataFrame, scope: int) -> DataFrame:
 def find_secrets(docs: DataFrame, stage: Staging | None = None, scope: int = 256) -> DataFrame:
     """All columns of ``docs`` with base_spans and spans, arrays of (start, kind, end) in order.
 
-    The parts of documents with a weak candidate are written to ``stage`` once; both sides of the link read them there.
+    The parts of documents with a weak candidate are written to ``stage`` once; both sides of the link read them there. So is
+    what was found: Spark then knows how little it is, and shuffles no texts for it where it can be broadcast.
     """
     stage = stage or Staging(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -133,8 +134,11 @@ def find_secrets(docs: DataFrame, stage: Staging | None = None, scope: int = 256
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text))
     weak = docs.select(key.alias("key"), text.alias("text")).withColumn("weak", weak_spans(F.col("text"))).where(F.size("weak") > 0)
     parts = weak.withColumn("part", F.explode(F.concat("weak", base_spans(F.col("text"))))).select("key", "part.*")
-    parts = stage(parts, f"parts_{uuid4().hex}")
+    run = uuid4().hex
+    parts = stage(parts, f"parts_{run}")
     found = linked(parts, scope).groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("__more"))
+    found = stage(found, f"found_{run}")
+    stage.drop(f"parts_{run}")
     out = rows.withColumn("__key", key).join(found.withColumnRenamed("key", "__key"), "__key", "left")
     spans = F.array_sort(F.concat("base_spans", F.coalesce("__more", F.array().cast(SPAN))))
     return out.withColumn("spans", spans).drop("__key", "__more")
