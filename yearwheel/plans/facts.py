@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, LongType
 
 from yearwheel.operators import checks, clean, joins, rolling, spend
 from yearwheel.operators.staging import Staging
@@ -67,133 +68,145 @@ def activities_by_trip(activities: DataFrame) -> DataFrame:
 _DETAILS = {"accommodation": ("stays", stays_by_trip), "spend": ("spend", spend_by_trip), "activity": ("activities", activities_by_trip)}
 
 
-def _listed(by_trip: DataFrame, name: str, apart: bool) -> DataFrame:
+# What a trip adds to an extract is an entry: the number of its tag, up to two names, rows, nights and an amount. All
+# lists of entries have this one type, so that a trip's lists are only put one after the other, and whatever follows from the
+# trip's own columns is worked out by compiled expressions on the rows made of them.
+TAGS = list(MEASURES)
+NAMES = {"accommodation": ("LOS_Group", "AccommodationType"), "spend": ("SpendType",), "activity": ("Activities",)}
+
+
+def _entry(tag: str, kinds: Mapping[str, DataType], **values: Column | str) -> Column:
+    cells = {"tag": F.lit(TAGS.index(tag)), "first": F.lit(None), "second": F.lit(None), "n": F.lit(None), "nights": F.lit(None), "amount": F.lit(None)}
+    cells |= {k: F.lit(v) if isinstance(v, str) else v for k, v in values.items()}
+    types = {"tag": "int", "first": "string", "second": "string", "n": "long", **kinds}
+    return F.struct(*[v.cast(types[k]).alias(k) for k, v in cells.items()])
+
+
+def _listed(by_trip: DataFrame, name: str, apart: bool, kinds: Mapping[str, DataType]) -> DataFrame:
     """Trip and the list of its entries: as many as types, bands or labels a trip has; ``apart``, a list for each."""
-    entry = F.struct(*[c for c in by_trip.columns if c != joins.DETAIL_TRIP])
-    trip = F.col(joins.DETAIL_TRIP).alias(f"_{name}_trip")
+    values = dict(zip(("first", "second"), map(F.col, NAMES[name]), strict=False)) | {"n": F.col("n")}
+    values |= {k: F.col(c) for k, c in (("nights", "nights"), ("amount", "Amount")) if c in by_trip.columns}
+    entry = _entry(name, kinds, **values)
+    trip = F.col(joins.DETAIL_TRIP).alias(f"_{name}{ENTRIES}_trip")
     if apart:
-        return by_trip.select(trip, F.array(entry).alias(name))
-    return by_trip.groupBy(trip).agg(F.collect_list(entry).alias(name))
+        return by_trip.select(trip, F.array(entry).alias(f"{name}{ENTRIES}"))
+    return by_trip.groupBy(trip).agg(F.collect_list(entry).alias(f"{name}{ENTRIES}"))
 
 
-def with_entries(trips: DataFrame, tables: SurveyTables, names: Iterable[str], orphans: bool = False) -> DataFrame:
-    """Trips with the list of each kind of detail in a column; ``orphans`` keeps spend of unknown trips.
+def with_entries(
+    trips: DataFrame, tables: SurveyTables, names: Iterable[str], orphans: bool = False
+) -> tuple[DataFrame, Mapping[str, DataType]]:
+    """Trips with the list of each kind of detail in a column, and the types of nights and amounts in it.
 
-    A trip is one row, unless stays or activities alone are wanted: then it is a row for each entry, which
-    saves making the lists and changes none of their totals.
+    ``orphans`` keeps spend of unknown trips. A trip is one row, unless stays or activities alone are wanted: then it is a
+    row for each entry, which saves making the lists and changes none of their totals.
     """
     names = list(names)
     apart = names in (["accommodation"], ["activity"])
     out = trips.withColumn("_known", F.lit(True))
     # spend last: its orphans have no key by which to look for other details
-    for name in sorted((n for n in names if n in _DETAILS), key=lambda n: n == "spend"):
-        table, totals = _DETAILS[name]
-        listed = _listed(totals(getattr(tables, table)), f"{name}{ENTRIES}", apart)
+    details = {n: _DETAILS[n][1](getattr(tables, _DETAILS[n][0])) for n in sorted((n for n in names if n in _DETAILS), key=lambda n: n == "spend")}
+    kinds: dict[str, DataType] = {"nights": LongType(), "amount": LongType()}
+    for kind, name, column in (("nights", "accommodation", "nights"), ("amount", "spend", "Amount")):
+        if name in details:
+            kinds[kind] = details[name].schema[column].dataType
+    for name, by_trip in details.items():
+        listed = _listed(by_trip, name, apart, kinds)
         how = "full" if orphans and name == "spend" else "left"
         key = f"_{name}{ENTRIES}_trip"
         out = out.join(listed, out[joins.TRIP] == listed[key], how).drop(key)
-    return out
-
-
-def _of(trips: DataFrame, name: str) -> Column:
-    """A trip's entries, none if it has no details."""
-    column = f"{name}{ENTRIES}"
-    return F.coalesce(F.col(column), F.array().cast(trips.schema[column].dataType))
-
-
-def _accommodation(trips: DataFrame) -> Column:
-    weight = F.col("SmoothedTripWeight")
-    entries = F.transform(
-        _of(trips, "accommodation"),
-        lambda s: F.struct(
-            s["LOS_Group"].alias("LOS_Group"),
-            F.col("DestinationRTO").alias("Destination_RTO"),
-            s["AccommodationType"].alias("Accommodation_Type"),
-            (F.col("RespondentWeight") * s["n"]).alias("Total_Visitors"),
-            (weight * s["n"]).alias("Total_Trips"),
-            (s["nights"] * weight).alias("Total_Nights"),
-            s["n"].alias("Total_Respondents"),
-        ),
-    )
-    return F.filter(entries, lambda _: F.col("TripType") == clean.OVERNIGHT)
-
-
-def _trips(trips: DataFrame) -> Column:
-    return F.array(
-        F.struct(
-            F.col("DestinationRTO").alias("Destination_RTO"),
-            F.col("TripType").alias("Trip_Type"),
-            F.col("POV").alias("POV"),
-            F.col("RespondentWeight").alias("Total_Visitors"),
-            F.col("SmoothedTripWeight").alias("Total_Trips"),
-            F.lit(1).alias("Total_Respondents"),
-        )
-    )
-
-
-def _spend(trips: DataFrame) -> Column:
-    weight = F.col("ExpenditureWeight")
-    weighted = F.transform(
-        _of(trips, "spend"), lambda e: F.struct(e["SpendType"].alias("Spend_Type"), (weight * e["Amount"]).alias("Expenditure"))
-    )
-    return F.transform(
-        F.concat(weighted, spend.derived_entries("Spend_Type")),
-        lambda e: F.struct(
-            F.col("DestinationRTO").alias("Destination_RTO"), F.col("TripType").alias("Trip_Type"), F.col("POV").alias("POV"),
-            e["Spend_Type"].alias("Spend_Type"), e["Expenditure"].alias("Expenditure"),
-        ),
-    )
-
-
-def _activity(trips: DataFrame) -> Column:
-    return F.transform(
-        _of(trips, "activity"),
-        lambda a: F.struct(a["Activities"].alias("Activities"), (F.col("SmoothedTripWeight") * a["n"]).alias("Total_Activities"), a["n"].alias(ROWS)),
-    )
+    return out, kinds
 
 
-def _overnight(trips: DataFrame) -> Column:
-    seen = F.array(F.struct(F.lit(1).alias("n_trips")))
-    return F.filter(seen, lambda _: F.col("TripType") == clean.OVERNIGHT)
+def _day_accommodation() -> Column:
+    return F.when(F.col("TripType") == clean.DAY, F.col("ExpenditureWeight") * F.col("ImputedSpendAccom"))
 
 
-def _rules(trips: DataFrame) -> Column:
-    """What breaks a rule: trips without exactly one row per food type, accommodation spend of day trips."""
+def _uneven(entries: Column) -> Column:
+    """1 for a trip without exactly one row per food type."""
     rows = F.aggregate(
-        _of(trips, "spend"),
+        entries,
         F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("f")),
         lambda s, e: F.struct(
-            (s["a"] + F.when(e["SpendType"] == spend.ALCOHOL, e["n"]).otherwise(0)).alias("a"),
-            (s["f"] + F.when(e["SpendType"] == spend.FOOD_AND_ALCOHOL, e["n"]).otherwise(0)).alias("f"),
+            (s["a"] + F.when(e["first"] == spend.ALCOHOL, e["n"]).otherwise(0)).alias("a"),
+            (s["f"] + F.when(e["first"] == spend.FOOD_AND_ALCOHOL, e["n"]).otherwise(0)).alias("f"),
         ),
     )
-    uneven = ((rows["a"] + rows["f"] > 0) & ((rows["a"] != 1) | (rows["f"] != 1))).cast("int")
-    amount = F.when(F.col("TripType") == clean.DAY, F.col("ExpenditureWeight") * F.col("ImputedSpendAccom"))
-    found = F.array(F.struct(uneven.alias("uneven"), amount.alias("day_accommodation")))
-    return F.filter(found, lambda e: (e["uneven"] > 0) | (e["day_accommodation"] != 0))
+    return ((rows["a"] + rows["f"] > 0) & ((rows["a"] != 1) | (rows["f"] != 1))).cast("int")
 
 
-_ADDS = {"accommodation": _accommodation, "trips": _trips, "spend": _spend, "activity": _activity, OVERNIGHT_QUARTERS: _overnight, SPEND_RULES: _rules}
+def _lists(tags: list[str], kinds: Mapping[str, DataType]) -> list[Column]:
+    """What a trip adds to the tags, as lists of entries."""
 
+    def when(condition: Column, entries: Column) -> Column:
+        return F.when(condition, entries).otherwise(F.slice(entries, 1, 0))
 
-def _stacked(trips: DataFrame, tags: list[str]) -> DataFrame:
+    known, overnight = F.coalesce(F.col("_known"), F.lit(False)), F.col("TripType") == clean.OVERNIGHT
+    none = F.slice(F.array(_entry("trips", kinds)), 1, 0)
+    found = []
+    for tag in tags:
+        details = F.coalesce(F.col(f"{tag}{ENTRIES}"), none) if tag in _DETAILS else none
+        if tag == "accommodation":
+            found.append(when(known & overnight, details))
+        elif tag == "trips":
+            found.append(when(known, F.array(_entry(tag, kinds))))
+        elif tag == "spend":
+            # entries without a number of rows are those derived from the trip
+            both = [_entry(tag, kinds, first=kind) for kind in (spend.ACCOMMODATION, spend.TRANSPORT)]
+            found += [when(known, details), when(known, F.when(overnight, F.array(*both)).otherwise(F.array(both[1])))]
+        elif tag == "activity":
+            found.append(when(known, details))
+        elif tag == OVERNIGHT_QUARTERS:
+            found.append(when(known & overnight, F.array(_entry(tag, kinds))))
+        else:  # the rules are the only ones that see spend of unknown trips
+            found.append(when((F.col("_uneven") > 0) | (_day_accommodation() != 0), F.array(_entry(tag, kinds))))
+    return found
+
+
+def _measures(tag: str) -> dict[str, Column]:
+    """What an entry of a tag counts for."""
+    n, weight = F.col("n"), F.col("SmoothedTripWeight")
+    if tag == "accommodation":
+        return {
+            "Total_Visitors": F.col("RespondentWeight") * n, "Total_Trips": weight * n, "Total_Nights": F.col("nights") * weight, "Total_Respondents": n,
+        }
+    if tag == "trips":
+        return {"Total_Visitors": F.col("RespondentWeight"), "Total_Trips": weight, "Total_Respondents": F.lit(1)}
+    if tag == "spend":
+        paid = F.col("ExpenditureWeight")
+        accommodation = n.isNull() & (F.col("first") == spend.ACCOMMODATION)
+        derived = F.when(accommodation, paid * F.col("ImputedSpendAccom")).when(n.isNull(), paid * F.col("ImputedSpendTrnsport"))
+        return {"Expenditure": derived.otherwise(paid * F.col("amount"))}
+    if tag == "activity":
+        return {"Total_Activities": weight * n, ROWS: n}
+    if tag == OVERNIGHT_QUARTERS:
+        return {"n_trips": F.lit(1)}
+    return {"uneven": F.col("_uneven"), "day_accommodation": _day_accommodation()}
+
+
+# where the members of each dimension stand: in a column of the trip or in a name of the entry
+MEMBERS = {
+    "Destination_RTO": "DestinationRTO", "Trip_Type": "TripType", "POV": "POV",
+    "LOS_Group": "first", "Accommodation_Type": "second", "Spend_Type": "first", "Activities": "first",
+}
+
+
+def _stacked(trips: DataFrame, tags: list[str], kinds: Mapping[str, DataType]) -> DataFrame:
     """A row for each entry of each tag, with the columns of all; measures carry their tag's name."""
-    arrays = {tag: _ADDS[tag](trips) for tag in tags}
-    # the rules are the only ones that see spend of unknown trips
-    none = {t: F.filter(a, lambda _: F.coalesce(F.col("_known"), F.lit(False))) if t != SPEND_RULES else a for t, a in arrays.items()}
-    types = trips.select(*[a.alias(t) for t, a in none.items()]).schema
-    fields: dict[str, object] = {}
+    if SPEND_RULES in tags:
+        entries = F.col(f"spend{ENTRIES}")
+        trips = trips.withColumn("_uneven", F.when(entries.isNull(), F.lit(0)).otherwise(_uneven(entries)))
+    own = [c for c in trips.columns if not c.endswith(ENTRIES)]
+    rows = trips.select(*own, F.inline(F.concat(*_lists(tags, kinds))))
+    number = {t: TAGS.index(t) for t in tags}
+    name = F.element_at(F.array(*map(F.lit, TAGS)), F.col("tag") + 1)
+    columns = {}
     for tag in tags:
-        for f in types[tag].dataType.elementType.fields:
-            fields[f.name if f.name in DIMENSIONS[tag] else f"{tag}:{f.name}"] = f.dataType
-
-    def same(tag: str, entry: Column) -> Column:
-        own = {n if n in DIMENSIONS[tag] else f"{tag}:{n}": n for n in types[tag].dataType.elementType.names}
-        cells = [(entry[own[name]] if name in own else F.lit(None)).cast(kind).alias(name) for name, kind in fields.items()]
-        return F.struct(F.lit(tag).alias(TAG), *cells)
-
-    entries = F.concat(*[F.transform(a, partial(same, tag)) for tag, a in none.items()])
-    return trips.select(rolling.YEAR, rolling.QUARTER, F.inline(entries))
+        for d in DIMENSIONS[tag]:
+            columns[d] = F.when(F.col("tag").isin([number[t] for t in tags if d in DIMENSIONS[t]]), F.col(MEMBERS[d])).alias(d)
+        for m, value in _measures(tag).items():
+            columns[f"{tag}:{m}"] = F.when(F.col("tag") == number[tag], value).alias(f"{tag}:{m}")
+    return rows.select(name.alias(TAG), rolling.YEAR, rolling.QUARTER, *columns.values())
 
 
 def _columns(names: Iterable[str]) -> list[str]:
@@ -246,7 +259,8 @@ def totalled(tables: SurveyTables, tags: list[str], quarters: Iterable[tuple[int
     if names == ["accommodation"]:
         trips = clean.overnight_trips(trips)
     trips = clean.clean_trips(trips.select(_columns(names)))
-    stacked = _stacked(with_entries(trips, tables, names, orphans=rules), tags)
+    listed, kinds = with_entries(trips, tables, names, orphans=rules)
+    stacked = _stacked(listed, tags, kinds)
     dims = list(dict.fromkeys(d for t in tags for d in DIMENSIONS[t]))
     totals = []
     for tag in tags:
