@@ -19,6 +19,8 @@ import string
 import struct
 import zlib
 from array import array
+from itertools import accumulate, chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,11 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
 
 
+# the letter of each byte; a line feed stays one, as words joined by it are spelled together
+_SPELLING = np.array([c for _, c in sorted((_byte_letters() | {ord("\n"): ord("\n")}).items())], "<u2")
+_ID = attrgetter("id")
+
+
 class WordEncoder:
     """Tokenizer ids of many texts; Arrow numbers the distinct words of a batch, each of which is encoded once.
 
@@ -68,17 +75,23 @@ class WordEncoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.parts: dict[str, bytes] = {"": b""}
         self.older = self.parts
-        self.spelling = _byte_letters()
         letters = [c for c in map(chr, range(ord(_AFTER_LATIN))) if c.isalpha()]
-        self.other = {c for c in letters if self._of_letters(f"x{c}y") != self._whole([f"x{c}y"])[0]}
-        self.plain = not any(c.isascii() for c in self.other)
-
-    def _of_letters(self, core: str) -> bytes:
-        if not core.isascii():
-            core = core.lower().encode().decode("latin-1").translate(self.spelling)
-        else:
-            core = core.lower()
-        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
+        words = [f"x{c}y" for c in letters]
+        self.direct = frozenset(c for c, own, ids in zip(letters, self._of_letters(words), self._whole(words), strict=True) if own == ids)
+        self.plain = self.direct.issuperset(string.ascii_letters)
+
+    def _of_letters(self, cores: list[str], most: int = 256) -> list[bytes]:
+        """Ids of words of letters, which hold no line feed; ``most`` words at a time."""
+        out: list[bytes] = []
+        for begin in range(0, len(cores), most):
+            spelled = "\n".join(cores[begin : begin + most]).lower()
+            if not spelled.isascii():
+                spelled = _SPELLING[np.frombuffer(spelled.encode(), np.uint8)].tobytes().decode("utf-16-le")
+            tokens = list(map(self.model.tokenize, spelled.split("\n")))
+            ids = array("I", map(_ID, chain.from_iterable(tokens))).tobytes()
+            ends = [4 * n for n in accumulate(map(len, tokens), initial=0)]
+            out += [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        return out
 
     def _whole(self, words: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
@@ -86,27 +99,27 @@ class WordEncoder:
         ids = coded.ids
         return [array("I", ids[begin:end]).tobytes() for begin, end in zip(bounds, bounds[1:], strict=False)]
 
-    def _direct(self, core: str) -> bool:
-        return (self.plain and core.isascii()) or (max(core) < _AFTER_LATIN and self.other.isdisjoint(core))
-
     def _ids(self, wanted: list[str]) -> list[bytes]:
         """Ids of each part, letters or signs."""
         if len(self.parts) > self.most:
             self.parts, self.older = {"": b""}, self.parts
-        parts, older, whole = self.parts, self.older, []
+        parts, older, plain, direct = self.parts, self.older, self.plain, self.direct.issuperset
         found = list(map(parts.get, wanted))
+        letters: list[int] = []
+        whole: list[int] = []
         for k in [k for k, ids in enumerate(found) if ids is None]:
             part = wanted[k]
             ids = older.get(part)
-            if ids is None:
-                if not (part.isalpha() and self._direct(part)):
-                    whole.append(k)
-                    continue
-                ids = self._of_letters(part)
-            parts[part] = found[k] = ids
-        if whole:
-            for k, ids in zip(whole, self._whole([wanted[k] for k in whole]), strict=True):
-                parts[wanted[k]] = found[k] = ids
+            if ids is not None:
+                parts[part] = found[k] = ids
+            elif (plain and part.isascii() and part.isalpha()) or direct(part):
+                letters.append(k)
+            else:
+                whole.append(k)
+        for new, encode in (letters, self._of_letters), (whole, self._whole):
+            if new:
+                for k, ids in zip(new, encode([wanted[k] for k in new]), strict=True):
+                    parts[wanted[k]] = found[k] = ids
         return found
 
     def __call__(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -116,17 +129,17 @@ class WordEncoder:
         # distinct words, then their distinct parts
         words = coded.dictionary
         cores = pc.utf8_rtrim(words, _SIGNS)
-        tailed = np.flatnonzero(pc.not_equal(pc.binary_length(cores), pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        signs = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()  # all of one byte
+        alone = pc.ascii_is_alpha(cores).to_numpy(zero_copy_only=False).copy()
+        unsure = np.flatnonzero((signs > 0) & ~alone)
+        alone[unsure] = np.fromiter(map(str.isalpha, _strings(cores.take(pa.array(unsure)))), bool, len(unsure))
+        tailed = np.flatnonzero((signs > 0) & alone)
         tails = np.full(len(words), "", object)
-        alone = pc.ascii_is_alpha(cores).to_numpy(zero_copy_only=False)
-        for k, word, core in zip(tailed.tolist(), words.take(pa.array(tailed)).to_pylist(), cores.take(pa.array(tailed)).to_pylist(), strict=True):
-            if alone[k] or core.isalpha():
-                tails[k] = word[len(core) :]
-                alone[k] = True
+        tails[tailed] = [w[-n:] for w, n in zip(_strings(words.take(pa.array(tailed))), signs[tailed].tolist(), strict=True)]
         cores = pc.if_else(pa.array(alone), cores, words)
         cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores)
         parts = pa.concat_arrays([cores, pa.array(tails, pa.string())]).dictionary_encode()
-        found = self._ids(parts.dictionary.to_pylist())
+        found = self._ids(_strings(parts.dictionary))
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         two = parts.indices.to_numpy().reshape(2, -1).T.ravel().astype(np.int64)
         pool = gathered(np.frombuffer(b"".join(found), np.uint32), (np.cumsum(lengths) - lengths)[two], lengths[two])
@@ -140,6 +153,11 @@ class WordEncoder:
         return ids, np.diff(ends[bounds])
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """As ``to_pylist``, without a scalar for each text."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -163,19 +181,26 @@ def re_pair(
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        left, right = seq[:-1], seq[1:]
-        key = (left.astype(np.uint64) << np.uint64(32)) | right
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        slot[(left == end_id) | (right == end_id)] = 1 << 20
+        slot = seq[:-1] * np.uint32(0x9E3779B1)
+        slot += seq[1:] * np.uint32(0x85EBCA77)
+        slot >>= np.uint32(12)
+        slot = slot.astype(np.int64)
+        ends = np.flatnonzero(seq == end_id)
+        slot[ends[ends < len(slot)]] = slot[ends[ends > 0] - 1] = 1 << 20
         counts = np.bincount(slot, minlength=(1 << 20) + 1)
         counts[1 << 20] = 0
-        full = np.flatnonzero(counts >= max(least, int(np.partition(counts, -per_round)[-per_round])))
+        full = np.flatnonzero(counts >= least)
+        if len(full) > per_round:
+            full = full[counts[full] >= np.partition(counts[full], -per_round)[-per_round]]
         if not len(full):
             break
-        place = np.full((1 << 20) + 1, -1, np.int32)
+        hot = np.zeros((1 << 20) + 1, bool)
+        hot[full] = True
+        place = np.zeros((1 << 20) + 1, np.int32)
         place[full] = np.arange(len(full))
-        at = np.flatnonzero(place[slot] >= 0)
-        own, keys = place[slot[at]], key[at]
+        at = np.flatnonzero(hot.take(slot))
+        own = place.take(slot.take(at))
+        keys = (seq.take(at).astype(np.uint64) << np.uint64(32)) | seq.take(at + 1)
         seen = np.zeros(len(full), np.uint64)
         seen[own] = keys
         exact = keys == seen[own]
